@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Append columns so that later steps refer to their values.
+
+    Plain projections would be merged, and a filter on a result pushed down by copying the whole
+    expression. A one-element generator stops both, which keeps long parse expressions linear.
+    """
+    values = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def parse_lenient(text: Column) -> Column:
     """JSON text to VARIANT, NULL when invalid.
 

@@ -16,29 +16,37 @@ from smogway.settings import DEFAULTS
 
 TimeLike = Column | datetime | str
 
-# Fixed pattern: an ISO-8601 date, optional time of day, optional offset.
-_ISO = (
-    r"^(\d{4}-\d{2}-\d{2})"
+# Fixed patterns: ISO-8601 as the cast reads it, an offset at its end, and the rarer spellings.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?$"
+_OFFSET = r"[T ].*(Z|[+-]\d{2}(:?\d{2})?)$"
+_RARE = (
+    r"^(\d{4})-?(\d{2})-?(\d{2})"
     r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?)?)?"
     r"\s*(Z|[+-]\d{2}(?::?\d{2})?)?$"
 )
 
 
 def parse_instant(text: Column, naive_tz: str) -> Column:
-    """ISO-8601 text to TIMESTAMP, NULL when unparsable; text without an offset is read in `naive_tz`."""
+    """ISO-8601 text to TIMESTAMP, NULL when unparsable; text without an offset is read in `naive_tz`.
 
-    def group(n: int) -> Column:
-        return F.regexp_extract(text, _ISO, n)
-
-    def part(n: int) -> Column:
-        return F.when(group(n) == "", F.lit("00")).otherwise(group(n))
-
-    offset = F.when(group(6) == "", F.lit(naive_tz)).otherwise(group(6))
-    normalised = F.concat(
-        group(1), F.lit("T"), part(2), F.lit(":"), part(3), F.lit(":"), part(4),
-        F.lit("."), F.when(group(5) == "", F.lit("0")).otherwise(group(5)), offset,
+    Reference `text` as a plain column: it is used several times.
+    """
+    zone = F.lit(naive_tz)
+    plain = F.when(text.rlike(_OFFSET), text).otherwise(F.concat(text, zone))
+
+    def part(n: int, default: str) -> Column:
+        found = F.regexp_extract(text, _RARE, n)
+        return F.when(found == "", F.lit(default)).otherwise(found)
+
+    date = F.concat_ws("-", part(1, ""), part(2, ""), part(3, ""))
+    time = F.concat_ws(":", part(4, "00"), part(5, "00"), part(6, "00"))
+    rare = F.concat(date, F.lit("T"), time, F.lit("."), part(7, "0"), part(8, naive_tz))
+    return (
+        F.when(text.rlike(_PLAIN), plain)
+        .when((F.length(text) == 10) & text.rlike(_RARE), F.concat(text, F.lit("T00:00:00"), zone))
+        .when(text.rlike(_RARE), rare)
+        .try_cast("timestamp")
     )
-    return F.when(text.rlike(_ISO), normalised).try_cast("timestamp")
 
 
 def utc_wall_clock(instant: Column) -> Column:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogway.functions.numbers import nan_to_null
-from smogway.functions.timestamps import TimeLike, between_times, hours, like_column, local_wall_clock, time_bucket
-from smogway.functions.timestamps import is_wall_clock
+from smogway.functions.timestamps import (
+    TimeLike,
+    between_times,
+    hours,
+    is_wall_clock,
+    like_column,
+    local_wall_clock,
+    time_bucket,
+)
 from smogway.operators.filters import hour_range, valid_pm25, whole_hours
 from smogway.operators.quality import validate_columns
 from smogway.settings import DEFAULTS
@@ -145,7 +152,7 @@ def critical_hours(
     )
 
 
-def day_band(hour_of_day) -> F.col:
+def day_band(hour_of_day: Column) -> Column:
     """rush (7-9, 17-19), night (22-6) or normal."""
     h = hour_of_day
     return (
@@ -155,7 +162,7 @@ def day_band(hour_of_day) -> F.col:
     )
 
 
-def fine_day_band(hour_of_day) -> F.col:
+def fine_day_band(hour_of_day: Column) -> Column:
     """early_morning, rush, daytime, evening or late_night, the finer profile."""
     # Hours of each band; every other hour is late night.
     bands = {

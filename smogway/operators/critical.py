@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogway.functions.numbers import clamp01, nan_to_null, without_nan
-from smogway.functions.timestamps import hours, is_wall_clock, local_wall_clock
+from smogway.functions.timestamps import hours, is_wall_clock, local_wall_clock, time_bucket
 from smogway.operators.quality import count_where, validate_columns
 from smogway.settings import DEFAULTS
 
@@ -181,8 +181,6 @@ def consecutive_periods(hours_df: DataFrame, keys: Sequence[str] = (), column: s
 
 def in_hours(readings: DataFrame, hours_df: DataFrame, inside: bool = True) -> DataFrame:
     """Readings whose hour is (or is not) among the hours of `hours_df`."""
-    from smogway.functions.timestamps import time_bucket
-
     wanted = hours_df.select(F.col("timestamp").alias("_hour")).distinct()
     keyed = readings.withColumn("_hour", time_bucket("timestamp"))
     return keyed.join(wanted, "_hour", "left_semi" if inside else "left_anti").drop("_hour")

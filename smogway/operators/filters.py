@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogway.functions.numbers import nan_to_null
-from smogway.functions.timestamps import TimeLike, hours, like_column, parse_instant
+from smogway.functions.timestamps import (
+    TimeLike,
+    hours,
+    is_wall_clock,
+    like_column,
+    parse_instant,
+    time_bucket,
+    time_literal,
+)
 from smogway.settings import DEFAULTS
 
 
@@ -22,8 +30,6 @@ def time_range(df: DataFrame, column: str = "timestamp") -> DataFrame:
 
 def hour_range(df: DataFrame, column: str = "timestamp") -> DataFrame:
     """One row (start_hour, end_hour, n_hours): the hours covered by the data, both ends included."""
-    from smogway.functions.timestamps import time_bucket
-
     # Flooring is monotone, so it is done once on the two extremes rather than on every row.
     ends = time_range(df, column).select(F.explode(F.array("lo", "hi")).alias("edge"))
     floored = ends.select(time_bucket("edge").alias("edge"))
@@ -31,7 +37,7 @@ def hour_range(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return span.withColumn("n_hours", whole_hours("start_hour", "end_hour") + 1)
 
 
-def whole_hours(start: str, end: str):
+def whole_hours(start: str, end: str) -> Column:
     """Completed hours from column `start` to column `end`."""
     elapsed = (F.col(end) - F.col(start)).cast("interval hour")
     return elapsed.cast("bigint")
@@ -87,11 +93,5 @@ def retained(
     both = existing.unionByName(new, allowMissingColumns=True)
     is_text = dict(both.dtypes)[column] == "string"
     moment = parse_instant(F.col(column), tz) if is_text else F.col(column)
-    cutoff = (F.lit(as_of) if isinstance(as_of, (int, float)) else _cutoff(both, as_of, column, is_text, tz))
-    return both.where(F.coalesce(moment >= cutoff - hours(retention_hours), F.lit(True)))
-
-
-def _cutoff(df: DataFrame, as_of: TimeLike, column: str, is_text: bool, tz: str):
-    from smogway.functions.timestamps import time_literal
-
-    return time_literal(as_of, False, tz) if is_text else like_column(as_of, df, column, tz)
+    now = time_literal(as_of, not is_text and is_wall_clock(both, column), tz)
+    return both.where(F.coalesce(moment >= now - hours(retention_hours), F.lit(True)))

@@ -40,6 +40,12 @@ def _other_columns(raw: DataFrame, text: str) -> list[str]:
     return [c for c in raw.columns if c != text]
 
 
+def _typed(records: DataFrame, typed: dict[str, Column], raw: DataFrame, text: str) -> DataFrame:
+    return J.evaluate_once(records, typed).select(
+        *typed, F.col(text).alias("_raw"), *_other_columns(raw, text)
+    )
+
+
 # --- traffic -----------------------------------------------------------------------------------
 
 
@@ -57,36 +63,39 @@ def classify_traffic(
     road position. Columns of `raw` other than `text` are carried along.
     """
     validate_columns(raw, [text], "raw traffic")
-    records = raw.withColumn("_record", J.parse_lenient(F.col(text)))
+    records = J.evaluate_once(raw, {"_record": J.parse_lenient(F.col(text))})
     record = F.col("_record")
 
     flow = "$.flowSegmentData"
     point = f"{flow}.coordinates.coordinate[0]"
-    records = records.withColumns(
+    records = J.evaluate_once(
+        records,
         {
             "_current": J.field(record, f"{flow}.currentSpeed"),
             "_free": J.field(record, f"{flow}.freeFlowSpeed"),
             "_lat": J.field(record, f"{point}.latitude"),
             "_lon": J.field(record, f"{point}.longitude"),
             "_fetched": J.text_at(record, "$._fetched_at"),
-        }
+        },
     )
 
     def speed(value: Column) -> Column:
         # A missing key counts as zero; an explicit null or a quoted number makes the record bad.
         return F.when(value.isNull(), F.lit(0.0)).otherwise(J.strict_number(value))
 
-    records = records.withColumns({"_cur": speed(F.col("_current")), "_alt": speed(F.col("_free"))})
-    cur, alt = F.col("_cur"), F.col("_alt")
-    moving = ~F.isnan(cur) & (cur > 0)
-    records = records.withColumns(
+    records = J.evaluate_once(
+        records,
         {
-            "_kmh": F.when(cur.isNull(), F.lit(None)).when(moving, cur).otherwise(alt)
-            * F.lit(settings.kmh_per_ms),
+            "_cur": speed(F.col("_current")),
+            "_alt": speed(F.col("_free")),
             "_lat_n": J.strict_number(F.col("_lat")),
             "_lon_n": J.strict_number(F.col("_lon")),
-        }
+        },
     )
+    cur, alt = F.col("_cur"), F.col("_alt")
+    moving = ~F.isnan(cur) & (cur > 0)
+    chosen = F.when(cur.isNull(), F.lit(None)).when(moving, cur).otherwise(alt)
+    records = J.evaluate_once(records, {"_kmh": chosen * F.lit(settings.kmh_per_ms)})
 
     def unusable(value: Column, number: Column) -> Column:
         return value.isNotNull() & ~F.is_variant_null(value) & (number.isNull() | F.isnan(number))
@@ -117,14 +126,13 @@ def classify_traffic(
         return F.col(number) if fallback is None else F.coalesce(F.col(number), fallback)
 
     fetched = parse_instant(F.col("_fetched"), settings.timezone)
-    return records.select(
-        F.coalesce(fetched, time_literal(as_of, False, settings.timezone)).alias("timestamp"),
-        grid_cell(position("_lat_n", query_lat), position("_lon_n", query_lon)).alias("segment_id"),
-        nan_to_null(F.round(kmh, 2)).alias("velocity"),
-        reason.alias("reason"),
-        F.col(text).alias("_raw"),
-        *_other_columns(raw, text),
-    )
+    typed = {
+        "timestamp": F.coalesce(fetched, time_literal(as_of, False, settings.timezone)),
+        "segment_id": grid_cell(position("_lat_n", query_lat), position("_lon_n", query_lon)),
+        "velocity": nan_to_null(F.round(kmh, 2)),
+        "reason": reason,
+    }
+    return _typed(records, typed, raw, text)
 
 
 def parse_traffic(raw: DataFrame, as_of: TimeLike, **options) -> ParsedRecords:
@@ -193,20 +201,23 @@ def classify_air(
 ) -> DataFrame:
     """Typed view of raw air measurements, one row in, one row out. Other columns are carried along."""
     validate_columns(raw, [text], "raw air quality")
-    records = raw.withColumn("_record", J.parse_lenient(F.col(text)))
+    records = J.evaluate_once(raw, {"_record": J.parse_lenient(F.col(text))})
     record = F.col("_record")
-    records = records.withColumns(
+    records = J.evaluate_once(
+        records,
         {
             "_time_text": _measured_at(record),
             "_value": J.field(record, "$.value"),
             "_parameter": J.field(record, "$.parameter"),
             "_parameter_name": J.field(record, "$.parameter.name"),
-        }
-    ).withColumns(
+        },
+    )
+    records = J.evaluate_once(
+        records,
         {
-            "timestamp": parse_instant(F.col("_time_text"), "UTC"),
+            "_measured": parse_instant(F.col("_time_text"), "UTC"),
             "_number": J.number_at(F.col("_value"), "$"),
-        }
+        },
     )
     parameter, parameter_name = F.col("_parameter"), F.col("_parameter_name")
     described = F.when(
@@ -221,29 +232,27 @@ def classify_air(
         F.when(record.isNull(), F.lit("invalid_json"))
         .when(~J.is_object(record), F.lit("not_an_object"))
         .when(F.col("_time_text").isNull(), F.lit("missing_timestamp"))
-        .when(F.col("timestamp").isNull(), F.lit("bad_timestamp"))
+        .when(F.col("_measured").isNull(), F.lit("bad_timestamp"))
         .when(unnamed, F.lit("bad_parameter"))
         .when(value.isNull() | F.is_variant_null(value), F.lit("missing_value"))
         .when(~is_pm25, F.lit("not_pm25"))
         .otherwise(F.lit("bad_value"))
     )
-    good = F.col("timestamp").isNotNull() & F.col("_number").isNotNull() & is_pm25 & ~unnamed
-    return records.select(
-        "timestamp",
-        _station_name(record).alias("location"),
-        nan_to_null(F.col("_number")).alias("pm25"),
-        F.coalesce(
-            J.number_at(record, "$.coordinates.latitude"),
-            J.number_at(record, "$.location.coordinates.latitude"),
-        ).alias("latitude"),
-        F.coalesce(
-            J.number_at(record, "$.coordinates.longitude"),
-            J.number_at(record, "$.location.coordinates.longitude"),
-        ).alias("longitude"),
-        F.when(~good, failure).alias("reason"),
-        F.col(text).alias("_raw"),
-        *_other_columns(raw, text),
-    )
+    good = F.col("_measured").isNotNull() & F.col("_number").isNotNull() & is_pm25 & ~unnamed
+    def coordinate(name: str) -> Column:
+        return F.coalesce(
+            J.number_at(record, f"$.coordinates.{name}"), J.number_at(record, f"$.location.coordinates.{name}")
+        )
+
+    typed = {
+        "timestamp": F.col("_measured"),
+        "location": _station_name(record),
+        "pm25": nan_to_null(F.col("_number")),
+        "latitude": coordinate("latitude"),
+        "longitude": coordinate("longitude"),
+        "reason": F.when(~good, failure),
+    }
+    return _typed(records, typed, raw, text)
 
 
 def parse_air(raw: DataFrame, **options) -> ParsedRecords:

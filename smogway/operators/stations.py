@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,6 @@ from smogway.functions.spatial import KM_PER_DEGREE, haversine_km, linspace_inde
 from smogway.operators.quality import validate_columns
 from smogway.settings import DEFAULTS, Settings
 
-import math
-
 
 def stations_within_radius(
     stations: DataFrame,

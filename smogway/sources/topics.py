@@ -11,7 +11,7 @@ TRAFFIC_TOPIC = "traffic-raw"
 AIR_TOPIC = "air-quality-raw"
 
 
-def _traffic_key(record: Column) -> Column:
+def _traffic_key(record: Column, _text: Column) -> Column:
     fetched = J.field(record, "$._fetched_at")
     return F.when(fetched.isNull(), F.lit("unknown")).otherwise(J.non_empty(J.text_at(fetched, "$")))
 
@@ -20,7 +20,7 @@ def _known(text: Column) -> Column:
     return F.nullif(text, F.lit("unknown"))
 
 
-def _air_key(record: Column) -> Column:
+def _air_key(record: Column, text: Column) -> Column:
     location = J.field(record, "$.location")
     named = F.when(J.is_text(location), J.text_at(location, "$")).when(
         J.is_object(location), J.text_at(location, "$.id")
@@ -28,20 +28,25 @@ def _air_key(record: Column) -> Column:
     key = F.coalesce(
         _known(named),
         _known(J.text_at(record, "$.period.datetimeFrom.local")),
-        J.text_at(record, "$.value"),
+        F.get_json_object(text, "$.value"),  # as written: VARIANT would turn 18.0 into 18
         F.lit("unknown"),
     )
     return J.non_empty(key)
 
 
+def _keyed(raw: DataFrame, text: str, key) -> DataFrame:
+    parsed = J.evaluate_once(raw.select(text), {"_record": J.parse_lenient(F.col(text))})
+    return parsed.select(key(F.col("_record"), F.col(text)).alias("key"), F.col(text).alias("value"))
+
+
 def traffic_records(raw: DataFrame, text: str = "value") -> DataFrame:
     """(key, value) records of raw traffic JSON, keyed by fetch time."""
-    return raw.select(_traffic_key(J.parse_lenient(F.col(text))).alias("key"), F.col(text).alias("value"))
+    return _keyed(raw, text, _traffic_key)
 
 
 def air_records(raw: DataFrame, text: str = "value") -> DataFrame:
     """(key, value) records of raw air JSON, keyed by location, then time, then value."""
-    return raw.select(_air_key(J.parse_lenient(F.col(text))).alias("key"), F.col(text).alias("value"))
+    return _keyed(raw, text, _air_key)
 
 
 def publish(records: DataFrame, topic: str, fmt: str = "kafka", **options) -> None:
