@@ -1,7 +1,10 @@
 """Raw JSON records to typed rows.
 
-`classify_*` adds the typed columns and a `reason` (NULL for a good record) in one projection. Callers
-take `accepted` or `rejected`, or write the classified frame once and split it later.
+`classify_*` adds the typed columns and a `reason` (NULL for a good record). Callers take `accepted` or
+`rejected`, or write the classified frame once and split it later.
+
+Records of the canonical shape are read with a typed schema. Only the others are parsed into VARIANT,
+which can tell a missing key from an explicit null and a number from a quoted one.
 """
 
 from __future__ import annotations
@@ -49,6 +52,13 @@ def _typed(records: DataFrame, typed: dict[str, Column], raw: DataFrame, text: s
 # --- traffic -----------------------------------------------------------------------------------
 
 
+_TYPED_TRAFFIC = (
+    "flowSegmentData: struct<currentSpeed: double,"
+    " coordinates: struct<coordinate: array<struct<latitude: double, longitude: double>>>>,"
+    " _fetched_at: string"
+)
+
+
 def classify_traffic(
     raw: DataFrame,
     as_of: TimeLike,
@@ -63,39 +73,59 @@ def classify_traffic(
     road position. Columns of `raw` other than `text` are carried along.
     """
     validate_columns(raw, [text], "raw traffic")
-    records = J.evaluate_once(raw, {"_record": J.parse_lenient(F.col(text))})
+    typed = raw.withColumns({"_typed": J.parse_typed(F.col(text), _TYPED_TRAFFIC)})
+    spot = F.get(F.col("_typed.r.flowSegmentData.coordinates.coordinate"), F.lit(0))
+    typed = typed.withColumns(
+        {
+            "_t_speed": F.col("_typed.r.flowSegmentData.currentSpeed"),
+            "_t_lat": spot["latitude"],
+            "_t_lon": spot["longitude"],
+            "_t_fetched": F.col("_typed.r._fetched_at"),
+            "_intact": F.col("_typed.damaged").isNull(),
+        }
+    )
+    canonical = (
+        F.col("_intact")
+        & J.is_finite(F.col("_t_speed"))
+        & (F.col("_t_speed") > 0)
+        & J.is_finite(F.col("_t_lat"))
+        & J.is_finite(F.col("_t_lon"))
+    )
+    records = typed.withColumns({"_canonical": canonical})
+    is_canonical = F.col("_canonical")
+    records = records.withColumns({"_record": F.when(~is_canonical, J.parse_lenient(F.col(text)))})
     record = F.col("_record")
 
     flow = "$.flowSegmentData"
     point = f"{flow}.coordinates.coordinate[0]"
-    records = J.evaluate_once(
-        records,
+    records = records.withColumns(
         {
             "_current": J.field(record, f"{flow}.currentSpeed"),
             "_free": J.field(record, f"{flow}.freeFlowSpeed"),
             "_lat": J.field(record, f"{point}.latitude"),
             "_lon": J.field(record, f"{point}.longitude"),
-            "_fetched": J.text_at(record, "$._fetched_at"),
-        },
+            "_fetched": F.when(is_canonical, F.col("_t_fetched")).otherwise(
+                J.text_at(record, "$._fetched_at")
+            ),
+        }
     )
 
     def speed(value: Column) -> Column:
         # A missing key counts as zero; an explicit null or a quoted number makes the record bad.
         return F.when(value.isNull(), F.lit(0.0)).otherwise(J.strict_number(value))
 
-    records = J.evaluate_once(
-        records,
+    records = records.withColumns(
         {
-            "_cur": speed(F.col("_current")),
-            "_alt": speed(F.col("_free")),
-            "_lat_n": J.strict_number(F.col("_lat")),
-            "_lon_n": J.strict_number(F.col("_lon")),
-        },
+            "_cur": F.when(is_canonical, F.col("_t_speed")).otherwise(speed(F.col("_current"))),
+            "_alt": F.when(is_canonical, F.lit(0.0)).otherwise(speed(F.col("_free"))),
+            "_lat_n": F.when(is_canonical, F.col("_t_lat")).otherwise(J.strict_number(F.col("_lat"))),
+            "_lon_n": F.when(is_canonical, F.col("_t_lon")).otherwise(J.strict_number(F.col("_lon"))),
+        }
     )
     cur, alt = F.col("_cur"), F.col("_alt")
     moving = ~F.isnan(cur) & (cur > 0)
     chosen = F.when(cur.isNull(), F.lit(None)).when(moving, cur).otherwise(alt)
-    records = J.evaluate_once(records, {"_kmh": chosen * F.lit(settings.kmh_per_ms)})
+    records = records.withColumns({"_kmh": chosen * F.lit(settings.kmh_per_ms)})
 
     def unusable(value: Column, number: Column) -> Column:
         return value.isNotNull() & ~F.is_variant_null(value) & (number.isNull() | F.isnan(number))
@@ -196,28 +226,56 @@ def _station_name(record: Column) -> Column:
     return F.coalesce(named, J.text_at(record, "$.locationName"), F.lit("Unknown"))
 
 
+_TYPED_AIR = (
+    "date: string, datetime: string, period: struct<datetimeFrom: struct<local: string>>, value: double,"
+    " parameter: struct<name: string>, location: string, coordinates: struct<latitude: double, longitude: double>"
+)
+
+
 def classify_air(
     raw: DataFrame, text: str = "value", settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Typed view of raw air measurements, one row in, one row out. Other columns are carried along."""
     validate_columns(raw, [text], "raw air quality")
-    records = J.evaluate_once(raw, {"_record": J.parse_lenient(F.col(text))})
+    typed = raw.withColumns({"_typed": J.parse_typed(F.col(text), _TYPED_AIR)})
+    typed = typed.withColumns(
+        {
+            "_t_time": F.col("_typed.r.period.datetimeFrom.local"),
+            "_t_value": F.col("_typed.r.value"),
+            "_t_name": F.lower(F.col("_typed.r.parameter.name")),
+            "_t_location": F.col("_typed.r.location"),
+            "_t_lat": F.col("_typed.r.coordinates.latitude"),
+            "_t_lon": F.col("_typed.r.coordinates.longitude"),
+            "_direct": F.coalesce(F.col("_typed.r.date"), F.col("_typed.r.datetime")),
+            "_intact": F.col("_typed.damaged").isNull(),
+        }
+    )
+    canonical = (
+        F.col("_intact")
+        & F.col("_direct").isNull()
+        & (F.col("_t_time") != "")
+        & J.is_finite(F.col("_t_value"))
+        & (F.col("_t_name").contains("pm25") | F.col("_t_name").contains("pm2.5"))
+        & F.col("_t_location").rlike(r"^[^\[{]")
+        & ~F.col("_t_location").isin("false", "0")
+    )
+    records = typed.withColumns({"_canonical": F.coalesce(canonical, F.lit(False))})
+    is_canonical = F.col("_canonical")
+    records = records.withColumns({"_record": F.when(~is_canonical, J.parse_lenient(F.col(text)))})
     record = F.col("_record")
-    records = J.evaluate_once(
-        records,
+    records = records.withColumns(
         {
-            "_time_text": _measured_at(record),
+            "_time_text": F.when(is_canonical, F.col("_t_time")).otherwise(_measured_at(record)),
             "_value": J.field(record, "$.value"),
             "_parameter": J.field(record, "$.parameter"),
             "_parameter_name": J.field(record, "$.parameter.name"),
-        },
+        }
     )
-    records = J.evaluate_once(
-        records,
+    records = records.withColumns(
         {
             "_measured": parse_instant(F.col("_time_text"), "UTC"),
-            "_number": J.number_at(F.col("_value"), "$"),
-        },
+            "_number": F.when(is_canonical, F.col("_t_value")).otherwise(J.number_at(F.col("_value"), "$")),
+        }
     )
     parameter, parameter_name = F.col("_parameter"), F.col("_parameter_name")
     described = F.when(
@@ -229,7 +287,8 @@ def classify_air(
 
     value = F.col("_value")
     failure = (
-        F.when(record.isNull(), F.lit("invalid_json"))
+        F.when(is_canonical, F.lit("bad_timestamp"))
+        .when(record.isNull(), F.lit("invalid_json"))
         .when(~J.is_object(record), F.lit("not_an_object"))
         .when(F.col("_time_text").isNull(), F.lit("missing_timestamp"))
         .when(F.col("_measured").isNull(), F.lit("bad_timestamp"))
@@ -238,18 +297,20 @@ def classify_air(
         .when(~is_pm25, F.lit("not_pm25"))
         .otherwise(F.lit("bad_value"))
     )
-    good = F.col("_measured").isNotNull() & F.col("_number").isNotNull() & is_pm25 & ~unnamed
-    def coordinate(name: str) -> Column:
-        return F.coalesce(
+    usable = F.col("_number").isNotNull() & is_pm25 & ~unnamed
+    good = F.col("_measured").isNotNull() & F.when(is_canonical, F.lit(True)).otherwise(usable)
+    def coordinate(name: str, typed_column: str) -> Column:
+        nested = F.coalesce(
             J.number_at(record, f"$.coordinates.{name}"), J.number_at(record, f"$.location.coordinates.{name}")
         )
+        return F.when(is_canonical, F.col(typed_column)).otherwise(nested)
 
     typed = {
         "timestamp": F.col("_measured"),
-        "location": _station_name(record),
+        "location": F.when(is_canonical, F.col("_t_location")).otherwise(_station_name(record)),
         "pm25": nan_to_null(F.col("_number")),
-        "latitude": coordinate("latitude"),
-        "longitude": coordinate("longitude"),
+        "latitude": coordinate("latitude", "_t_lat"),
+        "longitude": coordinate("longitude", "_t_lon"),
         "reason": F.when(~good, failure),
     }
     return _typed(records, typed, raw, text)

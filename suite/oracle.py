@@ -111,11 +111,11 @@ PARSED_TRAFFIC = f"""parsed AS (
          CASE event_type WHEN 'view' THEN {SECOND} + INTERVAL 7 HOUR WHEN 'click' THEN {SECOND}
               ELSE {AS_OF} END AS timestamp,
          CASE WHEN event_type = 'purchase' THEN 'segment_unknown' ELSE {EVENT_CELL} END AS segment_id,
-         round(value * 3.6::DOUBLE, 2) AS velocity,
+         round(CASE WHEN event_type = 'view' AND value <= 0 THEN 33.0::DOUBLE ELSE value END * 3.6::DOUBLE, 2) AS velocity,
          CASE WHEN event_type = 'signup' THEN 'bad_speed'
               WHEN event_type = 'error' THEN 'no_flow_segment'
               WHEN event_type = 'purchase' AND value > 50 THEN 'bad_speed'
-              WHEN value <= 0 THEN 'non_positive_speed' END AS reason
+              WHEN value <= 0 AND event_type <> 'view' THEN 'non_positive_speed' END AS reason
   FROM events)"""
 
 PARSED_AIR = """parsed AS (
