@@ -17,7 +17,7 @@ from smogway.settings import DEFAULTS
 TimeLike = Column | datetime | str
 
 # Fixed patterns: ISO-8601 as the cast reads it, an offset at its end, and the rarer spellings.
-_PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?$"
+_PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?\s*(Z|[+-]\d{2}(:?\d{2})?)?$"
 _OFFSET = r"[T ].*(Z|[+-]\d{2}(:?\d{2})?)$"
 _RARE = (
     r"^(\d{4})-?(\d{2})-?(\d{2})"

@@ -14,10 +14,13 @@ from smogway.settings import DEFAULTS
 
 
 def is_critical(pm25_threshold: float, speed_threshold: float) -> Column:
-    """Strictly more PM2.5 and strictly less speed than the thresholds; false when either is unknown."""
-    high_pm = nan_to_null(F.col("avg_pm25")) > pm25_threshold
-    slow = nan_to_null(F.col("avg_speed")) < speed_threshold
-    return F.coalesce(high_pm & slow, F.lit(False))
+    """Strictly more PM2.5 and strictly less speed than the thresholds; false when either is unknown.
+
+    A conjunction that is never NULL: as a filter it splits, so each half reaches its side of the join
+    and the outer join turns into an inner one.
+    """
+    pm, speed = nan_to_null(F.col("avg_pm25")), nan_to_null(F.col("avg_speed"))
+    return pm.isNotNull() & speed.isNotNull() & (pm > pm25_threshold) & (speed < speed_threshold)
 
 
 def severity_index(pm25_full_scale: float, speed_full_scale: float) -> Column:
