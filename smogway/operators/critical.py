@@ -183,7 +183,10 @@ def consecutive_periods(hours_df: DataFrame, keys: Sequence[str] = (), column: s
 
 
 def in_hours(readings: DataFrame, hours_df: DataFrame, inside: bool = True) -> DataFrame:
-    """Readings whose hour is (or is not) among the hours of `hours_df`."""
+    """Readings whose hour is (or is not) among the hours of `hours_df`.
+
+    Pass stored hours: from their size the planner sees that the readings need no shuffle.
+    """
     wanted = hours_df.select(F.col("timestamp").alias("_hour")).distinct()
     keyed = readings.withColumn("_hour", time_bucket("timestamp"))
     return keyed.join(wanted, "_hour", "left_semi" if inside else "left_anti").drop("_hour")

@@ -139,17 +139,20 @@ def _save(df: DataFrame, spec: TableSpec, mode: str, **options) -> None:
 
 
 def write_table(df: DataFrame, spec: TableSpec, mode: str = "overwrite", settings: Settings = DEFAULTS) -> int:
-    """Write `df` and return its row count; with no rows nothing is written and the table stays.
+    """Write `df` and return its row count; with no rows an existing table stays as it is.
 
-    The rows are staged first. Counting them then costs nothing, an overwrite may read the table it
-    replaces, and a failure while computing them cannot leave the table half replaced.
+    The rows of an overwrite are staged first, so that it may read the table it replaces and a failure
+    while computing them cannot leave the table half replaced.
     """
     counted = Observation()
     laid_out = partitioned(df, spec, settings).observe(counted, F.count(F.lit(1)).alias("rows"))
+    if mode != "overwrite":
+        _save(laid_out, spec, "errorifexists" if mode == "error" else mode)
+        return counted.get["rows"]
     staged = stage(laid_out, "write")
     rows = counted.get["rows"]
     if rows:
-        _save(staged, spec, "errorifexists" if mode == "error" else mode)
+        _save(staged, spec, mode)
     return rows
 
 
@@ -185,13 +188,11 @@ def upsert_table(
     except FileNotFoundError:
         merged = deduped
     else:
+        # A set with one number per touched partition, used as a partition filter: no join, no shuffle.
         weight = dict(zip(_DATE_PARTS, (10_000, 100, 1)))
         ordinal = sum((F.col(p) * weight[p] for p in parts), F.lit(0))
-        touched = fresh.select(*parts).distinct()
-        span = touched.agg(F.min(ordinal).alias("lo"), F.max(ordinal).alias("hi"))
-        affected = existing.where(
-            ordinal.between(span.select("lo").scalar(), span.select("hi").scalar())
-        ).join(touched, parts, "left_semi")
+        touched = fresh.agg(F.collect_set(ordinal)).scalar()
+        affected = existing.where(F.array_contains(touched, ordinal))
         merged = upsert(affected, deduped, keys)
     _save(merged.select(*stored_columns), spec, "overwrite", partitionOverwriteMode="dynamic")
 

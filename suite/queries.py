@@ -49,18 +49,17 @@ def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     return df.withColumns({c: F.round(c, special.get(c, digits)) for c in doubles})
 
 
-def views(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return A.hourly_traffic(src.traffic(spark, d)), A.hourly_air(src.air(spark, d))
+def stored(readings: DataFrame, measurements: DataFrame, width: str = "1 hour") -> tuple[DataFrame, DataFrame]:
+    """Both hourly views behind the layer boundary: raw data is read once, the views several times."""
+    return stage(A.hourly_traffic(readings, width), "batch-view"), stage(A.hourly_air(measurements, width), "hourly-air")
 
 
-def views_with_outages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return A.hourly_traffic(src.traffic_with_outage(spark, d)), A.hourly_air(src.air_with_outage(spark, d))
+def views(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return stored(src.traffic(spark, d), src.air(spark, d))
 
 
-def stored_views(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The layer boundary: alignment and recency look at the views several times."""
-    batch, air = views(spark, d)
-    return stage(batch, "batch-view"), stage(air, "hourly-air")
+def views_with_outages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return stored(src.traffic_with_outage(spark, d), src.air_with_outage(spark, d))
 
 
 def flagged(spark: SparkSession, d: str) -> DataFrame:
@@ -97,9 +96,8 @@ def time_of_day_profile_fine(spark, d):
 
 @query
 def day_grain_volume(spark, d):
-    batch = A.hourly_traffic(src.daily_traffic(spark, d), "1 day")
-    air = A.hourly_air(src.daily_air(spark, d), "1 day")
-    combined = C.flag_critical(I.combine(batch, air, aligned=False))
+    daily = stored(src.daily_traffic(spark, d), src.daily_air(spark, d), "1 day")
+    combined = C.flag_critical(I.combine(*daily, aligned=False))
     return rounded(combined, severity_index=9)
 
 
@@ -114,12 +112,12 @@ def combined_outer(spark, d):
 @query
 def combined_no_air(spark, d):
     broken = src.air(spark, d).withColumn("pm25", F.lit(-999.0))
-    return rounded(I.combine(A.hourly_traffic(src.traffic(spark, d)), A.hourly_air(broken), aligned=False))
+    return rounded(I.combine(*stored(src.traffic(spark, d), broken), aligned=False))
 
 
 @query
 def recent_or_all(spark, d):
-    batch, air = stored_views(spark, d)
+    batch, air = views(spark, d)
     recent = FL.recent_or_all(batch.select("timestamp"), src.AS_OF)
     everything = FL.recent_or_all(air.select("timestamp"), "2024-03-01 00:00:00")
     both = recent.withColumn("side", F.lit("traffic")).unionByName(everything.withColumn("side", F.lit("air")))
@@ -128,29 +126,28 @@ def recent_or_all(spark, d):
 
 @query
 def aligned_batch(spark, d):
-    return rounded(I.align(*stored_views(spark, d))[0])
+    return rounded(I.align(*views(spark, d))[0])
 
 
 @query
 def aligned_air(spark, d):
-    return rounded(I.align(*stored_views(spark, d))[1], 8)
+    return rounded(I.align(*views(spark, d))[1], 8)
 
 
 @query
 def combined_aligned(spark, d):
-    return rounded(I.combine(*stored_views(spark, d)), 8)
+    return rounded(I.combine(*views(spark, d)), 8)
 
 
 @query
 def combined_recent_aligned(spark, d):
-    return rounded(I.combine(*stored_views(spark, d), as_of=src.AS_OF), 8)
+    return rounded(I.combine(*views(spark, d), as_of=src.AS_OF), 8)
 
 
 @query
 def combined_too_far_apart(spark, d):
-    batch = stage(A.hourly_traffic(src.traffic(spark, d)), "batch-view")
     stopped = src.air(spark, d).where(F.col("timestamp") < F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"))
-    return rounded(I.combine(batch, stage(A.hourly_air(stopped), "hourly-air")), 8)
+    return rounded(I.combine(*stored(src.traffic(spark, d), stopped)), 8)
 
 
 @query
@@ -174,13 +171,13 @@ def critical_periods(spark, d):
 
 @query
 def critical_periods_aligned(spark, d):
-    combined = I.combine(*stored_views(spark, d))
+    combined = I.combine(*views(spark, d))
     return rounded(C.critical_only(C.flag_critical(combined)), 8, severity_index=10)
 
 
 @query
 def summary_stats(spark, d):
-    return rounded(C.summary_stats(stage(C.flag_critical(I.combine(*stored_views(spark, d))), "combined")))
+    return rounded(C.summary_stats(stage(C.flag_critical(I.combine(*views(spark, d))), "combined")))
 
 
 @query
@@ -243,14 +240,19 @@ def range_filter(spark, d):
     return FL.within_range_of(src.traffic(spark, d), severe)
 
 
+def bad_air_hours(spark: SparkSession, d: str) -> DataFrame:
+    # Staged, so that the planner knows its true size and need not shuffle the readings to join it.
+    return stage(A.critical_hours(src.air(spark, d)), "bad-hours")
+
+
 @query
 def readings_in_bad_air_hours(spark, d):
-    return C.in_hours(src.traffic(spark, d), A.critical_hours(src.air(spark, d)))
+    return C.in_hours(src.traffic(spark, d), bad_air_hours(spark, d))
 
 
 @query
 def readings_in_ok_hours(spark, d):
-    return C.in_hours(src.traffic(spark, d), A.critical_hours(src.air(spark, d)), inside=False)
+    return C.in_hours(src.traffic(spark, d), bad_air_hours(spark, d), inside=False)
 
 
 # --- parsing -----------------------------------------------------------------------------------
