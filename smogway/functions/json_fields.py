@@ -45,17 +45,31 @@ def is_finite(number: Column) -> Column:
     return number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
 
 
-def field(record: Column, path: str) -> Column:
+def members(value: Column) -> Column:
+    """The members of a JSON object as a map; NULL for anything else.
+
+    Looking a key up here is much cheaper than a path query when the key is often missing.
+    """
+    return F.try_variant_get(value, "$", "map<string, variant>")
+
+
+def member(object_members: Column, key: str) -> Column:
     """Sub-value as VARIANT: NULL when the key is missing, a variant null when it is null."""
-    return F.try_variant_get(record, path, "variant")
+    return F.try_element_at(object_members, F.lit(key))
 
 
-def text_at(record: Column, path: str) -> Column:
-    return F.try_variant_get(record, path, "string")
+def first_element(value: Column) -> Column:
+    """First element of a JSON array; NULL for anything else."""
+    return F.try_variant_get(value, "$[0]", "variant")
 
 
-def number_at(record: Column, path: str) -> Column:
-    return F.try_variant_get(record, path, "double")
+def as_text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def as_number(value: Column) -> Column:
+    """Number of a JSON number, boolean or quoted number; NULL otherwise."""
+    return F.try_variant_get(value, "$", "double")
 
 
 def json_type(value: Column) -> Column:
@@ -63,17 +77,13 @@ def json_type(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(json_type(value).startswith("OBJECT<"), F.lit(False))
-
-
 def is_text(value: Column) -> Column:
     return F.coalesce(json_type(value) == "STRING", F.lit(False))
 
 
 def is_blank(value: Column) -> Column:
     """Missing, null, false, zero or empty."""
-    rendered = F.try_variant_get(value, "$", "string")
+    rendered = as_text(value)
     return rendered.isNull() | rendered.isin("", "{}", "[]", "false", "0")
 
 
@@ -83,6 +93,5 @@ def non_empty(text: Column) -> Column:
 
 def strict_number(value: Column) -> Column:
     """A JSON number as DOUBLE; quoted numbers are rejected, a rewritten bare NaN stays NaN."""
-    as_text = F.try_variant_get(value, "$", "string")
-    quoted = F.when(as_text == "NaN", F.lit(float("nan")))
-    return F.when(is_text(value), quoted).otherwise(F.try_variant_get(value, "$", "double"))
+    quoted = F.when(as_text(value) == "NaN", F.lit(float("nan")))
+    return F.when(is_text(value), quoted).otherwise(as_number(value))

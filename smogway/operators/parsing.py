@@ -96,16 +96,19 @@ def classify_traffic(
     records = records.withColumns({"_record": F.when(~is_canonical, J.parse_lenient(F.col(text)))})
     record = F.col("_record")
 
-    flow = "$.flowSegmentData"
-    point = f"{flow}.coordinates.coordinate[0]"
+    records = records.withColumn("_top", J.members(record))
+    records = records.withColumn("_segment", J.member(F.col("_top"), "flowSegmentData"))
+    records = records.withColumn("_flow", J.members(F.col("_segment")))
+    records = records.withColumn("_path", J.members(J.member(F.col("_flow"), "coordinates")))
+    records = records.withColumn("_point", J.members(J.first_element(J.member(F.col("_path"), "coordinate"))))
     records = records.withColumns(
         {
-            "_current": J.field(record, f"{flow}.currentSpeed"),
-            "_free": J.field(record, f"{flow}.freeFlowSpeed"),
-            "_lat": J.field(record, f"{point}.latitude"),
-            "_lon": J.field(record, f"{point}.longitude"),
+            "_current": J.member(F.col("_flow"), "currentSpeed"),
+            "_free": J.member(F.col("_flow"), "freeFlowSpeed"),
+            "_lat": J.member(F.col("_point"), "latitude"),
+            "_lon": J.member(F.col("_point"), "longitude"),
             "_fetched": F.when(is_canonical, F.col("_t_fetched")).otherwise(
-                J.text_at(record, "$._fetched_at")
+                J.as_text(J.member(F.col("_top"), "_fetched_at"))
             ),
         }
     )
@@ -141,12 +144,11 @@ def classify_traffic(
     )
     kmh = F.col("_kmh")
     is_positive = kmh.isNotNull() & (F.isnan(kmh) | (kmh > 0))
-    # Type checks on whole objects are only evaluated for records that failed the cheap test.
     failure = (
         F.when(record.isNull(), F.lit("invalid_json"))
-        .when(~J.is_object(record), F.lit("not_an_object"))
-        .when(J.is_blank(J.field(record, flow)), F.lit("no_flow_segment"))
-        .when(~J.is_object(J.field(record, flow)), F.lit("bad_flow_segment"))
+        .when(F.col("_top").isNull(), F.lit("not_an_object"))
+        .when(J.is_blank(F.col("_segment")), F.lit("no_flow_segment"))
+        .when(F.col("_flow").isNull(), F.lit("bad_flow_segment"))
         .when(kmh.isNull(), F.lit("bad_speed"))
         .otherwise(F.lit("non_positive_speed"))
     )
@@ -178,52 +180,54 @@ def parse_traffic(raw: DataFrame, as_of: TimeLike, **options) -> ParsedRecords:
 _TIME_KEYS = ("local", "LOCAL", "utc", "UTC")
 
 
-def _time_in_object(record: Column, path: str) -> Column:
-    return F.coalesce(*[J.non_empty(J.text_at(record, f"{path}.{key}")) for key in _TIME_KEYS])
+def _time_in(value: Column, object_members: Column) -> Column:
+    """Time text of a value that is a scalar or a time object."""
+    texts = [J.non_empty(J.as_text(J.member(object_members, key))) for key in _TIME_KEYS]
+    return F.when(object_members.isNotNull(), F.coalesce(*texts)).otherwise(J.non_empty(J.as_text(value)))
 
 
-def _time_in_field(record: Column, path: str) -> Column:
-    """Time text of a field that is a scalar or a time object."""
-    value = J.field(record, path)
-    return F.when(J.is_object(value), _time_in_object(record, path)).otherwise(
-        J.non_empty(J.text_at(record, path))
-    )
-
+def _with_time_text(records: DataFrame) -> DataFrame:
+    """Add `_measured_text`: the time of `date`, else of `datetime`, else the start or end of the period."""
 
-def _period_end(record: Column, camel: str, snake: str) -> Column:
-    def end(name: str) -> Column:
-        path = f"$.period.{name}"
-        value = J.field(record, path)
-        text = F.when(J.is_text(value), J.non_empty(J.text_at(record, path)))
-        return F.coalesce(_time_in_object(record, path), text)
+    def either(camel: str, snake: str) -> Column:
+        first = J.member(F.col("_period"), camel)
+        return F.when(J.is_blank(first), J.member(F.col("_period"), snake)).otherwise(first)
 
-    return F.when(J.is_blank(J.field(record, f"$.period.{camel}")), end(snake)).otherwise(end(camel))
+    records = records.withColumns(
+        {
+            "_date": J.member(F.col("_top"), "date"),
+            "_datetime": J.member(F.col("_top"), "datetime"),
+            "_period": J.members(J.member(F.col("_top"), "period")),
+        }
+    )
+    records = records.withColumns(
+        {"_from": either("datetimeFrom", "datetime_from"), "_to": either("datetimeTo", "datetime_to")}
+    )
+    names_of_times = ["_date", "_datetime", "_from", "_to"]
+    records = records.withColumns({f"{name}_object": J.members(F.col(name)) for name in names_of_times})
 
+    def time_of(name: str, text_only: bool = False) -> Column:
+        value, fields = F.col(name), F.col(f"{name}_object")
+        found = _time_in(value, fields)
+        return F.when(fields.isNotNull() | J.is_text(value), found) if text_only else found
 
-def _measured_at(record: Column) -> Column:
-    has_date = J.field(record, "$.date").isNotNull()
-    has_datetime = J.field(record, "$.datetime").isNotNull()
-    direct = F.when(has_date, _time_in_field(record, "$.date")).when(
-        has_datetime, _time_in_field(record, "$.datetime")
-    )
-    return F.coalesce(
-        direct,
-        _period_end(record, "datetimeFrom", "datetime_from"),
-        _period_end(record, "datetimeTo", "datetime_to"),
+    direct = F.when(F.col("_date").isNotNull(), time_of("_date")).when(
+        F.col("_datetime").isNotNull(), time_of("_datetime")
     )
+    text = F.coalesce(direct, time_of("_from", True), time_of("_to", True))
+    return records.withColumn("_measured_text", text)
 
 
-def _station_name(record: Column) -> Column:
-    location = J.field(record, "$.location")
+def _station_name(top: Column, location: Column, location_members: Column) -> Column:
     named = (
         F.when(J.is_blank(location), F.lit(None))
         .when(
-            J.is_object(location),
-            F.coalesce(J.text_at(record, "$.location.name"), J.text_at(record, "$.location.id")),
+            location_members.isNotNull(),
+            F.coalesce(*[J.as_text(J.member(location_members, key)) for key in ("name", "id")]),
         )
-        .otherwise(J.text_at(record, "$.location"))
+        .otherwise(J.as_text(location))
     )
-    return F.coalesce(named, J.text_at(record, "$.locationName"), F.lit("Unknown"))
+    return F.coalesce(named, J.as_text(J.member(top, "locationName")), F.lit("Unknown"))
 
 
 _TYPED_AIR = (
@@ -263,24 +267,39 @@ def classify_air(
     is_canonical = F.col("_canonical")
     records = records.withColumns({"_record": F.when(~is_canonical, J.parse_lenient(F.col(text)))})
     record = F.col("_record")
+    top = F.col("_top")
+    records = _with_time_text(records.withColumn("_top", J.members(record)))
+    records = records.withColumns(
+        {
+            "_time_text": F.when(is_canonical, F.col("_t_time")).otherwise(F.col("_measured_text")),
+            "_value": J.member(top, "value"),
+            "_parameter": J.member(top, "parameter"),
+            "_location": J.member(top, "location"),
+            "_spot": J.members(J.member(top, "coordinates")),
+        }
+    )
+    records = records.withColumns(
+        {
+            "_parameter_object": J.members(F.col("_parameter")),
+            "_location_object": J.members(F.col("_location")),
+        }
+    )
     records = records.withColumns(
         {
-            "_time_text": F.when(is_canonical, F.col("_t_time")).otherwise(_measured_at(record)),
-            "_value": J.field(record, "$.value"),
-            "_parameter": J.field(record, "$.parameter"),
-            "_parameter_name": J.field(record, "$.parameter.name"),
+            "_parameter_name": J.member(F.col("_parameter_object"), "name"),
+            "_location_spot": J.members(J.member(F.col("_location_object"), "coordinates")),
         }
     )
     records = records.withColumns(
         {
             "_measured": parse_instant(F.col("_time_text"), "UTC"),
-            "_number": F.when(is_canonical, F.col("_t_value")).otherwise(J.number_at(F.col("_value"), "$")),
+            "_number": F.when(is_canonical, F.col("_t_value")).otherwise(J.as_number(F.col("_value"))),
         }
     )
     parameter, parameter_name = F.col("_parameter"), F.col("_parameter_name")
     described = F.when(
-        J.is_object(parameter), F.coalesce(J.text_at(parameter_name, "$"), F.lit(""))
-    ).otherwise(F.coalesce(J.text_at(parameter, "$"), F.lit("none")))
+        F.col("_parameter_object").isNotNull(), F.coalesce(J.as_text(parameter_name), F.lit(""))
+    ).otherwise(F.coalesce(J.as_text(parameter), F.lit("none")))
     pollutant = F.lower(described)
     is_pm25 = parameter.isNull() | pollutant.contains("pm25") | pollutant.contains("pm2.5")
     unnamed = parameter_name.isNotNull() & ~J.is_text(parameter_name)
@@ -289,7 +308,7 @@ def classify_air(
     failure = (
         F.when(is_canonical, F.lit("bad_timestamp"))
         .when(record.isNull(), F.lit("invalid_json"))
-        .when(~J.is_object(record), F.lit("not_an_object"))
+        .when(top.isNull(), F.lit("not_an_object"))
         .when(F.col("_time_text").isNull(), F.lit("missing_timestamp"))
         .when(F.col("_measured").isNull(), F.lit("bad_timestamp"))
         .when(unnamed, F.lit("bad_parameter"))
@@ -301,13 +320,15 @@ def classify_air(
     good = F.col("_measured").isNotNull() & F.when(is_canonical, F.lit(True)).otherwise(usable)
     def coordinate(name: str, typed_column: str) -> Column:
         nested = F.coalesce(
-            J.number_at(record, f"$.coordinates.{name}"), J.number_at(record, f"$.location.coordinates.{name}")
+            *[J.as_number(J.member(F.col(spot), name)) for spot in ("_spot", "_location_spot")]
         )
         return F.when(is_canonical, F.col(typed_column)).otherwise(nested)
 
     typed = {
         "timestamp": F.col("_measured"),
-        "location": F.when(is_canonical, F.col("_t_location")).otherwise(_station_name(record)),
+        "location": F.when(is_canonical, F.col("_t_location")).otherwise(
+            _station_name(top, F.col("_location"), F.col("_location_object"))
+        ),
         "pm25": nan_to_null(F.col("_number")),
         "latitude": coordinate("latitude", "_t_lat"),
         "longitude": coordinate("longitude", "_t_lon"),

@@ -11,23 +11,24 @@ TRAFFIC_TOPIC = "traffic-raw"
 AIR_TOPIC = "air-quality-raw"
 
 
-def _traffic_key(record: Column, _text: Column) -> Column:
-    fetched = J.field(record, "$._fetched_at")
-    return F.when(fetched.isNull(), F.lit("unknown")).otherwise(J.non_empty(J.text_at(fetched, "$")))
+def _traffic_key(top: Column, _text: Column) -> Column:
+    fetched = J.member(top, "_fetched_at")
+    return F.when(fetched.isNull(), F.lit("unknown")).otherwise(J.non_empty(J.as_text(fetched)))
 
 
 def _known(text: Column) -> Column:
     return F.nullif(text, F.lit("unknown"))
 
 
-def _air_key(record: Column, text: Column) -> Column:
-    location = J.field(record, "$.location")
-    named = F.when(J.is_text(location), J.text_at(location, "$")).when(
-        J.is_object(location), J.text_at(location, "$.id")
+def _air_key(top: Column, text: Column) -> Column:
+    location = J.member(top, "location")
+    named = F.when(J.is_text(location), J.as_text(location)).otherwise(
+        J.as_text(J.member(J.members(location), "id"))
     )
+    starts = J.members(J.member(J.members(J.member(top, "period")), "datetimeFrom"))
     key = F.coalesce(
         _known(named),
-        _known(J.text_at(record, "$.period.datetimeFrom.local")),
+        _known(J.as_text(J.member(starts, "local"))),
         F.get_json_object(text, "$.value"),  # as written: VARIANT would turn 18.0 into 18
         F.lit("unknown"),
     )
@@ -35,8 +36,8 @@ def _air_key(record: Column, text: Column) -> Column:
 
 
 def _keyed(raw: DataFrame, text: str, key) -> DataFrame:
-    parsed = J.evaluate_once(raw.select(text), {"_record": J.parse_lenient(F.col(text))})
-    return parsed.select(key(F.col("_record"), F.col(text)).alias("key"), F.col(text).alias("value"))
+    parsed = raw.select(text, J.members(J.parse_lenient(F.col(text))).alias("_top"))
+    return parsed.select(key(F.col("_top"), F.col(text)).alias("key"), F.col(text).alias("value"))
 
 
 def traffic_records(raw: DataFrame, text: str = "value") -> DataFrame:
