@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,8 @@ def recent_views(
         ).scalar()
         return view.where(F.col("timestamp") >= lower)
 
-    has_air = air.agg(F.max("timestamp")).scalar().isNotNull()
-    return cut(batch, lambda recent: recent & has_air), cut(air, lambda recent: recent)
+    no_air = is_empty(air)
+    return cut(batch, lambda recent: recent & ~no_air), cut(air, lambda recent: recent)
 
 
 def alignment_hour(
@@ -57,12 +59,22 @@ def alignment_hour(
     return later.select(time_bucket("later")).scalar()
 
 
-def snap(view: DataFrame, target: Column, tolerance_hours: float = DEFAULTS.tolerance_hours) -> DataFrame:
-    """Move the rows within the tolerance of `target`, both ends included, onto it."""
+def merge_newest(
+    view: DataFrame,
+    target: Column,
+    reaggregate: Callable[[DataFrame], DataFrame],
+    tolerance_hours: float = DEFAULTS.tolerance_hours,
+) -> DataFrame:
+    """Move the rows within the tolerance of `target`, both ends included, onto it and merge them.
+
+    Only those rows are aggregated again. The rest of the view, unique by hour and segment already,
+    passes through without a shuffle.
+    """
     gap = hours(tolerance_hours)
     ts = F.col("timestamp")
-    near = (ts >= target - gap) & (ts <= target + gap)
-    return view.withColumn("timestamp", F.when(near, target).otherwise(ts))
+    near = F.coalesce((ts >= target - gap) & (ts <= target + gap), F.lit(False))
+    newest = reaggregate(view.where(near).withColumn("timestamp", target))
+    return view.where(~near).unionByName(newest)
 
 
 def align(
@@ -77,19 +89,25 @@ def align(
     """
     target = alignment_hour(batch, air, tolerance_hours)
     return (
-        reaggregate_traffic(snap(batch, target, tolerance_hours), weighted),
-        reaggregate_air(snap(air, target, tolerance_hours), weighted),
+        merge_newest(batch, target, lambda v: reaggregate_traffic(v, weighted), tolerance_hours),
+        merge_newest(air, target, lambda v: reaggregate_air(v, weighted), tolerance_hours),
     )
 
 
-def join_views(batch: DataFrame, air: DataFrame) -> DataFrame:
+def is_empty(view: DataFrame) -> Column:
+    return view.agg(F.max("timestamp")).scalar().isNull()
+
+
+def join_views(batch: DataFrame, air: DataFrame, no_air: Column | None = None) -> DataFrame:
     """Full outer join on the hour: many segments to at most one air row.
 
     Written as left join plus the air-only hours. Unlike a full outer join this lets Spark broadcast
     the air side when its measured size allows, split a hot hour, and drop the second branch when a
-    later filter needs traffic. With no air data at all the counts are 0 instead of NULL.
+    later filter needs traffic. With no air data at all (`no_air`, if known) the counts are 0 instead
+    of NULL.
     """
-    no_air = air.agg(F.max("timestamp")).scalar().isNull()
+    if no_air is None:
+        no_air = is_empty(air)
     matched = batch.join(air, "timestamp", "left")
     air_only = air.join(batch.select("timestamp").distinct(), "timestamp", "left_anti")
     combined = matched.unionByName(air_only, allowMissingColumns=True)
@@ -112,11 +130,12 @@ def combine(
     views several times, so pass stored views rather than unfinished aggregations of raw data.
     """
     batch, air = canonical_batch(batch), canonical_air(air)
+    no_air = is_empty(air)  # neither step below can empty it
     if as_of is not None:
         batch, air = recent_views(batch, air, as_of, recency_hours)
     if aligned:
         batch, air = align(batch, air, tolerance_hours, weighted)
-    return join_views(batch, air)
+    return join_views(batch, air, no_air)
 
 
 def coverage(combined: DataFrame) -> DataFrame:
