@@ -52,9 +52,18 @@ def air_records(raw: DataFrame, text: str = "value") -> DataFrame:
 
 def publish(records: DataFrame, topic: str, fmt: str = "kafka", **options) -> None:
     """Send (key, value) records. Needs the connector of `fmt` on the class path."""
-    records.selectExpr("CAST(key AS STRING) key", "CAST(value AS STRING) value").write.format(fmt).options(
-        **options
-    ).option("topic", topic).save()
+    messages = records.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    messages.write.format(fmt).options(**options).option("topic", topic).mode("append").save()
+
+
+def publish_traffic(raw: DataFrame, topic: str = TRAFFIC_TOPIC, fmt: str = "kafka", **options) -> None:
+    """Load raw traffic records, e.g. a file, into a topic."""
+    publish(traffic_records(raw), topic, fmt, **options)
+
+
+def publish_air(raw: DataFrame, topic: str = AIR_TOPIC, fmt: str = "kafka", **options) -> None:
+    """Load raw air measurements, e.g. a file, into a topic."""
+    publish(air_records(raw), topic, fmt, **options)
 
 
 def _as_raw(messages: DataFrame) -> DataFrame:

@@ -6,11 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from smogway.functions.timestamps import TimeLike
+from smogway.operators.filters import retained
 from smogway.settings import DEFAULTS, Settings
-from smogway.sources.tables import TableSpec, partitioned, upsert_table
+from smogway.sources.tables import TableSpec, partitioned, read_table, upsert_table, write_table
 
 POLL = {"processingTime": f"{DEFAULTS.polling_minutes} minutes"}
 DRAIN = {"availableNow": True}
@@ -71,6 +74,39 @@ def upsert_stream(
     )
 
 
+def retained_stream(
+    df: DataFrame,
+    spec: TableSpec,
+    checkpoint: str,
+    as_of: Callable[[], TimeLike],
+    column: str,
+    retention_hours: float = DEFAULTS.retention_hours,
+    trigger: dict = DRAIN,
+) -> StreamingQuery:
+    """Collect a stream into a table that keeps only the last hours before `as_of()`.
+
+    Every micro-batch rewrites the table, whose size the window bounds. Rows carry their `batch_id`, so
+    that a replayed batch replaces its own rows instead of adding them again. `spec.schema` names it.
+    """
+
+    def collect(batch: DataFrame, batch_id: int) -> None:
+        new = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        try:
+            existing = read_table(batch.sparkSession, spec).where(F.col("batch_id") != batch_id)
+        except FileNotFoundError:
+            existing = new.limit(0)
+        kept = retained(existing, new, as_of(), retention_hours, column)
+        write_table(kept.select(*spec.schema.fieldNames()), spec)
+
+    return (
+        df.writeStream.foreachBatch(collect)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def run_until_done(start: Callable[[], StreamingQuery], restarts: int = 0) -> StreamingQuery:
     """Wait for a bounded query; after a failure start it again from its checkpoint, at most `restarts` times."""
     for attempt in range(restarts + 1):

@@ -385,4 +385,6 @@ WHERE timestamp + INTERVAL 1 HOUR <= (SELECT least((SELECT max(timestamp) FROM t
   (SELECT max(timestamp) FROM air_up WHERE pm25 > 0)) - INTERVAL 2 HOUR)"""),
     "stream_upsert": sql([AIR], """SELECT date_trunc('hour', timestamp) AS timestamp, location, round(pm25, 6) AS pm25, event_id
 FROM air QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', timestamp), location ORDER BY event_id DESC) = 1"""),
+    "stream_retention": f"""SELECT event_id FROM events
+WHERE date_trunc('second', ts) >= {AS_OF} - INTERVAL 24 HOUR""",
 }

@@ -591,3 +591,15 @@ def stream_upsert(spark, d):
     sinks.run_until_done(lambda: sinks.upsert_stream(stamped, spec, checkpoint, order_by=["event_id"]))
     view = tables.read_table(spark, spec).drop("year", "month", "day")
     return rounded(view.withColumn("timestamp", utc_wall_clock(F.col("timestamp"))))
+
+
+@query
+def stream_retention(spark, d):
+    responses = _event_stream(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("_fetched_at"))
+    schema = T.StructType([*responses.schema.fields, T.StructField("batch_id", T.LongType())])
+    spec = tables.TableSpec(fresh_path(spark, "stream-window"), schema)
+    checkpoint = fresh_path(spark, "stream-window-checkpoint")
+    sinks.run_until_done(
+        lambda: sinks.retained_stream(responses, spec, checkpoint, lambda: src.AS_OF, "_fetched_at")
+    )
+    return tables.read_table(spark, spec).select("event_id")

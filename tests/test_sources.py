@@ -171,3 +171,9 @@ def test_topic_reader_without_connector(spark):
     messages = spark.createDataFrame([(b"{}", 0, 5, JAN)], "value binary, partition int, offset bigint, timestamp timestamp")
     raw = topics._as_raw(messages)
     assert raw.columns == ["value", "ingest_seq"] and raw.first().value == "{}"
+
+
+def test_publishing(spark):
+    raw = spark.createDataFrame([("{}",)], "value string")
+    topics.publish_traffic(raw, fmt="noop")
+    topics.publish_air(raw, fmt="noop")

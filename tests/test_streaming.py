@@ -149,3 +149,22 @@ def test_polling_query_stops_after_the_wanted_batches(spark, tmp_path):
     assert not query.isActive
     assert read_table(spark, spec).count() == 3
     assert isinstance(read_table(spark, spec).schema["year"].dataType, T.IntegerType)
+
+
+def test_collected_window_survives_a_replay(spark, tmp_path):
+    source = tmp_path / "in"
+    schema = T.StructType([*RAW_TEXT.fields, T.StructField("_fetched_at", T.StringType()), T.StructField("batch_id", T.LongType())])
+    spec = TableSpec(str(tmp_path / "window"), schema)
+
+    def collect(checkpoint, hours):
+        raw = text_stream(spark, source)
+        stamped = raw.select("value", F.get_json_object("value", "$._fetched_at").alias("_fetched_at"))
+        now = (START + timedelta(hours=hours)).isoformat()
+        sinks.run_until_done(lambda: sinks.retained_stream(stamped, spec, str(tmp_path / checkpoint), lambda: now, "_fetched_at"))
+        return read_table(spark, spec).count()
+
+    drop(source, "1.json", [traffic_record(m, 5) for m in (0, 60, 120)] + ["{}"])
+    assert collect("c1", 24) == 4
+    assert collect("c2", 24) == 4  # the same batch once more, as after a crash before its commit
+    drop(source, "2.json", [traffic_record(60 * 25, 5)])
+    assert collect("c2", 25.5) == 3
