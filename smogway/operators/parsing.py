@@ -181,9 +181,15 @@ _TIME_KEYS = ("local", "LOCAL", "utc", "UTC")
 
 
 def _time_in(value: Column, object_members: Column) -> Column:
-    """Time text of a value that is a scalar or a time object."""
-    texts = [J.non_empty(J.as_text(J.member(object_members, key))) for key in _TIME_KEYS]
-    return F.when(object_members.isNotNull(), F.coalesce(*texts)).otherwise(J.non_empty(J.as_text(value)))
+    """Time text of a value that is a scalar or a time object.
+
+    The array functions also end the generated code here: with four unrolled cascades it would be too
+    long for the JVM to compile.
+    """
+    keys = F.array(*[F.lit(key) for key in _TIME_KEYS])
+    texts = F.transform(keys, lambda key: J.non_empty(J.as_text(F.try_element_at(object_members, key))))
+    first = F.get(F.filter(texts, lambda text: text.isNotNull()), F.lit(0))
+    return F.when(object_members.isNotNull(), first).otherwise(J.non_empty(J.as_text(value)))
 
 
 def _with_time_text(records: DataFrame) -> DataFrame:
