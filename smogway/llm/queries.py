@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from smogway.llm.exact_dedup import exact_groups
 from smogway.llm.mixing import mix
+from smogway.llm.suffix_dedup import remove_repeated_bytes
 from smogway.llm.windows import remove_repeated_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,40 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+@query
+def op2_suffix_dedup(spark, d):
+    cut = remove_repeated_bytes(documents(spark, d))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+ORACLE["op2_suffix_dedup"] = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n_bytes FROM documents
+), bytes AS (
+  SELECT doc_id, i, CASE WHEN i + 49 <= n_bytes THEN md5_number(substr(h, 2 * i - 1, 100)) END AS seq
+  FROM (SELECT *, unnest(range(1, n_bytes + 1)) AS i FROM docs)
+), firsts AS (
+  SELECT seq, min(doc_id) AS first_id FROM bytes WHERE seq IS NOT NULL GROUP BY seq
+), flagged AS (
+  SELECT b.doc_id, b.i, CASE WHEN f.first_id < b.doc_id THEN b.i END AS again
+  FROM bytes b LEFT JOIN firsts f ON b.seq = f.seq
+), covered AS (
+  SELECT doc_id, i, coalesce(i - max(again) OVER (PARTITION BY doc_id ORDER BY i) < 50, false) AS gone FROM flagged
+), runs AS (
+  SELECT doc_id, gone, min(i) AS lo, count(*) AS n
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS run FROM covered)
+  GROUP BY doc_id, gone, run
+), cut AS (
+  SELECT doc_id, sum(n) FILTER (WHERE gone)::BIGINT AS n_removed, count(*) FILTER (WHERE gone) AS n_spans,
+         string_agg(substr(h, 2 * lo - 1, 2 * n), '' ORDER BY lo) FILTER (WHERE NOT gone) AS kept
+  FROM runs JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, d.n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs d LEFT JOIN cut USING (doc_id)
+"""
+
+
 @query
 def op7_exact_dedup(spark, d):
     return exact_groups(documents(spark, d))
