@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from smogway.llm.exact_dedup import exact_groups
 from smogway.llm.mixing import mix
+from smogway.llm.simhash import near_duplicates
 from smogway.llm.suffix_dedup import remove_repeated_bytes
 from smogway.llm.windows import remove_repeated_windows
 
@@ -35,9 +36,12 @@ def op2_suffix_dedup(spark, d):
 ORACLE["op2_suffix_dedup"] = """
 WITH docs AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n_bytes FROM documents
+), blocks AS (
+  SELECT doc_id, n_bytes, b, substr(h, 2 * b + 1, 898) AS part
+  FROM (SELECT *, unnest(range(0, n_bytes, 400)) AS b FROM docs)
 ), bytes AS (
-  SELECT doc_id, i, CASE WHEN i + 49 <= n_bytes THEN md5_number(substr(h, 2 * i - 1, 100)) END AS seq
-  FROM (SELECT *, unnest(range(1, n_bytes + 1)) AS i FROM docs)
+  SELECT doc_id, b + j AS i, CASE WHEN b + j + 49 <= n_bytes THEN md5_number(substr(part, 2 * j - 1, 100)) END AS seq
+  FROM (SELECT *, unnest(range(1, least(400, n_bytes - b) + 1)) AS j FROM blocks)
 ), firsts AS (
   SELECT seq, min(doc_id) AS first_id FROM bytes WHERE seq IS NOT NULL GROUP BY seq
 ), flagged AS (
@@ -60,6 +64,11 @@ FROM docs d LEFT JOIN cut USING (doc_id)
 """
 
 
+@query
+def op4_simhash(spark, d):
+    return near_duplicates(documents(spark, d))
+
+
 @query
 def op7_exact_dedup(spark, d):
     return exact_groups(documents(spark, d))
