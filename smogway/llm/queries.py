@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smogway.llm import quality, url_filter
 from smogway.llm.exact_dedup import exact_groups
 from smogway.llm.mixing import mix
 from smogway.llm.simhash import near_duplicates
 from smogway.llm.suffix_dedup import remove_repeated_bytes
 from smogway.llm.windows import remove_repeated_windows
+from smogway.llm.wordpiece import sentencepiece_pieces, token_counts
+
+#: A SentencePiece model file; the vocabulary of the token counts and of the encoding.
+PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -64,11 +70,22 @@ FROM docs d LEFT JOIN cut USING (doc_id)
 """
 
 
+@query
+def op3_quality(spark, d):
+    docs = documents(spark, d)
+    return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{d}/labels.parquet")))
+
+
 @query
 def op4_simhash(spark, d):
     return near_duplicates(documents(spark, d))
 
 
+@query
+def op5_url_filter(spark, d):
+    return url_filter.judge(spark.read.parquet(f"{d}/pages.parquet"))
+
+
 @query
 def op7_exact_dedup(spark, d):
     return exact_groups(documents(spark, d))
@@ -81,6 +98,11 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op8_token_counts(spark, d):
+    return token_counts(documents(spark, d), sentencepiece_pieces(PIECES))
+
+
 @query
 def op9_window_dedup(spark, d):
     cut = remove_repeated_windows(documents(spark, d))
