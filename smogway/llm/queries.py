@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from smogway.llm import quality, url_filter
 from smogway.llm.exact_dedup import exact_groups
+from smogway.llm.fingerprints import fingerprint_edits
 from smogway.llm.mixing import mix
 from smogway.llm.simhash import near_duplicates
 from smogway.llm.suffix_dedup import remove_repeated_bytes
@@ -33,6 +34,11 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+@query
+def op1_fingerprints(spark, d):
+    return fingerprint_edits(documents(spark, d))
+
+
 @query
 def op2_suffix_dedup(spark, d):
     cut = remove_repeated_bytes(documents(spark, d))
