@@ -109,9 +109,9 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return span_hashes(_byte_values()[data], starts, ends)
 
 
-def packed(array: np.ndarray) -> bytes:
+def packed(array: np.ndarray, level: int = 1) -> bytes:
     """An integer array as compressed bytes."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(array).tobytes())
+    return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(array).tobytes())
 
 
 def unpacked(raw: bytes, dtype) -> np.ndarray:

@@ -93,11 +93,14 @@ def _blocks(part: int):
         ids, sizes, tokens, total = [], [], [], 0
 
         def flushed() -> pa.RecordBatch:
-            words = [w.replace(" ", SPACE) for w in known]
+            # Word 0 carries the documents: their ids, their words each, and the words, byte by byte of the indices.
+            words = ["\n", *(w.replace(" ", SPACE) for w in known)]
+            indices = np.concatenate([np.zeros(0, np.uint32), *tokens])
+            body = [packed(np.array(ids, np.int64)), packed(np.array(sizes, np.int64)),
+                    packed(indices.view(np.uint8).reshape(-1, 4).T)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([at]), pa.array([words], pa.list_(pa.string())), pa.array([packed(np.array(ids, np.int64))]),
-                 pa.array([packed(np.array(sizes, np.int64))]), pa.array([packed(np.concatenate([np.zeros(0, np.uint32), *tokens]))])],
-                ["block", "words", "docs", "sizes", "tokens"],
+                [pa.array([at]), pa.array([words], pa.list_(pa.string())), pa.array([body], pa.list_(pa.binary()))],
+                ["block", "words", "body"],
             )
 
         for piece in text_slices(batches):
@@ -120,7 +123,7 @@ def _blocks(part: int):
 
 
 def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """`block, word, n, edges` from (block, word, text): every piece in every word, packed into one number.
+    """`block, word, n, edges, body` from (block, word, text, body): every piece in every word, packed into one number.
 
     An edge is its end (8 bits), start (8), id (24, biased) and cost (23). A character that is no piece itself has an
     edge to its bytes, with the negative of its code point for an id.
@@ -128,10 +131,10 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
     spark = words.sparkSession
     table = spark.createDataFrame(pieces.table, "piece string, id int, cost int")
     chars = words.withColumn("n", F.char_length("text")).select(
-        "block", "word", "text", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")
+        "block", "word", "text", "body", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")
     )
     found = chars.select(
-        "block", "word", "text", "n", "i",
+        "block", "word", "text", "body", "n", "i",
         F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("n") - F.col("i") + 1))).alias("size"),
     ).withColumn("part", F.substring("text", F.col("i"), F.col("size")))
     # the piece table has as many rows as the vocabulary
@@ -145,7 +148,9 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
         .bitwiseOR(F.shiftleft((code + _BIAS).cast("long"), 23))
         .bitwiseOR(cost.cast("long"))
     )
-    return joined.groupBy("word", "block", "n").agg(F.collect_list(edge).alias("edges"))
+    return joined.groupBy("word", "block", "n").agg(
+        F.collect_list(edge).alias("edges"), F.first("body", ignorenulls=True).alias("body")
+    )
 
 
 def _field(x: Column, low: int, bits: int) -> Column:
@@ -211,9 +216,9 @@ def _read_back(pieces: Pieces):
             ids, who = np.where(out < 0, lookup[kind, np.minimum(step, 3)], out), np.repeat(who, times)
         per_word = np.bincount(who, minlength=int(word.max()) + 1)
         starts = np.cumsum(per_word) - per_word
-        row = next(r for r in table.select(["docs", "sizes", "tokens"]).filter(table.column("docs").is_valid()).to_pylist())
-        docs, sizes = unpacked(row["docs"], np.int64), unpacked(row["sizes"], np.int64)
-        words = unpacked(row["tokens"], np.uint32).astype(np.int64) + 1
+        body = table.column("body").filter(table.column("body").is_valid())[0].as_py()
+        docs, sizes = unpacked(body[0], np.int64), unpacked(body[1], np.int64)
+        words = np.ascontiguousarray(unpacked(body[2], np.uint8).reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64) + 1
         token_ids = ids[_ranges(starts[words], per_word[words])].astype(np.int32)
         ends = np.append(0, np.cumsum(per_word[words]))[np.append(0, np.cumsum(sizes))]
         return pa.table({"doc_id": docs, "ids": pa.LargeListArray.from_arrays(ends, token_ids).cast(pa.list_(pa.int32()))})
@@ -241,19 +246,14 @@ def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
     96 characters is encoded in parts. Repeated rows get the same ids; NULL doc_ids are kept.
     """
     blocks = narrowed(docs).mapInArrow(
-        _blocks(WORD_CHARS), "block long, words array<string>, docs binary, sizes binary, tokens binary"
+        _blocks(WORD_CHARS), "block long, words array<string>, body array<binary>"
     ).repartition("block")
-    # Word 0 carries the block's documents; it is an empty word that has no edges, so that every block has it.
-    words = blocks.select(
-        "block", F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("word", "text"), "docs", "sizes", "tokens"
-    )
-    carried = words.where("word = 0").select("word", "block", F.array().cast("array<bigint>").alias("best"), "docs", "sizes", "tokens")
-    paths = _edges(words.where("word > 0").select("block", "word", "text"), pieces).select(
-        "word", "block", _viterbi(F.col("edges"), F.col("n")).alias("best"),
-        *(F.lit(None).cast("binary").alias(c) for c in ("docs", "sizes", "tokens")),
+    words = blocks.select("block", F.posexplode("words").alias("word", "text"), "body").withColumn(
+        "body", F.when(F.col("word") == 0, F.col("body"))
     )
+    paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges"), F.col("n")).alias("best"), "body")
     run, _ = _read_back(pieces)
-    done = paths.union(carried).groupBy("block").applyInArrow(run, "doc_id long, ids array<int>")
+    done = paths.groupBy("block").applyInArrow(run, "doc_id long, ids array<int>")
     return done.select(public_id(), "ids")
 
 

@@ -11,12 +11,14 @@ remaining groups at once, on the rest of the compared length.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from smogway.llm.common import (
+    Slice,
     group_starts,
     mixed,
     narrowed,
@@ -32,6 +34,8 @@ LENGTH = 50
 _GRAM = 20
 #: Bytes that multikey quicksort compares, eight at a time; blind tries take over below.
 _SHALLOW = 32
+#: A task gathers the pieces of so many bytes of text before it deals them out; longer rows compress better.
+_HELD_BYTES = 16_000_000
 
 
 def _eights(data: np.ndarray) -> np.ndarray:
@@ -58,52 +62,83 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _pieces(parts: int, length: int):
+class _Held(NamedTuple):
+    """Pieces of some documents: `data` is their bytes, `begin` and `long` lie in it, `start` in the document."""
+
+    data: np.ndarray
+    begin: np.ndarray
+    long: np.ndarray
+    anchor: np.ndarray
+    same: np.ndarray
+    bucket: np.ndarray
+    doc: np.ndarray
+    start: np.ndarray
+
+
+def _held(piece: Slice, parts: int, length: int) -> _Held | None:
     grams = length - _GRAM + 1
+    data, offsets = piece.data, piece.offsets
+    if len(data) < length:
+        return None
+    ids = np.ascontiguousarray(piece.batch.column("doc_id").to_numpy(zero_copy_only=False), np.int64)
+    hashes = _gram_hashes(_eights(data), slice(None), len(data) - _GRAM + 1)
+    low = _sliding_min(hashes, grams)  # the anchor of the suffix from each byte
+    size = np.diff(offsets)
+    usable = np.zeros(len(data) + 1, np.int32)
+    np.add.at(usable, offsets[:-1], size >= length)
+    np.add.at(usable, offsets[:-1] + np.maximum(size - length + 1, 0), -(size >= length).astype(np.int32))
+    usable = np.cumsum(usable, dtype=np.int32)[: len(low)] > 0
+    row = np.repeat(np.arange(len(size), dtype=np.int32), size)[: len(low)]
+    begin = group_starts(low, usable, row)
+    past = np.append(begin[1:], len(low))
+    begin, past = begin[usable[begin]], past[usable[begin]]
+    if not len(begin):
+        return None
+    spread = mixed(low[begin])
+    rows = row[begin]
+    return _Held(
+        data, begin, past - begin + length - 1,
+        hashes[begin[:, None] + np.arange(grams)].argmin(1).astype(np.uint8),
+        span_hashes(hashes, begin, past + grams - 1),
+        ((spread >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32),
+        ids[rows], (begin - offsets[rows]).astype(np.uint32),
+    )
 
+
+def _dealt(held: list[_Held], parts: int) -> Iterator[pa.RecordBatch]:
+    """A row per bucket: equal pieces share one text."""
+    base = np.cumsum([0, *(len(h.data) for h in held)])
+    data, _, long, anchor, same, bucket, doc, start = (np.concatenate(x) for x in zip(*held))
+    begin = np.concatenate([h.begin + at for h, at in zip(held, base)])
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(parts + 1))
+    for b in np.flatnonzero(np.diff(cuts)):
+        own = order[cuts[b] : cuts[b + 1]]
+        _, first, nth = np.unique(same[own], return_index=True, return_inverse=True)
+        kinds = own[first]
+        at = group_starts(doc[own])
+        yield pa.RecordBatch.from_pydict({
+            "bucket": [b],
+            "docs": [packed(np.stack([doc[own][at], np.diff(np.append(at, len(own)))]))],
+            "start": [packed(np.diff(start[own], prepend=np.uint32(0)))],
+            "kind": [packed(nth.astype(np.uint32))],
+            "long": [packed(long[kinds].astype(np.uint32))],
+            "anchor": [packed(anchor[kinds])],
+            "text": [packed(data[_ranges(begin[kinds], long[kinds])], level=3)],
+        })
+
+
+def _pieces(parts: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_slices(batches):
-            data, offsets = piece.data, piece.offsets
-            if len(data) < length:
-                continue
-            ids = np.ascontiguousarray(piece.batch.column("doc_id").to_numpy(zero_copy_only=False), np.int64)
-            eights = _eights(data)
-            hashes = _gram_hashes(eights, slice(None), len(data) - _GRAM + 1)
-            low = _sliding_min(hashes, grams)  # the anchor of the suffix from each byte
-            size = np.diff(offsets)
-            usable = np.zeros(len(data) + 1, np.int64)
-            np.add.at(usable, offsets[:-1], size >= length)
-            np.add.at(usable, offsets[:-1] + np.maximum(size - length + 1, 0), -(size >= length).astype(np.int64))
-            usable = np.cumsum(usable)[: len(low)] > 0
-            row = np.repeat(np.arange(len(size)), size)[: len(low)]
-            begin = group_starts(low, usable, row)
-            past = np.append(begin[1:], len(low))
-            begin, past = begin[usable[begin]], past[usable[begin]]
-            if not len(begin):
-                continue
-            anchor = hashes[begin[:, None] + np.arange(grams)].argmin(1).astype(np.uint8)
-            spread = mixed(low[begin])
-            bucket = ((spread >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            same = span_hashes(hashes, begin, past + grams - 1)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(parts + 1))
-            for b in np.flatnonzero(np.diff(cuts)):
-                own = order[cuts[b] : cuts[b + 1]]
-                _, first, nth = np.unique(same[own], return_index=True, return_inverse=True)
-                kinds = own[first]
-                long = past[kinds] - begin[kinds] + length - 1
-                docs = row[begin[own]]
-                at = group_starts(docs)
-                start = (begin[own] - offsets[docs]).astype(np.uint32)
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": [b],
-                    "docs": [packed(np.stack([ids[docs[at]], np.diff(np.append(at, len(docs)))]))],
-                    "start": [packed(np.diff(start, prepend=np.uint32(0)))],
-                    "kind": [packed(nth.astype(np.uint32))],
-                    "long": [packed(long.astype(np.uint32))],
-                    "anchor": [packed(anchor[kinds])],
-                    "text": [packed(data[_ranges(begin[kinds], long)])],
-                })
+        held: list[_Held] = []
+        for piece in text_slices(batches, limit=1_000_000):
+            if (more := _held(piece, parts, length)) is not None:
+                held.append(more)
+            if sum(len(h.data) for h in held) >= _HELD_BYTES:
+                yield from _dealt(held, parts)
+                held = []
+        if held:
+            yield from _dealt(held, parts)
 
     return run
 
