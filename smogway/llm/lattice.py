@@ -2,8 +2,9 @@
 
 A task turns its documents into blocks: the distinct words of some documents, and each document as indices into
 them. The words' substrings up to the longest piece are exploded and equi-joined to the piece table; the edges found
-are grouped by word again, and a higher-order aggregate folds them into the best path (Viterbi). The blocks never
-split, so words, edges and paths stay in one partition, and texts do not travel.
+are grouped by word again, and a higher-order aggregate folds them into the best path (Viterbi). All of it streams
+through the task that read the documents: exploding and joining with a broadcast table keep the order of rows, so the
+edges of a word, and the words of a block, arrive together and are grouped as they come. Nothing is shuffled.
 
 The path of least cost wins; of equal ones, that whose last piece is longest, and so on backwards. A unigram model's
 scores are log-probabilities as they are. A BPE model has ranks instead; piece number r is then given Zipf's
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smogway.llm.common import narrowed, packed, public_id, text_slices, unpacked
+from smogway.llm.common import group_starts, narrowed, packed, public_id, text_slices, unpacked
 from smogway.llm.spans import _ranges
 
 SPACE = "▁"
@@ -32,8 +33,8 @@ SPACE = "▁"
 _LITERAL = "﷐"
 #: Longer words are encoded in parts of so many characters; edges pack positions into eight bits.
 WORD_CHARS = 96
-BLOCK_WORDS = 1 << 17
-BLOCK_TOKENS = 3_000_000
+BLOCK_WORDS = 1 << 18
+BLOCK_TOKENS = 5_000_000
 _BIAS = 1 << 21  # packed ids are shifted by this: below it stand characters to be written as bytes
 
 
@@ -131,7 +132,7 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
     spark = words.sparkSession
     table = spark.createDataFrame(pieces.table, "piece string, id int, cost int")
     chars = words.withColumn("n", F.char_length("text")).select(
-        "block", "word", "text", "body", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")
+        "block", F.col("word").cast("long").alias("word"), "text", "body", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")
     )
     found = chars.select(
         "block", "word", "text", "body", "n", "i",
@@ -148,8 +149,30 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
         .bitwiseOR(F.shiftleft((code + _BIAS).cast("long"), 23))
         .bitwiseOR(cost.cast("long"))
     )
-    return joined.groupBy("word", "block", "n").agg(
-        F.collect_list(edge).alias("edges"), F.first("body", ignorenulls=True).alias("body")
+    return joined.select("block", "word", "n", edge.alias("edge"), "body").mapInArrow(
+        _grouped, "block long, word long, n int, edges array<bigint>, body array<binary>"
+    )
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per word from rows of edges that come word by word; a word may go on in the next batch."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
+        at = group_starts(*(rows.column(c).to_numpy() for c in ("block", "word")))
+        if len(at) > 1:
+            yield _words_of(rows.slice(0, at[-1]), at[:-1])
+        rest = rows.slice(at[-1]).combine_chunks().to_batches()[0] if len(at) else None
+    if rest is not None:
+        yield _words_of(pa.Table.from_batches([rest]), np.zeros(1, np.int64))
+
+
+def _words_of(rows: pa.Table, at: np.ndarray) -> pa.RecordBatch:
+    edges = pa.ListArray.from_arrays(pa.array(np.append(at, len(rows)), pa.int32()), rows.column("edge").combine_chunks())
+    first = rows.take(pa.array(at)).combine_chunks().to_batches()[0]
+    return pa.RecordBatch.from_arrays(
+        [first.column("block"), first.column("word"), first.column("n"), edges, first.column("body")],
+        ["block", "word", "n", "edges", "body"],
     )
 
 
@@ -180,7 +203,7 @@ def _read_back(pieces: Pieces):
     begins = np.cumsum(lengths) - lengths
     byte_ids = np.array(pieces.byte_ids, np.int32)
 
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    def of_block(table: pa.Table) -> pa.RecordBatch:
         word = table.column("word").to_numpy()
         best = table.column("best").combine_chunks()
         size = np.asarray(best.value_lengths()).astype(np.int64)
@@ -221,7 +244,21 @@ def _read_back(pieces: Pieces):
         words = np.ascontiguousarray(unpacked(body[2], np.uint8).reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64) + 1
         token_ids = ids[_ranges(starts[words], per_word[words])].astype(np.int32)
         ends = np.append(0, np.cumsum(per_word[words]))[np.append(0, np.cumsum(sizes))]
-        return pa.table({"doc_id": docs, "ids": pa.LargeListArray.from_arrays(ends, token_ids).cast(pa.list_(pa.int32()))})
+        ids_of = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(token_ids))
+        return pa.RecordBatch.from_arrays([pa.array(docs), ids_of], ["doc_id", "ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            at = group_starts(block)
+            for a, b in zip(at, np.append(at[1:], len(block))):
+                if held and held[0].column("block")[0].as_py() != block[a]:
+                    yield of_block(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield of_block(pa.Table.from_batches(held))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,14 +284,13 @@ def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """
     blocks = narrowed(docs).mapInArrow(
         _blocks(WORD_CHARS), "block long, words array<string>, body array<binary>"
-    ).repartition("block")
+    )
     words = blocks.select("block", F.posexplode("words").alias("word", "text"), "body").withColumn(
         "body", F.when(F.col("word") == 0, F.col("body"))
     )
     paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges"), F.col("n")).alias("best"), "body")
     run, _ = _read_back(pieces)
-    done = paths.groupBy("block").applyInArrow(run, "doc_id long, ids array<int>")
-    return done.select(public_id(), "ids")
+    return paths.mapInArrow(run, "doc_id long, ids array<int>").select(public_id(), "ids")
 
 
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:

@@ -61,7 +61,7 @@ def _texts(parts: int):
                 text = np.concatenate([piece.data[piece.offsets[i] : piece.offsets[i + 1]] for i in own])
                 yield pa.RecordBatch.from_pydict({
                     "deal": [deal[own[0]]], "docs": [packed(ids[own])], "size": [packed(size[own])],
-                    "text": [packed(text)],
+                    "text": [packed(text, level=3)],
                 })
 
     return run
@@ -69,8 +69,11 @@ def _texts(parts: int):
 
 def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """first[0], first[0] + 1, ... for each size in turn."""
-    out = np.repeat(first - (np.cumsum(size) - size), size)
-    return out + np.arange(len(out))
+    total = int(size.sum())
+    small = total < 2**31 and len(first) > 0 and int(first.max()) < 2**30
+    out = np.repeat((first - (np.cumsum(size) - size)).astype(np.int32 if small else np.int64), size)
+    out += np.arange(total, dtype=out.dtype)
+    return out
 
 
 def _cut(unit: str):

@@ -34,8 +34,8 @@ LENGTH = 50
 _GRAM = 20
 #: Bytes that multikey quicksort compares, eight at a time; blind tries take over below.
 _SHALLOW = 32
-#: A task gathers the pieces of so many bytes of text before it deals them out; longer rows compress better.
-_HELD_BYTES = 16_000_000
+#: A task gathers the pieces of about so many bytes of text before it deals them out; longer rows compress better.
+_HELD_BYTES = 12_000_000
 
 
 def _eights(data: np.ndarray) -> np.ndarray:
@@ -43,7 +43,8 @@ def _eights(data: np.ndarray) -> np.ndarray:
     wide = np.append(data, np.zeros(8, np.uint8))
     out = np.zeros(len(data), np.uint64)
     for i in range(8):
-        out = (out << np.uint64(8)) | wide[i : i + len(data)]
+        out <<= np.uint64(8)
+        out |= wide[i : i + len(data)]
     return out
 
 
@@ -115,7 +116,9 @@ def _dealt(held: list[_Held], parts: int) -> Iterator[pa.RecordBatch]:
     for b in np.flatnonzero(np.diff(cuts)):
         own = order[cuts[b] : cuts[b + 1]]
         _, first, nth = np.unique(same[own], return_index=True, return_inverse=True)
-        kinds = own[first]
+        age = np.argsort(first)  # texts in the order of their first piece: the numbers compress
+        nth = np.argsort(age)[nth]
+        kinds = own[first[age]]
         at = group_starts(doc[own])
         yield pa.RecordBatch.from_pydict({
             "bucket": [b],
@@ -124,7 +127,7 @@ def _dealt(held: list[_Held], parts: int) -> Iterator[pa.RecordBatch]:
             "kind": [packed(nth.astype(np.uint32))],
             "long": [packed(long[kinds].astype(np.uint32))],
             "anchor": [packed(anchor[kinds])],
-            "text": [packed(data[_ranges(begin[kinds], long[kinds])], level=3)],
+            "text": [packed(data[_ranges(begin[kinds], long[kinds])], level=5)],
         })
 
 
@@ -212,10 +215,12 @@ def _repeats(parts: int, length: int):
             kind.append(unpacked(k.as_py(), np.uint32).astype(np.int64) + before)
             long, raw = unpacked(g.as_py(), np.uint32).astype(np.int64), t.as_py()
             data = unpacked(raw, np.uint8)
-            past = np.cumsum(long)
-            gram = past - long + unpacked(a.as_py(), np.uint8)
-            anchors.append(_gram_hashes(_eights(data), gram, len(data) - _GRAM + 1))
-            sames.append(span_hashes(data.astype(np.uint64) + np.uint64(1), past - long, past))
+            edge, anchor = np.append(0, np.cumsum(long)), unpacked(a.as_py(), np.uint8)
+            for lo in range(0, len(long), 10_000):
+                e = edge[lo : lo + 10_001]
+                own, e = data[e[0] : e[-1]], e - e[0]
+                anchors.append(_gram_hashes(_eights(own), e[:-1] + anchor[lo : lo + 10_000], len(own) - _GRAM + 1))
+                sames.append(span_hashes(own.astype(np.uint64) + np.uint64(1), e[:-1], e[1:]))
             longs.append(long)
             raws.append(raw)
             before += len(long)
@@ -254,7 +259,7 @@ def _repeats(parts: int, length: int):
             windows = np.zeros(len(model), np.int64)
             windows[chosen] = count
             occurrences = np.flatnonzero(several[of])
-            for part in np.array_split(occurrences, 1 + len(occurrences) // 200_000):
+            for part in np.array_split(occurrences, 1 + len(occurrences) // 50_000):
                 n = windows[of[part]]
                 w = _ranges(base[of[part]], n)
                 who_doc = np.repeat(docs[part], n)
