@@ -325,9 +325,10 @@ def classify_air(
     usable = F.col("_number").isNotNull() & is_pm25 & ~unnamed
     good = F.col("_measured").isNotNull() & F.when(is_canonical, F.lit(True)).otherwise(usable)
     def coordinate(name: str, typed_column: str) -> Column:
-        nested = F.coalesce(
-            *[J.as_number(J.member(F.col(spot), name)) for spot in ("_spot", "_location_spot")]
-        )
+        # One object gives both: the record's own, or its location's where that is missing or empty.
+        own = F.coalesce(F.size("_spot") > 0, F.lit(False))
+        of = {spot: J.as_number(J.member(F.col(spot), name)) for spot in ("_spot", "_location_spot")}
+        nested = F.when(own, of["_spot"]).otherwise(of["_location_spot"])
         return F.when(is_canonical, F.col(typed_column)).otherwise(nested)
 
     typed = {

@@ -17,23 +17,21 @@ def stations_within_radius(
     lat: float = DEFAULTS.center_lat,
     lon: float = DEFAULTS.center_lon,
     radius_km: float = DEFAULTS.radius_km,
-    max_radius_km: float = DEFAULTS.max_radius_km,
     max_locations: int | None = None,
     tie_break: str = "station_id",
 ) -> DataFrame:
-    """Stations at most min(radius, cap) away with `distance_km`, nearest first when limited.
+    """Stations at most `radius_km` away with `distance_km`, nearest first when limited.
 
     A latitude/longitude box in front of the exact test is plain enough to reach the file reader.
     """
-    radius = min(radius_km, max_radius_km)
-    dlat = radius / KM_PER_DEGREE * 1.01
+    dlat = radius_km / KM_PER_DEGREE * 1.01
     dlon = dlat / max(math.cos(math.radians(lat)), 0.01)
     boxed = stations.where(
         F.col("latitude").between(lat - dlat, lat + dlat)
         & F.col("longitude").between(lon - dlon, lon + dlon)
     )
     distance = haversine_km(F.lit(lat), F.lit(lon), F.col("latitude"), F.col("longitude"))
-    near = boxed.withColumn("distance_km", distance).where(F.col("distance_km") <= radius)
+    near = boxed.withColumn("distance_km", distance).where(F.col("distance_km") <= radius_km)
     if max_locations is None:
         return near
     return near.orderBy("distance_km", tie_break).limit(max_locations)

@@ -146,7 +146,7 @@ def run_serving(
     write_table(flagged.select(*names(COMBINED)), layout.combined_view, settings=settings)
     stored = read_table(spark, layout.combined_view).select(*names(COMBINED))
     critical = critical_only(stored)
-    write_table(critical, layout.critical_view, settings=settings)
+    write_table(critical, layout.critical_view, settings=settings, allow_empty=True)
     return ServingResult(stored, critical, summary_stats(stored), coverage(stored))
 
 

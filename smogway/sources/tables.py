@@ -138,8 +138,10 @@ def _save(df: DataFrame, spec: TableSpec, mode: str, **options) -> None:
     writer.save(spec.path)
 
 
-def write_table(df: DataFrame, spec: TableSpec, mode: str = "overwrite", settings: Settings = DEFAULTS) -> int:
-    """Write `df` and return its row count; with no rows an existing table stays as it is.
+def write_table(
+    df: DataFrame, spec: TableSpec, mode: str = "overwrite", settings: Settings = DEFAULTS, allow_empty: bool = False
+) -> int:
+    """Write `df` and return its row count; with no rows an existing table stays as it is, unless `allow_empty`.
 
     The rows of an overwrite are staged first, so that it may read the table it replaces and a failure
     while computing them cannot leave the table half replaced.
@@ -151,7 +153,7 @@ def write_table(df: DataFrame, spec: TableSpec, mode: str = "overwrite", setting
         return counted.get["rows"]
     staged = stage(laid_out, "write")
     rows = counted.get["rows"]
-    if rows:
+    if rows or allow_empty:
         _save(staged, spec, mode)
     return rows
 
@@ -179,6 +181,8 @@ def upsert_table(
     """
     spark = new.sparkSession
     parts = list(spec.partition_by)
+    if not parts or not set(parts) <= set(_DATE_PARTS):
+        raise ValueError(f"an upsert needs a table partitioned by some of {_DATE_PARTS}, not by {parts}")
     stored_columns = spec.stored_schema.fieldNames()
     fresh = partitioned(new, spec, settings)
     deduped = dedupe_last(fresh, keys, order_by) if order_by else fresh.dropDuplicates(list(keys))

@@ -11,9 +11,9 @@ from smogway.operators.parsing import parse_air, parse_traffic
 from smogway.settings import DEFAULTS
 
 
-def air_stream(raw: DataFrame, watermark: str = DEFAULTS.watermark) -> DataFrame:
-    """Parsed measurements, each (timestamp, location) once within the watermark."""
-    return dedupe_stream(parse_air(raw).accepted, watermark)
+def air_stream(raw: DataFrame) -> DataFrame:
+    """Parsed measurements, late ones and corrections included: an upsert needs no bound on lateness."""
+    return parse_air(raw).accepted
 
 
 def dedupe_stream(air: DataFrame, watermark: str = DEFAULTS.watermark) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from smogway.functions.timestamps import TimeLike
 from smogway.operators.filters import retained
 from smogway.settings import DEFAULTS, Settings
+from smogway.sources.staging import stage
 from smogway.sources.tables import TableSpec, partitioned, read_table, upsert_table, write_table
 
 POLL = {"processingTime": f"{DEFAULTS.polling_minutes} minutes"}
@@ -59,11 +60,7 @@ def upsert_stream(
     """Upsert every micro-batch into a partitioned view. Replaying a batch changes nothing."""
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        held = batch.persist()
-        try:
-            upsert_table(held, spec, keys, order_by, settings)
-        finally:
-            held.unpersist()
+        upsert_table(stage(batch, "micro-batch"), spec, keys, order_by, settings)
 
     return (
         df.writeStream.foreachBatch(merge)
@@ -121,10 +118,13 @@ def run_until_done(start: Callable[[], StreamingQuery], restarts: int = 0) -> St
 
 
 def run_batches(query: StreamingQuery, max_batches: int, poll_seconds: float = 1.0) -> StreamingQuery:
-    """Stop a polling query once it has finished `max_batches` micro-batches."""
+    """Stop a polling query once it has finished `max_batches` micro-batches since it was started."""
+    first = None
     while query.isActive:
-        progress = query.lastProgress
-        if progress is not None and progress["batchId"] + 1 >= max_batches:
+        seen = [p["batchId"] for p in query.recentProgress]
+        if seen and first is None:
+            first = seen[0]
+        if seen and seen[-1] + 1 - first >= max_batches:
             query.stop()
             break
         query.awaitTermination(poll_seconds)

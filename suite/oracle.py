@@ -326,7 +326,7 @@ SELECT r::INT AS grid_row, c::INT AS grid_col,
 FROM range(5) rows(r), range(5) cols(c) LEFT JOIN counts ON grid_row = r AND grid_col = c""",
     "stations_within_radius": sql(
         [station_rows("customer", "c_custkey", "c_name"), DISTANCES],
-        "SELECT station_id, name, round(distance_km, 6) AS distance_km FROM distances WHERE distance_km <= 25",
+        "SELECT station_id, name, round(distance_km, 6) AS distance_km FROM distances WHERE distance_km <= 40",
     ),
     "nearest_stations": sql(
         [station_rows("customer", "c_custkey", "c_name"), DISTANCES],

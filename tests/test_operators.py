@@ -222,7 +222,7 @@ def test_stations(spark):
     schema = "station_id bigint, name string, latitude double, longitude double"
     places = spark.createDataFrame([(1, "near", 10.772, 106.667), (2, "edge", 10.95, 106.6664), (3, "far", 11.5, 106.6)], schema)
     assert {r.name for r in S.stations_within_radius(places).collect()} == {"near"}
-    assert {r.name for r in S.stations_within_radius(places, radius_km=500).collect()} == {"near", "edge"}
+    assert {r.name for r in S.stations_within_radius(places, radius_km=500).collect()} == {"near", "edge", "far"}
     assert [r.name for r in S.stations_within_radius(places, radius_km=25, max_locations=1).collect()] == ["near"]
     measured = spark.createDataFrame([(1, None, None), (1, 1.0, 2.0), (9, None, None)], "station_id bigint, latitude double, longitude double")
     rows = S.enrich_with_station(measured, places).collect()

@@ -70,7 +70,7 @@ def test_hourly_stream_equals_batch_for_closed_hours(spark, tmp_path):
     source = tmp_path / "in"
     for day in range(3):
         drop(source, f"{day}.json", [air_record(day * 480 + m, f"L{m % 3}", float(m % 50) - 5) for m in range(0, 480, 7)])
-    stream = SQ.with_hour(SQ.hourly_air_stream(SQ.air_stream(text_stream(spark, source))))
+    stream = SQ.with_hour(SQ.hourly_air_stream(SQ.dedupe_stream(SQ.air_stream(text_stream(spark, source)))))
     closed = run(stream, tmp_path, "hourly").select("timestamp", F.round("avg_pm25", 6), "pm25_count", "location_count")
     batch = hourly_air(parse_air(spark.read.text(str(source))).accepted)
     expected = batch.where(F.col("timestamp") < F.lit("2024-01-01T21:00:00Z").cast("timestamp")).select("timestamp", F.round("avg_pm25", 6), "pm25_count", "location_count")
@@ -81,7 +81,7 @@ def test_stream_dedupe(spark, tmp_path):
     source = tmp_path / "in"
     drop(source, "1.json", [air_record(0, "A", 1.0), air_record(0, "B", 1.0)])
     drop(source, "2.json", [air_record(0, "A", 2.0), air_record(10, "A", 3.0)])
-    out = run(SQ.air_stream(text_stream(spark, source)), tmp_path, "dedupe")
+    out = run(SQ.dedupe_stream(SQ.air_stream(text_stream(spark, source))), tmp_path, "dedupe")
     assert sorted((r.location, r.pm25) for r in out.collect()) == [("A", 1.0), ("A", 3.0), ("B", 1.0)]
 
 
@@ -90,7 +90,7 @@ def test_combined_stream_equals_batch_for_closed_hours(spark, tmp_path):
     drop(roads, "1.json", [traffic_record(m, 5 + m % 7) for m in range(0, 900, 9) if not 120 <= m < 180])
     drop(sensors, "1.json", [air_record(m, f"L{m % 4}", float(m % 90)) for m in range(0, 900, 9) if not 240 <= m < 300])
     readings = SQ.traffic_stream(text_stream(spark, roads), AS_OF)
-    air = SQ.air_stream(text_stream(spark, sensors))
+    air = SQ.dedupe_stream(SQ.air_stream(text_stream(spark, sensors)))
     joined = run(SQ.with_hour(SQ.combined_stream(readings, air)), tmp_path, "combined")
     batch = combine(
         hourly_traffic(parse_traffic(spark.read.text(str(roads)), AS_OF).accepted),
