@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from smogway.llm import quality
 from smogway.llm.exact_dedup import drop_exact_copies
-from smogway.llm.lattice import decode, encode, read_pieces
+from smogway.llm.lattice import encode, read_pieces
 from smogway.llm.mixing import repeat_by_mix
 from smogway.llm.queries import PIECES
 from smogway.llm.simhash import keep_one_of_each
@@ -38,7 +38,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`doc_id, n_tokens, ids, decoded_sha256` for every row, copies of the mixture included."""
     pieces = read_pieces(PIECES)
-    both = decode(encode(docs, pieces), pieces)
+    both = encode(docs, pieces, decoded=True)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )

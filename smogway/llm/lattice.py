@@ -33,8 +33,8 @@ SPACE = "▁"
 _LITERAL = "﷐"
 #: Longer words are encoded in parts of so many characters; edges pack positions into eight bits.
 WORD_CHARS = 96
-BLOCK_WORDS = 1 << 18
-BLOCK_TOKENS = 5_000_000
+BLOCK_WORDS = 1 << 17
+BLOCK_TOKENS = 2_000_000
 _BIAS = 1 << 21  # packed ids are shifted by this: below it stand characters to be written as bytes
 
 
@@ -247,6 +247,9 @@ def _read_back(pieces: Pieces):
         ids_of = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(token_ids))
         return pa.RecordBatch.from_arrays([pa.array(docs), ids_of], ["doc_id", "ids"])
 
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decode(run(batches))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -273,12 +276,14 @@ def _read_back(pieces: Pieces):
                     [*batch.schema.names, "decoded"],
                 )
 
-    return run, decode
+    return run, decode, both
 
 
-def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     """`doc_id, ids` for every row of `docs`; decode() gives back exactly the text.
 
+    `decoded` adds what decode() would, in the same Python worker.
+
     There is no normalisation and no mark before the first word. NULL and empty texts have no ids. A word of more than
     96 characters is encoded in parts. Repeated rows get the same ids; NULL doc_ids are kept.
     """
@@ -289,11 +294,13 @@ def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
         "body", F.when(F.col("word") == 0, F.col("body"))
     )
     paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges"), F.col("n")).alias("best"), "body")
-    run, _ = _read_back(pieces)
+    run, _, both = _read_back(pieces)
+    if decoded:
+        return paths.mapInArrow(both, "doc_id long, ids array<int>, decoded binary").select(public_id(), "ids", "decoded")
     return paths.mapInArrow(run, "doc_id long, ids array<int>").select(public_id(), "ids")
 
 
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     """`encoded` with `decoded`, the bytes that `ids` stand for; NULL ids decode to nothing."""
-    _, run = _read_back(pieces)
+    _, run, _ = _read_back(pieces)
     return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())]))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from smogway.llm import quality, url_filter
 from smogway.llm.exact_dedup import exact_groups
 from smogway.llm.fingerprints import fingerprint_edits
-from smogway.llm.lattice import decode, encode, read_pieces
+from smogway.llm.lattice import encode, read_pieces
 from smogway.llm.mixing import mix
 from smogway.llm.simhash import near_duplicates
 from smogway.llm.suffix_dedup import remove_repeated_bytes
@@ -96,7 +96,7 @@ def op5_url_filter(spark, d):
 @query
 def op6_sentencepiece(spark, d):
     pieces = read_pieces(PIECES)
-    both = decode(encode(documents(spark, d), pieces), pieces)
+    both = encode(documents(spark, d), pieces, decoded=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

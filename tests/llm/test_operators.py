@@ -393,6 +393,7 @@ def test_encoding(docs, texts, empty, repeated):
         words = re.findall(r"\x20?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]", (texts[k] or "").replace("▁", "\uFDD0"))
         assert list(got[k].ids) == [i for w in words for i in best(w.replace(" ", "▁"))]
     assert decode(encode(empty, pieces), pieces).count() == 0
+    assert sorted(encode(docs, pieces, decoded=True).collect()) == sorted(got.values())
     assert Counter(r.doc_id for r in encode(repeated, pieces).collect()) == {None: 2, 1: 2, 2: 1}
 
 
