@@ -33,8 +33,8 @@ SPACE = "▁"
 _LITERAL = "﷐"
 #: Longer words are encoded in parts of so many characters; edges pack positions into eight bits.
 WORD_CHARS = 96
-BLOCK_WORDS = 1 << 17
-BLOCK_TOKENS = 2_000_000
+BLOCK_WORDS = 1 << 16
+BLOCK_TOKENS = 1_000_000
 _BIAS = 1 << 21  # packed ids are shifted by this: below it stand characters to be written as bytes
 
 
@@ -104,7 +104,7 @@ def _blocks(part: int):
                 ["block", "words", "body"],
             )
 
-        for piece in text_slices(batches):
+        for piece in text_slices(batches, limit=500_000):
             raw, off = piece.data.tobytes(), piece.offsets.tolist()
             for doc, a, b in zip(piece.batch.column("doc_id").to_pylist(), off, off[1:]):
                 own = [known.setdefault(w, len(known)) for w in _words(raw[a:b].decode(), part)]

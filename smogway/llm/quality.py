@@ -227,7 +227,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_slices(batches):
+        for piece in text_slices(batches, limit=500_000):
             scores = pa.array(shared.value.score(piece.data, piece.offsets))
             yield pa.RecordBatch.from_arrays([piece.batch.column("doc_id"), scores], ["doc_id", "score"])
 
@@ -244,6 +244,6 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], ["text"])
-        return pa.array(np.concatenate([np.zeros(0)] + [shared.value.score(p.data, p.offsets) for p in text_slices([batch])]))
+        return pa.array(np.concatenate([np.zeros(0)] + [shared.value.score(p.data, p.offsets) for p in text_slices([batch], limit=500_000)]))
 
     return docs.where(scored(F.coalesce("text", F.lit(""))) >= threshold)
