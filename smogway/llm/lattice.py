@@ -1,10 +1,14 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-A task turns its documents into blocks: the distinct words of some documents, and each document as indices into
-them. The words' substrings up to the longest piece are exploded and equi-joined to the piece table; the edges found
-are grouped by word again, and a higher-order aggregate folds them into the best path (Viterbi). All of it streams
-through the task that read the documents: exploding and joining with a broadcast table keep the order of rows, so the
-edges of a word, and the words of a block, arrive together and are grouped as they come. Nothing is shuffled.
+Only distinct words pass through the lattice. A task turns its documents into blocks: the distinct words of some
+documents, dealt out to buckets by a hash, and each document as indices into them. A bucket meets the words of all
+blocks, so each word is there once; its substrings up to the longest piece are exploded and equi-joined to the piece
+table, the edges found are grouped by word again, and a higher-order aggregate folds them into the best path (Viterbi).
+Exploding and joining with a broadcast table keep the order of rows, so the edges of a word, and the words of a bucket,
+arrive together and are grouped as they come. The paths go back to their blocks, which read their documents off them.
+
+Blocks are staged, as their numbering must not change when a task is run again. What is shuffled is one packed row for
+each block and bucket, twice, and one row for each block's documents.
 
 The path of least cost wins; of equal ones, that whose last piece is longest, and so on backwards. A unigram model's
 scores are log-probabilities as they are. A BPE model has ranks instead; piece number r is then given Zipf's
@@ -15,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,16 +30,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smogway.llm.common import group_starts, narrowed, packed, public_id, text_slices, unpacked
+from smogway.llm.common import group_starts, narrowed, packed, public_id, shuffle_partitions, text_slices, unpacked
 from smogway.llm.spans import _ranges
+from smogway.sources.staging import stage
 
 SPACE = "▁"
 #: Stands for a space mark that is literally in a text; no piece has it, so it falls back to bytes.
 _LITERAL = "﷐"
 #: Longer words are encoded in parts of so many characters; edges pack positions into eight bits.
 WORD_CHARS = 96
-BLOCK_WORDS = 1 << 16
-BLOCK_TOKENS = 1_000_000
+BLOCK_WORDS = 1 << 19
+BLOCK_TOKENS = 4_000_000
+#: So many words of documents are written out at once.
+OUT_TOKENS = 200_000
 _BIAS = 1 << 21  # packed ids are shifted by this: below it stand characters to be written as bytes
 
 
@@ -87,22 +95,42 @@ def _words(text: str, part: int) -> Iterator[str]:
             yield from (word[at : at + part] for at in range(0, len(word), part))
 
 
-def _blocks(part: int):
+_BLOCKS = "block long, bucket int, body array<binary>"
+
+
+def _rows(rows: list[tuple[int, int, list[bytes]]]) -> pa.RecordBatch:
+    block, bucket, body = zip(*rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block, pa.int64()), pa.array(bucket, pa.int32()), pa.array(body, pa.list_(pa.binary()))],
+        ["block", "bucket", "body"],
+    )
+
+
+def _blocks(part: int, buckets: int):
+    """A block's documents as bucket -1: their ids, their words each, and the words as indices, byte plane by byte
+    plane. Its words as one row for each bucket; the indices number them bucket by bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
         known: dict[str, int] = {}
         ids, sizes, tokens, total = [], [], [], 0
 
-        def flushed() -> pa.RecordBatch:
-            # Word 0 carries the documents: their ids, their words each, and the words, byte by byte of the indices.
-            words = ["\n", *(w.replace(" ", SPACE) for w in known)]
-            indices = np.concatenate([np.zeros(0, np.uint32), *tokens])
-            body = [packed(np.array(ids, np.int64)), packed(np.array(sizes, np.int64)),
-                    packed(indices.view(np.uint8).reshape(-1, 4).T)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([at]), pa.array([words], pa.list_(pa.string())), pa.array([body], pa.list_(pa.binary()))],
-                ["block", "words", "body"],
-            )
+        def flushed() -> Iterator[pa.RecordBatch]:
+            words = [w.replace(" ", SPACE).encode() for w in known]
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+            order = np.argsort(bucket, kind="stable")
+            number = np.empty(len(words), np.uint32)
+            number[order] = np.arange(len(words), dtype=np.uint32)
+            indices = number[np.concatenate([np.zeros(0, np.uint32), *tokens])]
+            yield _rows([(at, -1, [packed(np.array(ids, np.int64)), packed(np.array(sizes, np.int64)), _planes(indices)])])
+            starts = group_starts(bucket[order])
+            dealt = [
+                # 0xFF is in no UTF-8 text
+                (at, int(bucket[order[a]]), [packed(np.frombuffer(b"\xff".join(words[i] for i in order[a:b]), np.uint8))])
+                for a, b in zip(starts, np.append(starts[1:], len(order)))
+            ]
+            if dealt:
+                yield _rows(dealt)
 
         for piece in text_slices(batches, limit=500_000):
             raw, off = piece.data.tobytes(), piece.offsets.tolist()
@@ -113,18 +141,58 @@ def _blocks(part: int):
                 tokens.append(np.array(own, np.uint32))
                 total += len(own)
                 if len(known) >= BLOCK_WORDS or total >= BLOCK_TOKENS:
-                    yield flushed()
+                    yield from flushed()
                     at += 1
                     known = {}
                     ids, sizes, tokens, total = [], [], [], 0
         if ids:
-            yield flushed()
+            yield from flushed()
 
     return run
 
 
+def _planes(values: np.ndarray) -> bytes:
+    return packed(values.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(unpacked(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket, from its rows in order: its words, once each, and the words of every block as indices.
+
+    Word 0 carries the blocks: the bucket, their numbers, their words each and the indices.
+    """
+    bucket, known = -1, {}
+    blocks, sizes, tokens = [], [], []
+
+    def flushed() -> pa.RecordBatch:
+        body = [packed(np.array([bucket])), packed(np.array(blocks, np.int64)), packed(np.array(sizes, np.int64)),
+                _planes(np.concatenate(tokens))]
+        words = pa.array(["\n", *(w.decode() for w in known)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket], pa.int64()), pa.ListArray.from_arrays([0, len(words)], words), pa.array([body], pa.list_(pa.binary()))],
+            ["block", "words", "body"],
+        )
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bucket"] != bucket:
+                if blocks:
+                    yield flushed()
+                bucket, known = row["bucket"], {}
+                blocks, sizes, tokens = [], [], []
+            words = unpacked(row["body"][0], np.uint8).tobytes().split(b"\xff")
+            tokens.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.uint32, len(words)))
+            blocks.append(row["block"])
+            sizes.append(len(words))
+    if blocks:
+        yield flushed()
+
+
 def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """`block, word, n, edges, body` from (block, word, text, body): every piece in every word, packed into one number.
+    """`block, word, edges, body` from (block, word, text, body): every piece in every word, by its end, packed into one number.
 
     An edge is its end (8 bits), start (8), id (24, biased) and cost (23). A character that is no piece itself has an
     edge to its bytes, with the negative of its code point for an id.
@@ -149,8 +217,8 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
         .bitwiseOR(F.shiftleft((code + _BIAS).cast("long"), 23))
         .bitwiseOR(cost.cast("long"))
     )
-    return joined.select("block", "word", "n", edge.alias("edge"), "body").mapInArrow(
-        _grouped, "block long, word long, n int, edges array<bigint>, body array<binary>"
+    return joined.select("block", "word", edge.alias("edge"), "body").mapInArrow(
+        _grouped, "block long, word long, edges array<array<bigint>>, body array<binary>"
     )
 
 
@@ -168,11 +236,18 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _words_of(rows: pa.Table, at: np.ndarray) -> pa.RecordBatch:
-    edges = pa.ListArray.from_arrays(pa.array(np.append(at, len(rows)), pa.int32()), rows.column("edge").combine_chunks())
+    edge = rows.column("edge").to_numpy()
+    word = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(rows))))
+    end = word * 256 + (edge >> 55)
+    order = np.argsort(end, kind="stable")
+    ends = group_starts(end[order])  # a character alone is always an edge, so every position ends one
+    by_end = pa.ListArray.from_arrays(pa.array(np.append(ends, len(rows)), pa.int32()), pa.array(edge[order]))
+    of_word = np.append(np.searchsorted(ends, at), len(ends))
     first = rows.take(pa.array(at)).combine_chunks().to_batches()[0]
     return pa.RecordBatch.from_arrays(
-        [first.column("block"), first.column("word"), first.column("n"), edges, first.column("body")],
-        ["block", "word", "n", "edges", "body"],
+        [first.column("block"), first.column("word"), pa.ListArray.from_arrays(pa.array(of_word, pa.int32()), by_end),
+         first.column("body")],
+        ["block", "word", "edges", "body"],
     )
 
 
@@ -180,24 +255,21 @@ def _field(x: Column, low: int, bits: int) -> Column:
     return F.shiftrightunsigned(x, low).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def _viterbi(edges: Column, n: Column) -> Column:
+def _viterbi(edges: Column) -> Column:
     """For each position of a word, the best way to reach it: cost (31 bits), start (8) and biased id (24), packed."""
 
-    def reach(best: Column, j: Column) -> Column:
-        here = F.filter(edges, lambda e: F.shiftrightunsigned(e, 55) == j)
-        ways = F.transform(
-            here,
-            lambda e: F.shiftleft(
-                F.shiftrightunsigned(F.element_at(best, (_field(e, 47, 8) + 1).cast("int")), 32) + _field(e, 0, 23), 32
-            ).bitwiseOR(F.shiftleft(_field(e, 47, 8), 24)).bitwiseOR(_field(e, 23, 24)),
-        )
-        return F.array_append(best, F.array_min(ways))
+    def way(best: Column, e: Column) -> Column:
+        before = F.element_at(best, (_field(e, 47, 8) + 1).cast("int")).bitwiseAND(F.lit(-1 << 32))
+        # start and id stand together in an edge as they do in a way
+        return before + F.shiftleft(_field(e, 0, 23), 32) + _field(e, 23, 32)
 
-    return F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0).cast("long")), reach)
+    return F.aggregate(
+        edges, F.array(F.lit(0).cast("long")), lambda best, ways: F.array_append(best, F.array_min(F.transform(ways, lambda e: way(best, e))))
+    )
 
 
 def _read_back(pieces: Pieces):
-    """Ids of each document of a block, from the best ways of its words, and the text they decode to."""
+    """Ids of each block's words, from the best ways of a bucket's words; of its documents; and the text they decode to."""
     lengths = np.array([len(b) for b in pieces.bytes_of], np.int64)
     joined = np.frombuffer(b"".join(pieces.bytes_of), np.uint8)
     begins = np.cumsum(lengths) - lengths
@@ -240,15 +312,47 @@ def _read_back(pieces: Pieces):
         per_word = np.bincount(who, minlength=int(word.max()) + 1)
         starts = np.cumsum(per_word) - per_word
         body = table.column("body").filter(table.column("body").is_valid())[0].as_py()
-        docs, sizes = unpacked(body[0], np.int64), unpacked(body[1], np.int64)
-        words = np.ascontiguousarray(unpacked(body[2], np.uint8).reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64) + 1
-        token_ids = ids[_ranges(starts[words], per_word[words])].astype(np.int32)
-        ends = np.append(0, np.cumsum(per_word[words]))[np.append(0, np.cumsum(sizes))]
-        ids_of = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(token_ids))
-        return pa.RecordBatch.from_arrays([pa.array(docs), ids_of], ["doc_id", "ids"])
+        bucket, blocks, sizes = (unpacked(x, np.int64) for x in body[:3])
+        words = _from_planes(body[3]).astype(np.int64) + 1
+        to = np.cumsum(sizes)
+        out = []
+        for block, a, b in zip(blocks.tolist(), to - sizes, to):
+            own = words[a:b]
+            out.append((block, int(bucket[0]), [_planes(per_word[own]), _planes(ids[_ranges(starts[own], per_word[own])])]))
+        return _rows(out)
+
+    def documents(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        """From a block's row of documents and its rows of paths, in the order of their buckets."""
+        docs, sizes = (unpacked(x, np.int64) for x in rows[0]["body"][:2])
+        words = _from_planes(rows[0]["body"][2])
+        per_word = np.concatenate([np.zeros(0, np.uint32), *(_from_planes(r["body"][0]) for r in rows[1:])]).astype(np.int64)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(_from_planes(r["body"][1]) for r in rows[1:])]).astype(np.int32)
+        starts = np.cumsum(per_word) - per_word
+        to = np.append(0, np.cumsum(sizes))
+        at = 0
+        while at < len(docs):
+            end = max(at + 1, int(np.searchsorted(to, to[at] + OUT_TOKENS, "right")) - 1)
+            own = words[to[at] : to[end]]
+            token_ids = ids[_ranges(starts[own], per_word[own])]
+            ends = np.append(0, np.cumsum(per_word[own]))[to[at : end + 1] - to[at]]
+            ids_of = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(token_ids))
+            yield pa.RecordBatch.from_arrays([pa.array(docs[at:end]), ids_of], ["doc_id", "ids"])
+            at = end
+
+    def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if held and held[0]["block"] != row["block"]:
+                    yield from documents(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from documents(held)
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return decode(run(batches))
+        return decode(assembled(batches))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -276,7 +380,7 @@ def _read_back(pieces: Pieces):
                     [*batch.schema.names, "decoded"],
                 )
 
-    return run, decode, both
+    return run, decode, assembled, both
 
 
 def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
@@ -287,20 +391,23 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     There is no normalisation and no mark before the first word. NULL and empty texts have no ids. A word of more than
     96 characters is encoded in parts. Repeated rows get the same ids; NULL doc_ids are kept.
     """
-    blocks = narrowed(docs).mapInArrow(
-        _blocks(WORD_CHARS), "block long, words array<string>, body array<binary>"
-    )
-    words = blocks.select("block", F.posexplode("words").alias("word", "text"), "body").withColumn(
-        "body", F.when(F.col("word") == 0, F.col("body"))
+    n = shuffle_partitions(docs)
+    run, _, assembled, both = _read_back(pieces)
+    blocks = stage(narrowed(docs).mapInArrow(_blocks(WORD_CHARS, n), _BLOCKS), "lattice-blocks")
+    buckets = blocks.where("bucket >= 0").repartition(n, "bucket").sortWithinPartitions("bucket", "block")
+    words = (
+        buckets.mapInArrow(_distinct, "block long, words array<string>, body array<binary>")
+        .select("block", F.posexplode("words").alias("word", "text"), "body")
+        .withColumn("body", F.when(F.col("word") == 0, F.col("body")))
     )
-    paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges"), F.col("n")).alias("best"), "body")
-    run, _, both = _read_back(pieces)
+    paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(run, _BLOCKS)
+    whole = blocks.where("bucket = -1").union(paths).repartition(n, "block").sortWithinPartitions("block", "bucket")
     if decoded:
-        return paths.mapInArrow(both, "doc_id long, ids array<int>, decoded binary").select(public_id(), "ids", "decoded")
-    return paths.mapInArrow(run, "doc_id long, ids array<int>").select(public_id(), "ids")
+        return whole.mapInArrow(both, "doc_id long, ids array<int>, decoded binary").select(public_id(), "ids", "decoded")
+    return whole.mapInArrow(assembled, "doc_id long, ids array<int>").select(public_id(), "ids")
 
 
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     """`encoded` with `decoded`, the bytes that `ids` stand for; NULL ids decode to nothing."""
-    _, run, _ = _read_back(pieces)
+    _, run, _, _ = _read_back(pieces)
     return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())]))
