@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-Only distinct words pass through the lattice. A task turns its documents into blocks: the distinct words of some
+Only distinct words pass through the lattice, cut first where no piece can span. A task turns its documents into blocks: the distinct words of some
 documents, dealt out to buckets by a hash, and each document as indices into them. A bucket meets the words of all
-blocks, so each word is there once; its substrings up to the longest piece are exploded and equi-joined to the piece
+blocks, so each is there once; its substrings, up to the longest piece that may begin there, are exploded and equi-joined to the piece
 table, the edges found are grouped by word again, and a higher-order aggregate folds them into the best path (Viterbi).
 Exploding and joining with a broadcast table keep the order of rows, so the edges of a word, and the words of a bucket,
 arrive together and are grouped as they come. The paths go back to their blocks, which read their documents off them.
@@ -41,6 +41,8 @@ _LITERAL = "﷐"
 WORD_CHARS = 96
 BLOCK_WORDS = 1 << 19
 BLOCK_TOKENS = 4_000_000
+#: Substrings are exploded up to the longest piece with so many first characters in common.
+PREFIX = 4
 #: So many words of documents are written out at once.
 OUT_TOKENS = 200_000
 _BIAS = 1 << 21  # packed ids are shifted by this: below it stand characters to be written as bytes
@@ -55,10 +57,24 @@ class Pieces:
     byte_ids: list[int]
     byte_cost: int
 
+    @property
+    def pairs(self) -> np.ndarray:
+        """Neighbouring characters of all pieces, as sorted numbers. No piece spans a pair that is not among them."""
+        return np.unique(np.array([ord(a) << 32 | ord(b) for p, _, _ in self.table for a, b in zip(p, p[1:])], np.uint64))
+
     @property
     def longest(self) -> int:
         return max(len(p) for p, _, _ in self.table)
 
+    @property
+    def longest_by_prefix(self) -> dict[str, int]:
+        """How long pieces with the same first characters get."""
+        out: dict[str, int] = {}
+        for p, _, _ in self.table:
+            if len(p) >= PREFIX:
+                out[p[:PREFIX]] = max(len(p), out.get(p[:PREFIX], 0))
+        return out
+
 
 def read_pieces(path: str) -> Pieces:
     """The pieces of a SentencePiece model file with byte pieces."""
@@ -95,18 +111,48 @@ def _words(text: str, part: int) -> Iterator[str]:
             yield from (word[at : at + part] for at in range(0, len(word), part))
 
 
-_BLOCKS = "block long, bucket int, body array<binary>"
+_BLOCKS = "block long, bucket int, body binary"
+
+
+def _sealed(parts: list[bytes]) -> bytes:
+    """Several byte strings as one; a column of lists with NULLs makes Spark's writer of Arrow batches slow."""
+    return b"".join([np.array([len(parts), *map(len, parts)], np.int64).tobytes(), *parts])
+
+
+def _opened(raw: bytes) -> list[bytes]:
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    to = 8 * (n + 1) + np.append(0, np.cumsum(np.frombuffer(raw, np.int64, n, 8)))
+    return [raw[a:b] for a, b in zip(to, to[1:])]
 
 
 def _rows(rows: list[tuple[int, int, list[bytes]]]) -> pa.RecordBatch:
     block, bucket, body = zip(*rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(block, pa.int64()), pa.array(bucket, pa.int32()), pa.array(body, pa.list_(pa.binary()))],
+        [pa.array(block, pa.int64()), pa.array(bucket, pa.int32()), pa.array([_sealed(b) for b in body], pa.binary())],
         ["block", "bucket", "body"],
     )
 
 
-def _blocks(part: int, buckets: int):
+def _cut(words: list[str], pairs: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct parts of words, the parts of all words as indices, and how many each word has.
+
+    Words are cut where no piece can span, which leaves their best paths as they are.
+    """
+    text = "".join(words)
+    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    to = np.append(0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words))))
+    pair = chars[:-1] << np.uint64(32) | chars[1:]
+    found = np.searchsorted(pairs, pair)
+    edge = np.zeros(len(chars) + 1, bool)
+    edge[1:-1] = np.append(pairs, np.uint64(0))[found] != pair
+    edge[to] = True
+    at = np.flatnonzero(edge)
+    known: dict[str, int] = {}
+    parts = np.fromiter((known.setdefault(text[a:b], len(known)) for a, b in zip(at.tolist(), at[1:].tolist())), np.int64, len(at) - 1)
+    return list(known), parts, np.diff(np.searchsorted(at, to))
+
+
+def _blocks(part: int, buckets: int, pairs: np.ndarray):
     """A block's documents as bucket -1: their ids, their words each, and the words as indices, byte plane by byte
     plane. Its words as one row for each bucket; the indices number them bucket by bucket."""
 
@@ -116,13 +162,16 @@ def _blocks(part: int, buckets: int):
         ids, sizes, tokens, total = [], [], [], 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
-            words = [w.replace(" ", SPACE).encode() for w in known]
+            parts, of_word, n_parts = _cut([w.replace(" ", SPACE) for w in known], pairs)
+            words = [w.encode() for w in parts]
             bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
             order = np.argsort(bucket, kind="stable")
             number = np.empty(len(words), np.uint32)
             number[order] = np.arange(len(words), dtype=np.uint32)
-            indices = number[np.concatenate([np.zeros(0, np.uint32), *tokens])]
-            yield _rows([(at, -1, [packed(np.array(ids, np.int64)), packed(np.array(sizes, np.int64)), _planes(indices)])])
+            whole = np.concatenate([np.zeros(0, np.uint32), *tokens])
+            indices = number[of_word[_ranges((np.cumsum(n_parts) - n_parts)[whole], n_parts[whole])]]
+            wide = np.diff(np.append(0, np.cumsum(n_parts[whole]))[np.append(0, np.cumsum(np.array(sizes, np.int64)))])
+            yield _rows([(at, -1, [packed(np.array(ids, np.int64)), packed(wide), _planes(indices)])])
             starts = group_starts(bucket[order])
             dealt = [
                 # 0xFF is in no UTF-8 text
@@ -172,7 +221,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 _planes(np.concatenate(tokens))]
         words = pa.array(["\n", *(w.decode() for w in known)])
         return pa.RecordBatch.from_arrays(
-            [pa.array([bucket], pa.int64()), pa.ListArray.from_arrays([0, len(words)], words), pa.array([body], pa.list_(pa.binary()))],
+            [pa.array([bucket], pa.int64()), pa.ListArray.from_arrays([0, len(words)], words), pa.array([_sealed(body)], pa.binary())],
             ["block", "words", "body"],
         )
 
@@ -183,7 +232,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield flushed()
                 bucket, known = row["bucket"], {}
                 blocks, sizes, tokens = [], [], []
-            words = unpacked(row["body"][0], np.uint8).tobytes().split(b"\xff")
+            words = unpacked(_opened(row["body"])[0], np.uint8).tobytes().split(b"\xff")
             tokens.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.uint32, len(words)))
             blocks.append(row["block"])
             sizes.append(len(words))
@@ -199,14 +248,16 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
     """
     spark = words.sparkSession
     table = spark.createDataFrame(pieces.table, "piece string, id int, cost int")
+    bounds = spark.createDataFrame(list(pieces.longest_by_prefix.items()), "prefix string, longest int")
     chars = words.withColumn("n", F.char_length("text")).select(
         "block", F.col("word").cast("long").alias("word"), "text", "body", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")
     )
-    found = chars.select(
-        "block", "word", "text", "body", "n", "i",
-        F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("n") - F.col("i") + 1))).alias("size"),
+    # both tables have at most as many rows as the vocabulary
+    bounded = chars.join(F.broadcast(bounds), F.substring("text", F.col("i"), F.lit(PREFIX)) == F.col("prefix"), "left")
+    limit = F.least(F.coalesce("longest", F.lit(PREFIX - 1)), F.col("n") - F.col("i") + 1)
+    found = bounded.select(
+        "block", "word", "text", "body", "i", F.explode(F.sequence(F.lit(1), limit)).alias("size")
     ).withColumn("part", F.substring("text", F.col("i"), F.col("size")))
-    # the piece table has as many rows as the vocabulary
     joined = found.join(F.broadcast(table), F.col("part") == F.col("piece"), "left").where("id IS NOT NULL OR size = 1")
     literal = F.when(F.col("part") == _LITERAL, F.lit(SPACE)).otherwise(F.col("part"))
     code = F.coalesce(F.col("id"), -F.ascii("part"))
@@ -218,7 +269,7 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
         .bitwiseOR(cost.cast("long"))
     )
     return joined.select("block", "word", edge.alias("edge"), "body").mapInArrow(
-        _grouped, "block long, word long, edges array<array<bigint>>, body array<binary>"
+        _grouped, "block long, word long, edges array<array<bigint>>, body binary"
     )
 
 
@@ -311,7 +362,7 @@ def _read_back(pieces: Pieces):
             ids, who = np.where(out < 0, lookup[kind, np.minimum(step, 3)], out), np.repeat(who, times)
         per_word = np.bincount(who, minlength=int(word.max()) + 1)
         starts = np.cumsum(per_word) - per_word
-        body = table.column("body").filter(table.column("body").is_valid())[0].as_py()
+        body = _opened(table.column("body")[0].as_py())  # word 0 comes first
         bucket, blocks, sizes = (unpacked(x, np.int64) for x in body[:3])
         words = _from_planes(body[3]).astype(np.int64) + 1
         to = np.cumsum(sizes)
@@ -323,10 +374,11 @@ def _read_back(pieces: Pieces):
 
     def documents(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         """From a block's row of documents and its rows of paths, in the order of their buckets."""
-        docs, sizes = (unpacked(x, np.int64) for x in rows[0]["body"][:2])
-        words = _from_planes(rows[0]["body"][2])
-        per_word = np.concatenate([np.zeros(0, np.uint32), *(_from_planes(r["body"][0]) for r in rows[1:])]).astype(np.int64)
-        ids = np.concatenate([np.zeros(0, np.uint32), *(_from_planes(r["body"][1]) for r in rows[1:])]).astype(np.int32)
+        first, *rest = (_opened(r["body"]) for r in rows)
+        docs, sizes = (unpacked(x, np.int64) for x in first[:2])
+        words = _from_planes(first[2])
+        per_word = np.concatenate([np.zeros(0, np.uint32), *(_from_planes(x[0]) for x in rest)]).astype(np.int64)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(_from_planes(x[1]) for x in rest)]).astype(np.int32)
         starts = np.cumsum(per_word) - per_word
         to = np.append(0, np.cumsum(sizes))
         at = 0
@@ -393,12 +445,12 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     """
     n = shuffle_partitions(docs)
     run, _, assembled, both = _read_back(pieces)
-    blocks = stage(narrowed(docs).mapInArrow(_blocks(WORD_CHARS, n), _BLOCKS), "lattice-blocks")
+    blocks = stage(narrowed(docs).mapInArrow(_blocks(WORD_CHARS, n, pieces.pairs), _BLOCKS), "lattice-blocks")
     buckets = blocks.where("bucket >= 0").repartition(n, "bucket").sortWithinPartitions("bucket", "block")
     words = (
-        buckets.mapInArrow(_distinct, "block long, words array<string>, body array<binary>")
+        buckets.mapInArrow(_distinct, "block long, words array<string>, body binary")
         .select("block", F.posexplode("words").alias("word", "text"), "body")
-        .withColumn("body", F.when(F.col("word") == 0, F.col("body")))
+        .withColumn("body", F.when(F.col("word") == 0, F.col("body")).otherwise(F.lit(b"")))
     )
     paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(run, _BLOCKS)
     whole = blocks.where("bucket = -1").union(paths).repartition(n, "block").sortWithinPartitions("block", "bucket")
