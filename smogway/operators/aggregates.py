@@ -72,17 +72,55 @@ def hourly_air(
     over its locations and the distinct count becomes a plain count.
     """
     validate_columns(air, ["timestamp", "location", "pm25"], "air quality data")
+    return _over_locations(air_by_location(between_times(air, since, until), width))
+
+
+def _over_locations(by_location: DataFrame) -> DataFrame:
+    return by_location.groupBy("timestamp").agg(
+        (F.sum("pm25_sum") / F.sum("pm25_count")).alias("avg_pm25"),
+        F.sum("pm25_count").alias("pm25_count"),
+        F.count("location").alias("location_count"),
+    )
+
+
+def merge_air(partials: DataFrame) -> DataFrame:
+    """The hourly air view from `air_by_location` of any parts of the data, e.g. of micro-batches."""
+    return _over_locations(
+        partials.groupBy("timestamp", "location").agg(
+            F.sum("pm25_sum").alias("pm25_sum"), F.sum("pm25_count").alias("pm25_count")
+        )
+    )
+
+
+def traffic_by_segment(readings: DataFrame, width: str = "1 hour") -> DataFrame:
+    """Partial hourly sums per road segment, which `merge_traffic` adds up."""
     return (
-        air_by_location(between_times(air, since, until), width)
-        .groupBy("timestamp")
+        readings.where(F.col("segment_id").isNotNull())
+        .select(
+            time_bucket("timestamp", width).alias("timestamp"),
+            F.col("segment_id").alias("road_segment_id"),
+            nan_to_null(F.col("velocity")).alias("velocity"),
+        )
+        .groupBy("timestamp", "road_segment_id")
         .agg(
-            (F.sum("pm25_sum") / F.sum("pm25_count")).alias("avg_pm25"),
-            F.sum("pm25_count").alias("pm25_count"),
-            F.count("location").alias("location_count"),
+            F.sum("velocity").alias("speed_sum"),
+            F.min("velocity").alias("min_speed"),
+            F.max("velocity").alias("max_speed"),
+            F.count("velocity").alias("record_count"),
         )
     )
 
 
+def merge_traffic(partials: DataFrame) -> DataFrame:
+    """The hourly traffic view from `traffic_by_segment` of any parts of the data."""
+    return partials.groupBy("timestamp", "road_segment_id").agg(
+        F.try_divide(F.sum("speed_sum"), F.sum("record_count")).alias("avg_speed"),
+        F.min("min_speed").alias("min_speed"),
+        F.max("max_speed").alias("max_speed"),
+        F.sum("record_count").alias("record_count"),
+    )
+
+
 def reaggregate_traffic(batch: DataFrame, weighted: bool = False) -> DataFrame:
     """One row per (timestamp[, segment]); the mean of means is unweighted unless `weighted`."""
     keys = [c for c in ("timestamp", "road_segment_id") if c in batch.columns]

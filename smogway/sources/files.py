@@ -6,41 +6,63 @@ Raw readers return one JSON record per row in `value`, with `ingest_seq` giving
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smogway.functions.timestamps import parse_timestamp
 
-_EMPTY_RAW = "value string, ingest_seq bigint"
+_EMPTY_RAW = (
+    "value string,"
+    " ingest_seq struct<modified: timestamp, file: string, block: bigint, piece: bigint, position: int>"
+)
+
+
+def _pieces(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Texts with where they come from; older files first, then by name and place."""
+    return spark.read.text(path, **options).select(
+        "value",
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("piece"),
+    )
+
+
+def _placed(value: Column, position: Column) -> list[Column]:
+    return [value.alias("value"), F.struct("modified", "file", "block", "piece", position.alias("position")).alias("ingest_seq")]
+
+
+def _elements(pieces: DataFrame, elements: Column) -> DataFrame:
+    exploded = pieces.select("modified", "file", "block", "piece", F.posexplode(elements).alias("position", "element"))
+    return exploded.select(*_placed(F.coalesce("element", F.lit("null")), F.col("position")))
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    return lines.withColumn("ingest_seq", F.monotonically_increasing_id())
+    return _pieces(spark, path).where(F.trim("value") != "").select(*_placed(F.col("value"), F.lit(0)))
 
 
 def _array(spark: SparkSession, path: str) -> DataFrame:
-    # Elements stay JSON text, so one odd element cannot reject the file. A file is one task.
-    files = spark.read.text(path, wholetext=True)
-    elements = files.select(
-        F.spark_partition_id().alias("_part"),
-        F.posexplode(F.from_json("value", "array<string>")).alias("_pos", "value"),
-    )
-    seq = F.shiftleft(F.col("_part").cast("bigint"), 40) + F.col("_pos")
-    return elements.select("value", seq.alias("ingest_seq"))
+    # Elements stay JSON text, so one odd element cannot reject the file. A file is one task. One that
+    # is no array is a single record, which the parser rejects or takes.
+    whole = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+    return _elements(_pieces(spark, path, wholetext=True), whole)
 
 
 def _indented_array(spark: SparkSession, path: str) -> DataFrame:
     # In an array printed with two blanks of indent, only the end of a top-level object can start a
     # line with exactly "  }", as line breaks inside strings are escaped. Splitting there lets many
-    # tasks read one large file.
-    pieces = spark.read.option("lineSep", "\n  }").text(path)
+    # tasks read one large file. A piece that does not begin as an object of this layout may hold other
+    # elements too, or the array's end; what is no JSON even so stays as it is, for the parser to reject.
     body = F.regexp_replace("value", r"^\s*[\[,]?\s*", "")
-    objects = pieces.select(
-        F.concat(body, F.lit("}")).alias("value"), F.monotonically_increasing_id().alias("ingest_seq")
+    one = F.array(F.concat(body, F.lit("}")))
+    several = F.coalesce(
+        F.from_json(F.concat(F.lit("["), body, F.lit("}]")), "array<string>"),
+        F.from_json(F.concat(F.lit("["), body), "array<string>"),
+        F.array("value"),
     )
-    return objects.where(F.col("value").startswith("{"))
+    elements = F.when(body.rlike(r"^\{\r?\n    \S"), one).otherwise(several)
+    return _elements(_pieces(spark, path, lineSep="\n  }"), elements)
 
 
 _LAYOUTS = {"lines": _lines, "array": _array, "indented_array": _indented_array}

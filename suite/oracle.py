@@ -12,8 +12,7 @@ TRAFFIC = """traffic AS (
 AIR = """air AS (
   SELECT ts AS timestamp, 'loc_' || (user_id % 20) AS location, value - 5 AS pm25, event_id, event_type
   FROM events WHERE event_type IN ('purchase', 'error', 'signup'))"""
-TRAFFIC_GAPS = TRAFFIC + ", traffic_up AS (SELECT * FROM traffic WHERE hour(timestamp) <> 4)"
-AIR_GAPS = AIR + ", air_up AS (SELECT * FROM air WHERE hour(timestamp) <> 3)"
+AIR_LATER = AIR + ", air_later AS (SELECT * REPLACE (timestamp + INTERVAL 5 HOUR AS timestamp) FROM air)"
 
 
 def batch(source: str = "traffic", name: str = "batch", unit: str = "hour") -> str:
@@ -61,7 +60,7 @@ FLAGGED = """flagged AS (
   FROM combined)"""
 
 PLAIN = [TRAFFIC, AIR, batch(), hourly(), combined(), FLAGGED]
-GAPS = [TRAFFIC_GAPS, AIR_GAPS, batch("traffic_up"), hourly("air_up"), combined(), FLAGGED]
+GAPS = [TRAFFIC, AIR_LATER, batch(), hourly("air_later"), combined(), FLAGGED]
 ALIGNED = [TRAFFIC, AIR, batch(), hourly(), aligned(), combined("batch_a", "hourly_a"), FLAGGED]
 
 CRITICAL_HOURS = """critical_hours AS (
@@ -171,9 +170,6 @@ def profile(bands: str) -> str:
 FROM (SELECT *, hour(timestamp) AS h FROM traffic) GROUP BY 1""")
 
 
-# Both streams end at the newest time they have seen less the two-hour delay.
-CLOSED_AIR = "(SELECT max(timestamp) - INTERVAL 2 HOUR FROM air WHERE pm25 > 0)"
-
 ORACLE: dict[str, str] = {
     "hourly_traffic_by_segment": sql([TRAFFIC, batch()], f"SELECT {batch_columns()} FROM batch"),
     "hourly_traffic_overall": sql([TRAFFIC], """SELECT date_trunc('hour', timestamp) AS timestamp,
@@ -342,14 +338,24 @@ FROM events WHERE event_type IN ('view', 'click') AND ts + INTERVAL 1 HOUR >= {A
 FROM events e LEFT JOIN stations s ON e.user_id % 12 = s.station_id"""),
     "partition_columns": """SELECT event_id, year(l)::INT AS year, month(l)::INT AS month, day(l)::INT AS day
 FROM (SELECT event_id, ts + INTERVAL 7 HOUR AS l FROM events)""",
-    "kafka_records_traffic": """SELECT CASE event_type WHEN 'signup' THEN 'unknown' WHEN 'purchase' THEN 'unknown'
-    WHEN 'click' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS key, count(*) AS messages
-FROM events GROUP BY 1""",
-    "kafka_records_air": """SELECT CASE WHEN event_type = 'view' THEN 'loc_' || (user_id % 20)
+    "kafka_records_traffic": sql([PARSED_TRAFFIC], """SELECT CASE event_type WHEN 'signup' THEN 'unknown' WHEN 'purchase' THEN 'unknown'
+    WHEN 'click' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS key, count(*) AS messages,
+  count(*) FILTER (reason IS NULL) AS readings, round(sum(velocity) FILTER (reason IS NULL), 3) AS total_speed
+FROM events JOIN parsed USING (event_id) GROUP BY 1"""),
+    "kafka_records_air": sql([PARSED_AIR], """SELECT CASE WHEN event_type = 'view' THEN 'loc_' || (user_id % 20)
     WHEN event_type = 'error' AND value BETWEEN 20 AND 100 THEN 'loc_' || (user_id % 20)
     WHEN event_type = 'error' AND value < 20 THEN 'unknown'
-    ELSE CAST(value AS VARCHAR) END AS key, count(*) AS messages
-FROM events GROUP BY 1""",
+    ELSE CAST(value AS VARCHAR) END AS key, count(*) AS messages,
+  count(*) FILTER (reason IS NULL) AS measurements, round(sum(pm25) FILTER (reason IS NULL), 3) AS total_pm25
+FROM events JOIN parsed ON event_id = ingest_seq GROUP BY 1"""),
+    "array_file_roundtrip": sql([PARSED_AIR], """SELECT timestamp, location, count(*) AS n, count(*) AS arrivals, round(sum(pm25), 3) AS total_pm25
+FROM parsed WHERE reason IS NULL GROUP BY 1, 2"""),
+    "broken_files_rejected": sql([PARSED_AIR, """files AS (
+  SELECT *, ingest_seq // 500 AS file, (ingest_seq // 500) % 3 AS kind FROM parsed)"""], """SELECT reason, count(*) AS n FROM (
+  SELECT coalesce(reason, 'accepted') AS reason FROM files WHERE kind <> 1
+  UNION ALL SELECT 'invalid_json' FROM (SELECT DISTINCT file FROM files WHERE kind = 1)
+  UNION ALL SELECT 'not_an_object' FROM (SELECT DISTINCT file FROM files WHERE kind = 2), range(3))
+GROUP BY 1"""),
     "table_roundtrip": sql([TRAFFIC, batch()], f"""SELECT * REPLACE (timestamp + INTERVAL 7 HOUR AS timestamp),
   year(timestamp + INTERVAL 7 HOUR)::INT AS year, month(timestamp + INTERVAL 7 HOUR)::INT AS month,
   day(timestamp + INTERVAL 7 HOUR)::INT AS day
@@ -377,12 +383,9 @@ UNION ALL SELECT 'combined_view', 'missing', 0""",
         [PARSED_TRAFFIC, "accepted AS (SELECT * FROM parsed WHERE reason IS NULL)", batch("accepted")],
         f"SELECT {batch_columns()} FROM batch",
     ),
-    "stream_hourly_air": sql([AIR, hourly()], f"""SELECT timestamp, {air_columns()} FROM hourly
-WHERE timestamp + INTERVAL 1 HOUR <= {CLOSED_AIR}"""),
+    "stream_hourly_air": sql([AIR, hourly()], f"SELECT timestamp, {air_columns()} FROM hourly"),
     "stream_dedupe": sql([AIR], "SELECT DISTINCT date_trunc('hour', timestamp) AS timestamp, location FROM air"),
-    "stream_combined": sql(GAPS[:-1], f"""SELECT {batch_columns(8)}, {air_columns()} FROM combined
-WHERE timestamp + INTERVAL 1 HOUR <= (SELECT least((SELECT max(timestamp) FROM traffic_up),
-  (SELECT max(timestamp) FROM air_up WHERE pm25 > 0)) - INTERVAL 2 HOUR)"""),
+    "stream_combined": sql(GAPS[:-1], f"SELECT {batch_columns(8)}, {air_columns()} FROM combined"),
     "stream_upsert": sql([AIR], """SELECT date_trunc('hour', timestamp) AS timestamp, location, round(pm25, 6) AS pm25, event_id
 FROM air QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', timestamp), location ORDER BY event_id DESC) = 1"""),
     "stream_retention": f"""SELECT event_id FROM events

@@ -59,7 +59,8 @@ def views(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def views_with_outages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return stored(src.traffic_with_outage(spark, d), src.air_with_outage(spark, d))
+    """The traffic view ends, and the air view begins, hours before the other; every row is in."""
+    return stored(src.traffic(spark, d), src.later(src.air(spark, d)))
 
 
 def flagged(spark: SparkSession, d: str) -> DataFrame:
@@ -445,14 +446,52 @@ def partition_columns(spark, d):
 
 @query
 def kafka_records_traffic(spark, d):
-    records = topics.traffic_records(src.raw_traffic(spark, d))
-    return records.groupBy("key").agg(F.count(F.lit(1)).alias("messages"))
+    read_back = P.classify_traffic(topics.traffic_records(src.raw_traffic(spark, d)), src.AS_OF)
+    good = F.col("reason").isNull()
+    return read_back.groupBy("key").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if(good).alias("readings"),
+        F.round(F.sum(F.when(good, F.col("velocity"))), 3).alias("total_speed"),
+    )
 
 
 @query
 def kafka_records_air(spark, d):
-    records = topics.air_records(src.raw_air(spark, d))
-    return records.groupBy("key").agg(F.count(F.lit(1)).alias("messages"))
+    read_back = P.classify_air(topics.air_records(src.raw_air(spark, d)))
+    good = F.col("reason").isNull()
+    return read_back.groupBy("key").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if(good).alias("measurements"),
+        F.round(F.sum(F.when(good, F.col("pm25"))), 3).alias("total_pm25"),
+    )
+
+
+def _array_files(spark: SparkSession, d: str, body=lambda whole, file: whole) -> DataFrame:
+    """Raw air measurements through array files of 500 records each; `body` may alter a file."""
+    path = fresh_path(spark, "arrays")
+    records = src.raw_air(spark, d).withColumn("file", F.floor(F.col("ingest_seq") / 500))
+    whole = records.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
+    whole.select("file", body(F.col("value"), F.col("file")).alias("value")).write.partitionBy("file").text(path)
+    return files.read_raw(spark, path, "array")
+
+
+@query
+def array_file_roundtrip(spark, d):
+    parsed = _local(P.parse_air(_array_files(spark, d)).accepted)
+    return parsed.groupBy("timestamp", "location").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("ingest_seq").alias("arrivals"),
+        F.round(F.sum("pm25"), 3).alias("total_pm25"),
+    )
+
+
+@query
+def broken_files_rejected(spark, d):
+    """Every third file is cut off, every third has elements that are no objects; none may vanish."""
+
+    def body(whole, file):
+        cut = F.substring(whole, F.lit(1), F.length(whole) - 1)
+        return F.when(file % 3 == 1, cut).when(file % 3 == 2, F.concat(cut, F.lit(',7,"x",null]'))).otherwise(whole)
+
+    reasons = P.classify_air(_array_files(spark, d, body)).select(F.coalesce("reason", F.lit("accepted")).alias("reason"))
+    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _batch_view_spec(spark: SparkSession, fmt: str, *partition_by: str) -> tables.TableSpec:
@@ -557,10 +596,24 @@ def _air_stream(spark: SparkSession, d: str) -> DataFrame:
     return src.as_instant(src.as_air(_event_stream(spark, d)))
 
 
+def _event_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The events as several micro-batches, in no order of time."""
+    path, events = fresh_path(spark, "event-files"), src.events(spark, d)
+    events.repartition(3).write.parquet(path)
+    return sinks.file_stream(spark, path, events.schema, maxFilesPerTrigger=1)
+
+
+def _partials(spark: SparkSession, stream: DataFrame, aggregate, label: str) -> DataFrame:
+    path, checkpoint = fresh_path(spark, label), fresh_path(spark, f"{label}-checkpoint")
+    sinks.run_until_done(lambda: sinks.partials_stream(stream, aggregate, path, checkpoint))
+    return sinks.read_partials(spark, path)
+
+
 @query
 def stream_hourly_air(spark, d):
-    hourly = SQ.hourly_air_stream(_air_stream(spark, d).withWatermark("timestamp", "2 hours"))
-    return rounded(_drain(spark, SQ.with_hour(hourly), "stream-air"), 8)
+    air = src.as_instant(src.as_air(_event_batches(spark, d)))
+    hourly = A.merge_air(_partials(spark, air, A.air_by_location, "stream-air"))
+    return rounded(hourly.withColumn("timestamp", utc_wall_clock(F.col("timestamp"))), 8)
 
 
 @query
@@ -571,14 +624,12 @@ def stream_dedupe(spark, d):
 
 @query
 def stream_combined(spark, d):
-    readings = src.as_traffic(_event_stream(spark, d)).where(F.hour("timestamp") != 4)
-    air = src.as_air(_event_stream(spark, d)).where(F.hour("timestamp") != 3)
-    joined = SQ.combined_stream(
-        src.as_instant(readings).withWatermark("timestamp", "2 hours"),
-        src.as_instant(air).withWatermark("timestamp", "2 hours"),
-    )
-    joined = SQ.with_hour(joined)
-    return rounded(_drain(spark, joined, "stream-combined"), 8)
+    events = _event_batches(spark, d)
+    readings, air = src.as_instant(src.as_traffic(events)), src.as_instant(src.later(src.as_air(events)))
+    batch = A.merge_traffic(_partials(spark, readings, A.traffic_by_segment, "stream-roads"))
+    hourly = A.merge_air(_partials(spark, air, A.air_by_location, "stream-sensors"))
+    joined = I.combine(stage(batch, "batch-view"), stage(hourly, "hourly-air"), aligned=False)
+    return rounded(joined.withColumn("timestamp", utc_wall_clock(F.col("timestamp"))), 8)
 
 
 @query

@@ -48,14 +48,9 @@ def air(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     return as_air(events(spark, sf_dir), *extra)
 
 
-def traffic_with_outage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Road sensors are silent from 4 to 5 every day, so some hours have air data only."""
-    return traffic(spark, sf_dir).where(F.hour("timestamp") != 4)
-
-
-def air_with_outage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Air sensors are silent from 3 to 4 every day, so some hours have traffic only."""
-    return air(spark, sf_dir).where(F.hour("timestamp") != 3)
+def later(air_df: DataFrame) -> DataFrame:
+    """The same measurements five hours later: either end then has hours with data of one side only."""
+    return air_df.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 5 HOURS"))
 
 
 def hourly_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -43,13 +44,43 @@ RECORDS = [{"a": {"b": [1, 2]}, "s": "x\n  },\n  {"}, {"a": None}, {"ü": "é"},
     ("lines", "\n".join(json.dumps(r, ensure_ascii=False) for r in RECORDS) + "\n\n"),
     ("array", json.dumps(RECORDS)),
     ("array", json.dumps(RECORDS, indent=4)),
-    ("indented_array", json.dumps(RECORDS[:3], indent=2, ensure_ascii=False)),
+    ("indented_array", json.dumps(RECORDS, indent=2, ensure_ascii=False)),
 ])
 def test_raw_layouts(spark, tmp_path, layout, text):
     (tmp_path / "raw.json").write_text(text, encoding="utf-8")
     rows = files.read_raw(spark, str(tmp_path / "raw.json"), layout).orderBy("ingest_seq").collect()
-    expected = RECORDS[:3] if layout == "indented_array" else RECORDS
-    assert [json.loads(r.value) for r in rows] == expected
+    assert [json.loads(r.value) for r in rows] == RECORDS
+
+
+@pytest.mark.parametrize("indent", [2, 4])
+def test_indented_arrays_keep_every_element(spark, tmp_path, indent):
+    records = [{"a": 1}, 7, "x", None, {}, {"a": 3}]
+    (tmp_path / "raw.json").write_text(json.dumps(records, indent=indent))
+    rows = files.read_raw(spark, str(tmp_path), "indented_array").orderBy("ingest_seq").collect()
+    # a string among the elements arrives as its bare text
+    assert [r.value if r.value == "x" else json.loads(r.value) for r in rows] == records
+
+
+@pytest.mark.parametrize("layout, kept", [("array", 0), ("indented_array", 2)])
+def test_a_cut_off_file_leaves_a_record_to_reject(spark, tmp_path, layout, kept):
+    text = json.dumps([{"a": 1}, {"a": 2}, {"a": 3}], indent=2)
+    (tmp_path / "raw.json").write_text(text[: text.rindex("3")])
+    values = [r.value for r in files.read_raw(spark, str(tmp_path), layout).orderBy("ingest_seq").collect()]
+    assert [json.loads(v)["a"] for v in values[:-1]] == list(range(1, kept + 1))
+    with pytest.raises(json.JSONDecodeError):
+        json.loads(values[-1])
+
+
+@pytest.mark.parametrize("layout", ["array", "lines"])
+def test_arrival_order_over_many_files(spark, tmp_path, layout):
+    for i in range(40):
+        records = [{"i": 10 * i + k, "pad": "x" * (i * 37 % 50)} for k in range(3)]
+        file = tmp_path / f"{40 - i}.json"
+        file.write_text(json.dumps(records) if layout == "array" else "\n".join(map(json.dumps, records)))
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))
+    rows = files.read_raw(spark, str(tmp_path), layout).orderBy("ingest_seq").collect()
+    assert [json.loads(r.value)["i"] for r in rows] == [10 * i + k for i in range(40) for k in range(3)]
+    assert len({r.ingest_seq for r in rows}) == 120
 
 
 def test_indented_arrays_are_read_by_many_tasks(spark, tmp_path):

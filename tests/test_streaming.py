@@ -6,7 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smogway.operators.aggregates import hourly_air, hourly_traffic
+from smogway.operators.aggregates import air_by_location, hourly_air, hourly_traffic, merge_air
 from smogway.operators.integrate import combine
 from smogway.operators.parsing import parse_air, parse_traffic
 from smogway.schemas import RAW_TEXT, SPEED_VIEW
@@ -77,6 +77,23 @@ def test_hourly_stream_equals_batch_for_closed_hours(spark, tmp_path):
     assert rows(closed) == rows(expected) and closed.count() == 21
 
 
+def test_partials_lose_no_late_row_and_no_open_hour(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "partials")
+
+    def start():
+        stream = SQ.air_stream(text_stream(spark, source))
+        return sinks.partials_stream(stream, air_by_location, path, str(tmp_path / "c"))
+
+    drop(source, "1.json", [air_record(m, f"L{m % 3}", float(m % 50)) for m in range(600, 900, 7)])
+    sinks.run_until_done(start)
+    drop(source, "2.json", [air_record(m, f"L{m % 3}", float(m % 50)) for m in range(0, 700, 7)])
+    sinks.run_until_done(start)
+    columns = ["timestamp", F.round("avg_pm25", 6), "pm25_count", "location_count"]
+    streamed = merge_air(sinks.read_partials(spark, path)).select(*columns)
+    batch = hourly_air(parse_air(spark.read.text(str(source))).accepted).select(*columns)
+    assert rows(streamed) == rows(batch) and batch.count() == 15
+
+
 def test_stream_dedupe(spark, tmp_path):
     source = tmp_path / "in"
     drop(source, "1.json", [air_record(0, "A", 1.0), air_record(0, "B", 1.0)])
