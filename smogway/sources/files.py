@@ -35,7 +35,20 @@ def _placed(value: Column, position: Column) -> list[Column]:
 
 def _elements(pieces: DataFrame, elements: Column) -> DataFrame:
     exploded = pieces.select("modified", "file", "block", "piece", F.posexplode(elements).alias("position", "element"))
-    return exploded.select(*_placed(F.coalesce("element", F.lit("null")), F.col("position")))
+    return exploded.select(*_placed(F.col("element"), F.col("position")))
+
+
+def _parsed_array(text: Column) -> Column:
+    """The elements of a JSON array as JSON texts, NULL if it is none. A string that looks like an object is taken for one."""
+
+    def as_json(element: Column) -> Column:
+        # Strings come without their quotes: {"s":"..."} has them, between its first five characters and its last.
+        holder = F.to_json(F.struct(element.alias("s")))
+        quoted = F.substring(holder, F.lit(6), F.length(holder) - 6)
+        is_json = element.rlike(r"^([\[{]|(-?\d[\d.eE+-]*|true|false|-?NaN|-?Infinity)$)")
+        return F.when(element.isNull(), F.lit("null")).when(is_json, element).otherwise(quoted)
+
+    return F.transform(F.from_json(text, "array<string>"), as_json)
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,7 +58,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 def _array(spark: SparkSession, path: str) -> DataFrame:
     # Elements stay JSON text, so one odd element cannot reject the file. A file is one task. One that
     # is no array is a single record, which the parser rejects or takes.
-    whole = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+    whole = F.coalesce(_parsed_array(F.col("value")), F.array("value"))
     return _elements(_pieces(spark, path, wholetext=True), whole)
 
 
@@ -57,8 +70,8 @@ def _indented_array(spark: SparkSession, path: str) -> DataFrame:
     body = F.regexp_replace("value", r"^\s*[\[,]?\s*", "")
     one = F.array(F.concat(body, F.lit("}")))
     several = F.coalesce(
-        F.from_json(F.concat(F.lit("["), body, F.lit("}]")), "array<string>"),
-        F.from_json(F.concat(F.lit("["), body), "array<string>"),
+        _parsed_array(F.concat(F.lit("["), body, F.lit("}]"))),
+        _parsed_array(F.concat(F.lit("["), body)),
         F.array("value"),
     )
     elements = F.when(body.rlike(r"^\{\r?\n    \S"), one).otherwise(several)
