@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-Only distinct words pass through the lattice, cut first where no piece can span. A task turns its documents into blocks: the distinct words of some
+Only distinct words pass through the lattice: texts are cut where no piece can span, and nowhere else. A task turns its documents into blocks: the distinct words of some
 documents, dealt out to buckets by a hash, and each document as indices into them. A bucket meets the words of all
 blocks, so each is there once; its substrings, up to the longest piece that may begin there, are exploded and equi-joined to the piece
 table, the edges found are grouped by word again, and a higher-order aggregate folds them into the best path (Viterbi).
@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,12 +99,26 @@ def read_pieces(path: str) -> Pieces:
                   round(1000 * (worst - low + 2)))
 
 
-# a word with the space before it, or one white space character
-_SPLIT = re.compile(r"\x20?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]").findall
+_WHITE = "\x20\x09\x0A\x0B\x0C\x0D"
 
 
-def _words(text: str, part: int) -> Iterator[str]:
-    for word in _SPLIT(text.replace(SPACE, _LITERAL)):
+def _splitter(pairs: np.ndarray) -> Callable[[str], list[str]]:
+    """Splits a text before a white space character, or after one, only where no piece has both neighbours.
+
+    A first, coarse cut, so that few distinct words reach _cut.
+    """
+    both = [(chr(p >> 32).replace(SPACE, " "), chr(p & 0xFFFFFFFF).replace(SPACE, " ")) for p in pairs.tolist()]
+    last = "".join(w for w in _WHITE if not any(a == w and b not in _WHITE for a, b in both))
+    ways = [(f"(?<![{re.escape(last)}])" if last else "") + f"[^{_WHITE}]+"]
+    for w in _WHITE:
+        before = "".join(re.escape(a) for a, b in both if b == w)
+        if before:
+            ways.append(f"(?<=[{before}]){re.escape(w)}")
+    return re.compile(f"(?s:.)(?:{'|'.join(ways)})*").findall
+
+
+def _words(text: str, split: Callable[[str], list[str]], part: int) -> Iterator[str]:
+    for word in split(text.replace(SPACE, _LITERAL)):
         if len(word) <= part:
             yield word
         else:
@@ -160,6 +174,7 @@ def _blocks(part: int, buckets: int, pairs: np.ndarray):
         at = TaskContext.get().partitionId() << 32
         known: dict[str, int] = {}
         ids, sizes, tokens, total = [], [], [], 0
+        split = _splitter(pairs)
 
         def flushed() -> Iterator[pa.RecordBatch]:
             parts, of_word, n_parts = _cut([w.replace(" ", SPACE) for w in known], pairs)
@@ -184,7 +199,7 @@ def _blocks(part: int, buckets: int, pairs: np.ndarray):
         for piece in text_slices(batches, limit=500_000):
             raw, off = piece.data.tobytes(), piece.offsets.tolist()
             for doc, a, b in zip(piece.batch.column("doc_id").to_pylist(), off, off[1:]):
-                own = [known.setdefault(w, len(known)) for w in _words(raw[a:b].decode(), part)]
+                own = [known.setdefault(w, len(known)) for w in _words(raw[a:b].decode(), split, part)]
                 ids.append(doc)
                 sizes.append(len(own))
                 tokens.append(np.array(own, np.uint32))

@@ -397,6 +397,39 @@ def test_encoding(docs, texts, empty, repeated):
     assert Counter(r.doc_id for r in encode(repeated, pieces).collect()) == {None: 2, 1: 2, 2: 1}
 
 
+def whole_path(text: str, pieces) -> list[int]:
+    """Viterbi over the whole text, cut nowhere; a literal space mark is no piece."""
+    table = {p.replace("▁", " "): (i, c) for p, i, c in pieces.table}
+    ways = [(0, 0, [])]
+    for j in range(1, len(text) + 1):
+        found = []
+        for i in range(max(0, j - pieces.longest), j):
+            if text[i:j] in table:
+                found.append((ways[i][0] + table[text[i:j]][1], i, [table[text[i:j]][0]]))
+            elif j - i == 1:
+                raw = text[i].encode()
+                found.append((ways[i][0] + len(raw) * pieces.byte_cost, i, [pieces.byte_ids[b] for b in raw]))
+        ways.append(min(found, key=lambda w: w[:2]))
+    ids, j = [], len(text)
+    while j:
+        ids, j = ways[j][2] + ids, ways[j][1]
+    return ids
+
+
+def assert_whole_paths(spark, texts: list[str]) -> None:
+    pieces = read_pieces(PIECES)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in encode(rows, pieces, decoded=True).collect()}
+    assert {i: bytes(got[i].decoded).decode() for i in got} == dict(enumerate(texts))
+    assert {i: list(got[i].ids) for i in got} == {i: whole_path(t, pieces) for i, t in enumerate(texts)}
+
+
+def test_encoding_across_white_space(spark):
+    rng = random.Random(4)
+    mixed = ["".join(rng.choice(" \t\n\r\x0b;)}ax") for _ in range(60)) for _ in range(30)]
+    assert_whole_paths(spark, ["if x:\n        y  =   1\n" + " " * 37 + "z", "f(a);\r\n  }\r\n\r\n", "  ", "\t \n  \r", *mixed])
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     import corpus_pipeline
 
