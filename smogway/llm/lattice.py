@@ -17,6 +17,7 @@ probability, in proportion to 1 / (r + 2).
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
@@ -37,8 +38,9 @@ from smogway.sources.staging import stage
 SPACE = "▁"
 #: Stands for a space mark that is literally in a text; no piece has it, so it falls back to bytes.
 _LITERAL = "﷐"
-#: Longer words are encoded in parts of so many characters; edges pack positions into eight bits.
-WORD_CHARS = 96
+#: Substrings of longer words are found in segments of so many characters, with as many more as a piece may reach;
+#: edges pack an end within its segment into eight bits. The best path goes on from segment to segment.
+SEGMENT = 96
 BLOCK_WORDS = 1 << 19
 BLOCK_TOKENS = 4_000_000
 #: Substrings are exploded up to the longest piece with so many first characters in common.
@@ -117,14 +119,6 @@ def _splitter(pairs: np.ndarray) -> Callable[[str], list[str]]:
     return re.compile(f"(?s:.)(?:{'|'.join(ways)})*").findall
 
 
-def _words(text: str, split: Callable[[str], list[str]], part: int) -> Iterator[str]:
-    for word in split(text.replace(SPACE, _LITERAL)):
-        if len(word) <= part:
-            yield word
-        else:
-            yield from (word[at : at + part] for at in range(0, len(word), part))
-
-
 _BLOCKS = "block long, bucket int, body binary"
 
 
@@ -166,7 +160,7 @@ def _cut(words: list[str], pairs: np.ndarray) -> tuple[list[str], np.ndarray, np
     return list(known), parts, np.diff(np.searchsorted(at, to))
 
 
-def _blocks(part: int, buckets: int, pairs: np.ndarray):
+def _blocks(buckets: int, pairs: np.ndarray):
     """A block's documents as bucket -1: their ids, their words each, and the words as indices, byte plane by byte
     plane. Its words as one row for each bucket; the indices number them bucket by bucket."""
 
@@ -199,7 +193,7 @@ def _blocks(part: int, buckets: int, pairs: np.ndarray):
         for piece in text_slices(batches, limit=500_000):
             raw, off = piece.data.tobytes(), piece.offsets.tolist()
             for doc, a, b in zip(piece.batch.column("doc_id").to_pylist(), off, off[1:]):
-                own = [known.setdefault(w, len(known)) for w in _words(raw[a:b].decode(), split, part)]
+                own = [known.setdefault(w, len(known)) for w in split(raw[a:b].decode().replace(SPACE, _LITERAL))]
                 ids.append(doc)
                 sizes.append(len(own))
                 tokens.append(np.array(own, np.uint32))
@@ -223,7 +217,21 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(unpacked(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _segments(words: list[str], reach: int) -> pa.Array:
+    """Words in segments, numbered (word << 24 | segment); each has `own` characters and up to `reach` after them."""
+    number, text, own = [], [], []
+    for i, word in enumerate(words):
+        for k, at in enumerate(range(0, len(word), SEGMENT)):
+            number.append(i << 24 | k)
+            text.append(word[at : at + SEGMENT + reach])
+            own.append(min(SEGMENT, len(word) - at))
+    return pa.StructArray.from_arrays([pa.array(number, pa.int64()), pa.array(text, pa.string()), pa.array(own, pa.int32())], ["word", "text", "own"])
+
+
+_SEGMENTS = "block long, words array<struct<word:bigint,text:string,own:int>>, body binary"
+
+
+def _distinct(reach: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each bucket, from its rows in order: its words, once each, and the words of every block as indices.
 
     Word 0 carries the blocks: the bucket, their numbers, their words each and the indices.
@@ -234,7 +242,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flushed() -> pa.RecordBatch:
         body = [packed(np.array([bucket])), packed(np.array(blocks, np.int64)), packed(np.array(sizes, np.int64)),
                 _planes(np.concatenate(tokens))]
-        words = pa.array(["\n", *(w.decode() for w in known)])
+        words = _segments(["\n", *(w.decode() for w in known)], reach)
         return pa.RecordBatch.from_arrays(
             [pa.array([bucket], pa.int64()), pa.ListArray.from_arrays([0, len(words)], words), pa.array([_sealed(body)], pa.binary())],
             ["block", "words", "body"],
@@ -256,16 +264,17 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """`block, word, edges, body` from (block, word, text, body): every piece in every word, by its end, packed into one number.
+    """`block, word, edges, body` from (block, word, text, own, body): every piece in every word, by its end, packed into one number.
 
-    An edge is its end (8 bits), start (8), id (24, biased) and cost (23). A character that is no piece itself has an
-    edge to its bytes, with the negative of its code point for an id.
+    An edge is its end in its segment (8 bits), 255 less its length (8), id (24, biased) and cost (23). A character that
+    is no piece itself has an edge to its bytes, with the negative of its code point for an id. The edges of a word are
+    grouped by end, the ends by SEGMENT.
     """
     spark = words.sparkSession
     table = spark.createDataFrame(pieces.table, "piece string, id int, cost int")
     bounds = spark.createDataFrame(list(pieces.longest_by_prefix.items()), "prefix string, longest int")
     chars = words.withColumn("n", F.char_length("text")).select(
-        "block", F.col("word").cast("long").alias("word"), "text", "body", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")
+        "block", "word", "text", "body", "n", F.explode(F.sequence(F.lit(1), F.col("own"))).alias("i")
     )
     # both tables have at most as many rows as the vocabulary
     bounded = chars.join(F.broadcast(bounds), F.substring("text", F.col("i"), F.lit(PREFIX)) == F.col("prefix"), "left")
@@ -279,40 +288,50 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
     cost = F.coalesce(F.col("cost"), F.octet_length(literal) * pieces.byte_cost)
     edge = (
         F.shiftleft((F.col("i") + F.col("size") - 1).cast("long"), 55)
-        .bitwiseOR(F.shiftleft((F.col("i") - 1).cast("long"), 47))
+        .bitwiseOR(F.shiftleft((F.lit(255) - F.col("size")).cast("long"), 47))
         .bitwiseOR(F.shiftleft((code + _BIAS).cast("long"), 23))
         .bitwiseOR(cost.cast("long"))
     )
     return joined.select("block", "word", edge.alias("edge"), "body").mapInArrow(
-        _grouped, "block long, word long, edges array<array<bigint>>, body binary"
+        _grouped, "block long, word long, edges array<array<array<bigint>>>, body binary"
     )
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per word from rows of edges that come word by word; a word may go on in the next batch."""
-    rest = None
+    """A row per word from rows of edges that come word by word; a word may go on in the next batches."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        rows = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
-        at = group_starts(*(rows.column(c).to_numpy() for c in ("block", "word")))
-        if len(at) > 1:
-            yield _words_of(rows.slice(0, at[-1]), at[:-1])
-        rest = rows.slice(at[-1]).combine_chunks().to_batches()[0] if len(at) else None
-    if rest is not None:
-        yield _words_of(pa.Table.from_batches([rest]), np.zeros(1, np.int64))
-
-
-def _words_of(rows: pa.Table, at: np.ndarray) -> pa.RecordBatch:
-    edge = rows.column("edge").to_numpy()
+        if not batch.num_rows:
+            continue
+        block, word = batch.column("block").to_numpy(), batch.column("word").to_numpy() >> 24
+        at = group_starts(block, word)
+        if len(at) > 1 or held and (held[0].column("block")[-1].as_py(), held[0].column("word")[-1].as_py() >> 24) != (block[0], word[0]):
+            rows = pa.Table.from_batches([*held, batch.slice(0, at[-1])])
+            yield _words_of(rows)
+            held = []
+        held.append(batch.slice(at[-1]) if not held else batch)
+    if held:
+        yield _words_of(pa.Table.from_batches(held))
+
+
+def _words_of(rows: pa.Table) -> pa.RecordBatch:
+    rows = rows.combine_chunks()
+    block, number, edge = (rows.column(c).to_numpy() for c in ("block", "word", "edge"))
+    at = group_starts(block, number >> 24)
     word = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(rows))))
-    end = word * 256 + (edge >> 55)
+    end = (number & 0xFFFFFF) * SEGMENT + (edge >> 55)
+    end += word * (int(end.max()) + 1)
     order = np.argsort(end, kind="stable")
     ends = group_starts(end[order])  # a character alone is always an edge, so every position ends one
     by_end = pa.ListArray.from_arrays(pa.array(np.append(ends, len(rows)), pa.int32()), pa.array(edge[order]))
     of_word = np.append(np.searchsorted(ends, at), len(ends))
+    chunks = -(-np.diff(of_word) // SEGMENT)
+    of_chunk = np.repeat(of_word[:-1], chunks) + SEGMENT * _ranges(np.zeros(len(chunks), np.int64), chunks)
+    by_chunk = pa.ListArray.from_arrays(pa.array(np.append(of_chunk, len(ends)), pa.int32()), by_end)
     first = rows.take(pa.array(at)).combine_chunks().to_batches()[0]
     return pa.RecordBatch.from_arrays(
-        [first.column("block"), first.column("word"), pa.ListArray.from_arrays(pa.array(of_word, pa.int32()), by_end),
-         first.column("body")],
+        [first.column("block"), pa.array(number[at] >> 24),
+         pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(chunks)), pa.int32()), by_chunk), first.column("body")],
         ["block", "word", "edges", "body"],
     )
 
@@ -322,16 +341,29 @@ def _field(x: Column, low: int, bits: int) -> Column:
 
 
 def _viterbi(edges: Column) -> Column:
-    """For each position of a word, the best way to reach it: cost (31 bits), start (8) and biased id (24), packed."""
+    """For each position of a word, the best way to reach it: cost (31 bits), 255 less the length of its last piece (8)
+    and biased id (24), packed.
+
+    Costs count from the end of the chunk before, where a chunk follows another, so they stay small in words of any
+    length. A piece is no longer than a chunk, so the ways of one chunk are all that the next needs.
+    """
+    cost_only = F.lit(-1 << 32)
 
     def way(best: Column, e: Column) -> Column:
-        before = F.element_at(best, (_field(e, 47, 8) + 1).cast("int")).bitwiseAND(F.lit(-1 << 32))
-        # start and id stand together in an edge as they do in a way
+        before = F.element_at(best, (_field(e, 47, 8) - 255).cast("int")).bitwiseAND(cost_only)
+        # length and id stand together in an edge as they do in a way
         return before + F.shiftleft(_field(e, 0, 23), 32) + _field(e, 23, 32)
 
-    return F.aggregate(
-        edges, F.array(F.lit(0).cast("long")), lambda best, ways: F.array_append(best, F.array_min(F.transform(ways, lambda e: way(best, e))))
-    )
+    def followed(chunks: Column, ends: Column) -> Column:
+        last = F.element_at(chunks, -1)
+        base = F.element_at(last, -1).bitwiseAND(cost_only)
+        best = F.aggregate(
+            ends, F.transform(last, lambda w: w.bitwiseAND(cost_only) - base),
+            lambda best, ways: F.array_append(best, F.array_min(F.transform(ways, lambda e: way(best, e)))),
+        )
+        return F.array_append(chunks, F.slice(best, F.size(last) + 1, F.size(ends)))
+
+    return F.flatten(F.aggregate(edges, F.array(F.array(F.lit(0).cast("long"))), followed))
 
 
 def _read_back(pieces: Pieces):
@@ -352,7 +384,7 @@ def _read_back(pieces: Pieces):
         while len(live):  # one step back along the best path of every word at once
             way = flat[first[live] + at[live]]
             found.append((live, (way & 0xFFFFFF) - _BIAS))
-            at[live] = (way >> 24) & 0xFF
+            at[live] -= 255 - ((way >> 24) & 0xFF)
             live = live[at[live] > 0]
         who = np.concatenate([np.zeros(0, np.int64)] + [w for w, _ in found])[::-1]
         ids = np.concatenate([np.zeros(0, np.int64)] + [i for _, i in found])[::-1]
@@ -455,16 +487,18 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
 
     `decoded` adds what decode() would, in the same Python worker.
 
-    There is no normalisation and no mark before the first word. NULL and empty texts have no ids. A word of more than
-    96 characters is encoded in parts. Repeated rows get the same ids; NULL doc_ids are kept.
+    There is no normalisation and no mark before the first word. NULL and empty texts have no ids. Repeated rows get the
+    same ids; NULL doc_ids are kept.
     """
+    if pieces.longest > SEGMENT:
+        raise ValueError(f"pieces have at most {SEGMENT} characters")
     n = shuffle_partitions(docs)
     run, _, assembled, both = _read_back(pieces)
-    blocks = stage(narrowed(docs).mapInArrow(_blocks(WORD_CHARS, n, pieces.pairs), _BLOCKS), "lattice-blocks")
+    blocks = stage(narrowed(docs).mapInArrow(_blocks(n, pieces.pairs), _BLOCKS), "lattice-blocks")
     buckets = blocks.where("bucket >= 0").repartition(n, "bucket").sortWithinPartitions("bucket", "block")
     words = (
-        buckets.mapInArrow(_distinct, "block long, words array<string>, body binary")
-        .select("block", F.posexplode("words").alias("word", "text"), "body")
+        buckets.mapInArrow(functools.partial(_distinct, pieces.longest - 1), _SEGMENTS)
+        .select("block", F.inline("words"), "body")
         .withColumn("body", F.when(F.col("word") == 0, F.col("body")).otherwise(F.lit(b"")))
     )
     paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(run, _BLOCKS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import random
 import re
@@ -430,6 +431,23 @@ def test_encoding_across_white_space(spark):
     assert_whole_paths(spark, ["if x:\n        y  =   1\n" + " " * 37 + "z", "f(a);\r\n  }\r\n\r\n", "  ", "\t \n  \r", *mixed])
 
 
+def test_encoding_of_long_words(spark):
+    rng = random.Random(6)
+    letters = "".join(rng.choice("etaoinsr") for _ in range(2000))
+    texts = ["a" * n for n in (95, 96, 97, 112, 191, 192, 193, 1000)]
+    texts += [" " * 700 + "x", letters, "x " + "the" * 300 + " y", "=" * 500 + letters[:150] + "é\U0001F600" * 90, "日本語の文章" * 60]
+    assert_whole_paths(spark, texts)
+
+
+def test_costs_stay_small_in_long_words(spark):
+    """Counted from the start of the word, the costs of this path would pass 31 bits."""
+    pieces = read_pieces(PIECES)
+    dear = dataclasses.replace(pieces, table=[(p, i, 100 * c) for p, i, c in pieces.table], byte_cost=100 * pieces.byte_cost)
+    text = "a" * 20_003
+    row = encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), dear).first()
+    assert list(row.ids) == whole_path(text, dear)
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     import corpus_pipeline
 
