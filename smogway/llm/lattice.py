@@ -36,8 +36,6 @@ from smogway.llm.spans import _ranges
 from smogway.sources.staging import stage
 
 SPACE = "▁"
-#: Stands for a space mark that is literally in a text; no piece has it, so it falls back to bytes.
-_LITERAL = "﷐"
 #: Substrings of longer words are found in segments of so many characters, with as many more as a piece may reach;
 #: edges pack an end within its segment into eight bits. The best path goes on from segment to segment.
 SEGMENT = 96
@@ -59,10 +57,15 @@ class Pieces:
     byte_ids: list[int]
     byte_cost: int
 
+    @property
+    def spaced(self) -> list[tuple[str, int, int]]:
+        """`table` with spaces for marks, as in texts; so a mark that is literally in a text is no piece and falls back to bytes."""
+        return [(p.replace(SPACE, " "), i, c) for p, i, c in self.table]
+
     @property
     def pairs(self) -> np.ndarray:
         """Neighbouring characters of all pieces, as sorted numbers. No piece spans a pair that is not among them."""
-        return np.unique(np.array([ord(a) << 32 | ord(b) for p, _, _ in self.table for a, b in zip(p, p[1:])], np.uint64))
+        return np.unique(np.array([ord(a) << 32 | ord(b) for p, _, _ in self.spaced for a, b in zip(p, p[1:])], np.uint64))
 
     @property
     def longest(self) -> int:
@@ -72,7 +75,7 @@ class Pieces:
     def longest_by_prefix(self) -> dict[str, int]:
         """How long pieces with the same first characters get."""
         out: dict[str, int] = {}
-        for p, _, _ in self.table:
+        for p, _, _ in self.spaced:
             if len(p) >= PREFIX:
                 out[p[:PREFIX]] = max(len(p), out.get(p[:PREFIX], 0))
         return out
@@ -109,7 +112,7 @@ def _splitter(pairs: np.ndarray) -> Callable[[str], list[str]]:
 
     A first, coarse cut, so that few distinct words reach _cut.
     """
-    both = [(chr(p >> 32).replace(SPACE, " "), chr(p & 0xFFFFFFFF).replace(SPACE, " ")) for p in pairs.tolist()]
+    both = [(chr(p >> 32), chr(p & 0xFFFFFFFF)) for p in pairs.tolist()]
     last = "".join(w for w in _WHITE if not any(a == w and b not in _WHITE for a, b in both))
     ways = [(f"(?<![{re.escape(last)}])" if last else "") + f"[^{_WHITE}]+"]
     for w in _WHITE:
@@ -171,7 +174,7 @@ def _blocks(buckets: int, pairs: np.ndarray):
         split = _splitter(pairs)
 
         def flushed() -> Iterator[pa.RecordBatch]:
-            parts, of_word, n_parts = _cut([w.replace(" ", SPACE) for w in known], pairs)
+            parts, of_word, n_parts = _cut(list(known), pairs)
             words = [w.encode() for w in parts]
             bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
             order = np.argsort(bucket, kind="stable")
@@ -193,7 +196,7 @@ def _blocks(buckets: int, pairs: np.ndarray):
         for piece in text_slices(batches, limit=500_000):
             raw, off = piece.data.tobytes(), piece.offsets.tolist()
             for doc, a, b in zip(piece.batch.column("doc_id").to_pylist(), off, off[1:]):
-                own = [known.setdefault(w, len(known)) for w in split(raw[a:b].decode().replace(SPACE, _LITERAL))]
+                own = [known.setdefault(w, len(known)) for w in split(raw[a:b].decode())]
                 ids.append(doc)
                 sizes.append(len(own))
                 tokens.append(np.array(own, np.uint32))
@@ -267,11 +270,11 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
     """`block, word, edges, body` from (block, word, text, own, body): every piece in every word, by its end, packed into one number.
 
     An edge is its end in its segment (8 bits), 255 less its length (8), id (24, biased) and cost (23). A character that
-    is no piece itself has an edge to its bytes, with the negative of its code point for an id. The edges of a word are
+    is no piece itself has an edge to its bytes, with -1 less its code point for an id. The edges of a word are
     grouped by end, the ends by SEGMENT.
     """
     spark = words.sparkSession
-    table = spark.createDataFrame(pieces.table, "piece string, id int, cost int")
+    table = spark.createDataFrame(pieces.spaced, "piece string, id int, cost int")
     bounds = spark.createDataFrame(list(pieces.longest_by_prefix.items()), "prefix string, longest int")
     chars = words.withColumn("n", F.char_length("text")).select(
         "block", "word", "text", "body", "n", F.explode(F.sequence(F.lit(1), F.col("own"))).alias("i")
@@ -283,9 +286,8 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
         "block", "word", "text", "body", "i", F.explode(F.sequence(F.lit(1), limit)).alias("size")
     ).withColumn("part", F.substring("text", F.col("i"), F.col("size")))
     joined = found.join(F.broadcast(table), F.col("part") == F.col("piece"), "left").where("id IS NOT NULL OR size = 1")
-    literal = F.when(F.col("part") == _LITERAL, F.lit(SPACE)).otherwise(F.col("part"))
-    code = F.coalesce(F.col("id"), -F.ascii("part"))
-    cost = F.coalesce(F.col("cost"), F.octet_length(literal) * pieces.byte_cost)
+    code = F.coalesce(F.col("id"), -1 - F.ascii("part"))
+    cost = F.coalesce(F.col("cost"), F.octet_length("part") * pieces.byte_cost)
     edge = (
         F.shiftleft((F.col("i") + F.col("size") - 1).cast("long"), 55)
         .bitwiseOR(F.shiftleft((F.lit(255) - F.col("size")).cast("long"), 47))
@@ -392,8 +394,8 @@ def _read_back(pieces: Pieces):
         who, ids = word[who][order], ids[order]
         codes = np.flatnonzero(ids < 0)
         if len(codes):  # characters that become bytes
-            chars, nth = np.unique(-ids[codes], return_inverse=True)
-            raw = [(SPACE if chr(c) == _LITERAL else chr(c)).encode() for c in chars.tolist()]
+            chars, nth = np.unique(-1 - ids[codes], return_inverse=True)
+            raw = [chr(c).encode() for c in chars.tolist()]
             wide = np.array([len(r) for r in raw])
             times = np.ones(len(ids), np.int64)
             times[codes] = wide[nth]

@@ -431,6 +431,10 @@ def test_encoding_across_white_space(spark):
     assert_whole_paths(spark, ["if x:\n        y  =   1\n" + " " * 37 + "z", "f(a);\r\n  }\r\n\r\n", "  ", "\t \n  \r", *mixed])
 
 
+def test_encoding_of_space_marks_and_noncharacters(spark):
+    assert_whole_paths(spark, ["\uFDD0", "a\uFDD0b ▁\uFDD0▁ c", "▁▁ ▁a▁b", "\uFDD1\uFFFE\U0010FFFF x", "\x00 \x00a"])
+
+
 def test_encoding_of_long_words(spark):
     rng = random.Random(6)
     letters = "".join(rng.choice("etaoinsr") for _ in range(2000))
