@@ -2,8 +2,9 @@
 
 The models are smoothed variable-order Markov models over the bytes of host and path: a character's probability in a
 context is that in the shorter context, corrected by what the longer one has counted. One model is of the URLs that
-rules allow, one of those they block; all such URLs are counted. Contexts are hashed into tables of a fixed
-size. The verdict compares the log-likelihood difference per character with a threshold set on a fifth of
+rules allow, one of those they block; all such URLs are counted. A character and the five before it are one exact
+number, a window of six symbols of nine bits; its low bits are the shorter contexts. Windows are counted in Spark, in a
+staged table that grows with the pages, and the distinct windows of all URLs are joined to it. The verdict compares the log-likelihood difference per character with a threshold set on a fifth of
 the ruled URLs that the models have not counted.
 """
 
@@ -17,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogway.llm.common import mixed, text_slices
+from smogway.llm.common import group_starts, mixed, text_slices
+from smogway.sources.staging import stage
 
 # Fixed list: the rules, as host and path with their verdicts.
 RULES = (
@@ -30,6 +32,7 @@ RULES = (
 ORDERS = 6  # context lengths 0 to 5
 STRENGTH = 2.0
 _SLOTS = 1 << 16
+_SYMBOL = 9  # bits: a byte, the end mark or what stands before the start
 _BINS = 2000
 _REACH = 10.0
 
@@ -77,11 +80,13 @@ def _slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 @dataclass
 class Ratio:
-    """Counts by [model, context or pair, slot], and the threshold; `trained` if both models have counted URLs."""
+    """The models of a few URLs in hashed arrays of fixed size, for comparison; judge() counts exact windows instead.
+
+    Counts are by [model, context or pair, slot]; `trained` if both models have counted URLs.
+    """
 
     counts: np.ndarray
     trained: bool
-    threshold: float = 0.0
 
     def difference(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Log-likelihood as allowed less that as blocked, per character."""
@@ -97,55 +102,87 @@ class Ratio:
         return np.add.reduceat(logs[0] - logs[1], np.cumsum(size) - size) / size
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in text_slices(batches, "body", limit=200_000):
-        contexts, pairs, size = _slots(piece.data, piece.offsets)
-        model = np.repeat(piece.batch.column("model").to_numpy(), size)
-        every = np.concatenate([
-            (model * 2 + kind) * (ORDERS * _SLOTS) + at for kind, rows in ((0, contexts), (1, pairs)) for at in rows
-        ])
-        slot, n = np.unique(every, return_counts=True)
-        yield pa.RecordBatch.from_pydict({"slot": slot, "n": n})
+def _windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The window of every character, end marks included, and how many each row has."""
+    size = np.diff(offsets) + 1
+    begin = np.cumsum(size) - size
+    text = np.full(int(size.sum()), 256, np.int64)
+    nth = np.arange(len(text)) - np.repeat(begin, size)
+    text[nth < np.repeat(size - 1, size)] = data
+    window = text.copy()
+    for back in range(1, ORDERS):
+        before = np.full(len(text), 257, np.int64)
+        before[back:] = np.where(nth[back:] >= back, text[:-back], 257)
+        window |= before << (_SYMBOL * back)
+    return window, size
+
+
+def _windows(key: str):
+    """Rows (key, window, n) from rows (key, body); rows of equal key are added up within a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in text_slices(batches, "body", limit=200_000):
+            window, size = _windows_of(piece.data, piece.offsets)
+            owner = np.repeat(piece.batch.column(key).to_numpy(), size)
+            order = np.lexsort((window, owner))
+            at = group_starts(owner[order], window[order])
+            first = order[at]
+            yield pa.RecordBatch.from_pydict({key: owner[first], "window": window[first], "n": np.diff(np.append(at, len(order)))})
+
+    return run
+
+
+def window_counts(bodies: DataFrame) -> DataFrame:
+    """`window, allowed, blocked`: how often each window is in the bodies of either model (0 allows, 1 blocks)."""
+    rows = bodies.select("model", "body").mapInArrow(_windows("model"), "model long, window long, n long")
+    return rows.groupBy("window").agg(
+        *(F.sum(F.when(F.col("model") == m, F.col("n")).otherwise(0)).alias(name) for m, name in enumerate(("allowed", "blocked")))
+    )
 
 
-def fit(ruled: DataFrame) -> Ratio:
-    """Count all rows of (url, host, path, says), but for the fifth that calibrates, by a hash of the URL."""
-    bodies = ruled.select(
-        F.concat("host", "path").alias("body"), F.when(F.col("says") == "allow", 0).otherwise(1).cast("long").alias("model"),
-        (F.pmod(F.xxhash64("host", "path"), F.lit(5)) == 0).alias("calibrates"),
+def window_scores(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """`window, score` for distinct windows: log-likelihood as allowed less that as blocked, in units of 2**-32."""
+    tails = F.explode(F.array(*(
+        F.struct(F.lit(o).alias("order"), F.col("window").bitwiseAND(F.lit((1 << _SYMBOL * (o + 1)) - 1)).alias("pair")) for o in range(ORDERS)
+    ))).alias("t")
+    pairs = stage(
+        counts.select(tails, "allowed", "blocked").groupBy("t.order", "t.pair").agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b")),
+        "url-pairs",
     )
-    sums = bodies.where(~F.col("calibrates")).mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    table = sums.toArrow()  # at most 4 * ORDERS * 2**16 rows
-    counts = np.zeros(4 * ORDERS * _SLOTS)
-    counts[table.column("slot").to_numpy()] = table.column("n").to_numpy()
-    counts = counts.reshape(2, 2, -1)
-    ratio = Ratio(counts, bool(counts[0, 0].any() and counts[1, 0].any()))
-    test = _difference(bodies.sparkSession, ratio)
-    bins = F.floor(F.greatest(F.lit(-_REACH), F.least(F.lit(_REACH), test("body"))) * (_BINS / 2 / _REACH))
-    tally = bodies.where("calibrates").groupBy("model", bins.alias("bin")).count().collect()  # at most 2 * (_BINS + 1) rows
-    # share of the allowed below, and of the blocked at or above, each possible threshold
-    by_bin = np.zeros((2, _BINS + 2))
-    for r in tally:
-        by_bin[r.model, r.bin + _BINS // 2] += r["count"]
-    if by_bin.sum(1).all():
-        share = by_bin / by_bin.sum(1, keepdims=True)
-        wrong = np.append(0, np.cumsum(share[0])) + 1 - np.append(0, np.cumsum(share[1]))
-        best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
-        at = best[np.argmin(np.abs(best - _BINS // 2))]  # of equally good thresholds, the one nearest 0
-        ratio.threshold = float((at - _BINS // 2) * (2 * _REACH / _BINS))
-    return ratio
+    context = F.shiftright("pair", _SYMBOL).alias("context")
+    contexts = pairs.groupBy("order", context).agg(F.sum("a").alias("in_a"), F.sum("b").alias("in_b"))
+    asked = windows.select("window", tails).select("window", "t.order", "t.pair").select("*", context)
+    known = asked.join(pairs, ["order", "pair"], "left").join(contexts, ["order", "context"], "left").na.fill(0, ["a", "b", "in_a", "in_b"])
+    by_order = known.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("order", "a", "b", "in_a", "in_b"))).alias("steps"))
+
+    def log_likelihood(n: str, seen: str) -> Column:
+        return F.log(F.aggregate("steps", F.lit(1 / 257), lambda p, s: (s[n] + STRENGTH * p) / (s[seen] + STRENGTH)))
 
+    return by_order.select("window", F.round((log_likelihood("a", "in_a") - log_likelihood("b", "in_b")) * 2.0**32).cast("long").alias("score"))
 
-def _difference(spark, ratio: Ratio):
-    shared = spark.sparkContext.broadcast(ratio)
 
-    @F.arrow_udf("double")
-    def difference(body: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([body], ["body"])
-        parts = [shared.value.difference(p.data, p.offsets) for p in text_slices([batch], "body", limit=200_000)]
-        return pa.array(np.concatenate([np.zeros(0), *parts]))
+def differences(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """`row, difference` for rows of (row, body): the mean score of the windows. Sums are of integers, so they do not
+    depend on the order of rows."""
+    own = stage(rows.select("row", "body").mapInArrow(_windows("row"), "row long, window long, n long"), "url-windows-of-rows")
+    scores = window_scores(own.select("window").distinct(), counts)
+    return own.join(scores, "window").groupBy("row").agg((F.sum(F.col("score") * F.col("n")) / F.sum("n") / 2.0**32).alias("difference"))
 
-    return difference
+
+def _threshold(scored: DataFrame) -> float:
+    bins = F.floor(F.greatest(F.lit(-_REACH), F.least(F.lit(_REACH), F.col("difference"))) * (_BINS / 2 / _REACH))
+    tally = scored.where("calibrates").groupBy("model", bins.alias("bin")).count().collect()  # at most 2 * (_BINS + 1) rows
+    # share of the allowed below, and of the blocked at or above, each possible threshold
+    by_bin = np.zeros((2, _BINS + 2))
+    for r in tally:
+        by_bin[r.model, r.bin + _BINS // 2] += r["count"]
+    if not by_bin.sum(1).all():
+        return 0.0
+    share = by_bin / by_bin.sum(1, keepdims=True)
+    wrong = np.append(0, np.cumsum(share[0])) + 1 - np.append(0, np.cumsum(share[1]))
+    best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
+    at = best[np.argmin(np.abs(best - _BINS // 2))]  # of equally good thresholds, the one nearest 0
+    return float((at - _BINS // 2) * (2 * _REACH / _BINS))
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
@@ -158,8 +195,21 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
     host, path = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, says = matching_rule(F.col("host"), F.col("path"), rules)
-    ruled = parsed.withColumns({"rule": rule, "says": says})
-    ratio = fit(ruled.where(F.col("says").isNotNull()))
-    scored = ruled.withColumn("difference", _difference(pages.sparkSession, ratio)(F.concat("host", "path")))
-    method = F.when(F.col("difference") >= ratio.threshold, "allow").otherwise("block")
+    ruled = stage(
+        parsed.withColumns({"rule": rule, "says": says}).withColumns({
+            "row": F.monotonically_increasing_id(),
+            "model": F.when(F.col("says") == "allow", 0).when(F.col("says").isNotNull(), 1).cast("long"),
+            "calibrates": F.col("says").isNotNull() & (F.pmod(F.xxhash64("host", "path"), F.lit(5)) == 0),
+        }),
+        "url-rows",
+    )
+    bodies = ruled.withColumn("body", F.concat("host", "path"))
+    counts = stage(window_counts(bodies.where("model IS NOT NULL AND NOT calibrates")), "url-windows")
+    total = counts.agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b")).first()
+    if total.a and total.b:
+        scored = stage(ruled.join(differences(bodies, counts), "row"), "url-scores")
+        threshold = _threshold(scored)
+    else:
+        scored, threshold = ruled.withColumn("difference", F.lit(0.0)), 0.0
+    method = F.when(F.col("difference") >= threshold, "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("says", method).alias("verdict"), "difference")

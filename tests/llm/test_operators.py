@@ -344,6 +344,34 @@ def test_character_model_probabilities_match_plain_counts():
     assert ratio.difference(data, offsets) == pytest.approx(expected)
 
 
+def test_url_models_are_exact_for_many_contexts(spark):
+    """More distinct contexts than 2**16 slots per order hold apart; scores are still those of plain counts."""
+    rng = random.Random(8)
+    urls = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40)) for _ in range(4000)] + ["", "é"]
+    rows = [(i, u, i % 2) for i, u in enumerate(urls)]
+    seen, pair = Counter(), Counter()
+    padded = [[257] * 5 + list(u.encode()) + [256] for u in urls]
+    for t, (_, _, model) in zip(padded, rows):
+        for i in range(5, len(t)):
+            for o in range(url_filter.ORDERS):
+                seen[model, tuple(t[i - o : i])] += 1
+                pair[model, tuple(t[i - o : i + 1])] += 1
+    assert sum(len(k[1]) == 5 for k in seen) > 1 << 16
+    table = spark.createDataFrame(rows, "row long, body string, model long")
+    counts = url_filter.window_counts(table)
+    got = {r.row: r.difference for r in url_filter.differences(table, counts).collect()}
+    assert len(got) == len(urls)
+    for k in [*range(0, 4000, 200), 1, 4000, 4001]:
+        total, t = 0.0, padded[k]
+        for i in range(5, len(t)):
+            p = [1 / 257, 1 / 257]
+            for m in (0, 1):
+                for o in range(url_filter.ORDERS):
+                    p[m] = (pair[m, tuple(t[i - o : i + 1])] + 2 * p[m]) / (seen[m, tuple(t[i - o : i])] + 2)
+            total += np.log(p[0]) - np.log(p[1])
+        assert got[k] == pytest.approx(total / (len(t) - 5), abs=1e-8)
+
+
 def greedy(word: str, pieces: set[str]) -> int:
     at = n = 0
     while at < len(word):
