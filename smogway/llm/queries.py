@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogway.llm import quality, url_filter
+from smogway.llm import alignment, pivot_codes, quality, url_filter
 from smogway.llm.exact_dedup import exact_groups
 from smogway.llm.fingerprints import fingerprint_edits
 from smogway.llm.lattice import encode, read_pieces
@@ -20,6 +20,8 @@ from smogway.llm.wordpiece import sentencepiece_pieces, token_counts
 
 #: A SentencePiece model file; the vocabulary of the token counts and of the encoding.
 PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+#: A byte-level BPE file, aligned with the pieces.
+BYTE_LEVEL = os.environ.get("BYTE_LEVEL_MODEL", "/opt/tokenizers/byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -150,3 +152,54 @@ FROM documents d LEFT JOIN cut USING (doc_id)
 @query
 def op10_source_mix(spark, d):
     return mix(documents(spark, d)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op12_pivot_codes(spark, d):
+    codes = pivot_codes.product_codes(spark.read.parquet(f"{d}/embeddings.parquet"))
+    return pivot_codes.with_label_errors(codes)
+
+
+def _codebook_rounds(rounds: int) -> str:
+    """CTEs `book_0 ...` and `near_0 ...`: the nearest entry e of every part and its squared distance."""
+    step = """
+near_{r} AS (
+  SELECT vec_id, j, m % 64 AS e, m // 64 AS dist FROM (
+    SELECT vec_id, j, min(d * 64 + e) AS m FROM (
+      SELECT c.vec_id, c.j, b.e, sum((c.x - b.x) * (c.x - b.x))::BIGINT AS d
+      FROM comps c JOIN book_{r} b ON c.j = b.j AND c.i = b.i GROUP BY c.vec_id, c.j, b.e
+    ) GROUP BY vec_id, j
+  )
+), book_{n} AS (
+  SELECT b.j, b.e, b.i, coalesce(m.x, b.x) AS x FROM book_{r} b LEFT JOIN (
+    SELECT c.j, n.e, c.i, floor(sum(c.x)::DOUBLE / count(*))::BIGINT AS x
+    FROM comps c JOIN near_{r} n ON c.vec_id = n.vec_id AND c.j = n.j GROUP BY c.j, n.e, c.i
+  ) m ON b.j = m.j AND b.e = m.e AND b.i = m.i
+)"""
+    return ",".join(step.replace("{r}", str(r)).replace("{n}", str(r + 1)) for r in range(rounds + 1))
+
+
+ORACLE["op12_pivot_codes"] = f"""
+WITH flat AS (
+  SELECT vec_id, label, len(embedding) AS size, unnest(embedding) AS x, unnest(range(len(embedding))) AS p FROM embeddings
+), kept AS (
+  SELECT vec_id, label, size // 16 AS width FROM flat
+  GROUP BY vec_id, label, size HAVING bool_and(x IS NOT NULL AND isfinite(x))
+), comps AS (
+  SELECT vec_id, p // width AS j, p % width AS i, floor(256 * x::DOUBLE)::BIGINT AS x FROM flat JOIN kept USING (vec_id)
+), book_0 AS (
+  SELECT j, e, i, x FROM comps
+  JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64) USING (vec_id)
+), {_codebook_rounds(2)}, coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', e)), '' ORDER BY j) AS code, sum(dist)::BIGINT AS error
+  FROM near_2 GROUP BY vec_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY j, e, i)) FROM book_2) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+@query
+def op13_token_alignment(spark, d):
+    return alignment.align(documents(spark, d), alignment.read_byte_level(BYTE_LEVEL), alignment.read_pieces(PIECES))
