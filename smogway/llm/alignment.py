@@ -140,7 +140,7 @@ class Aligner:
 
     def _agrees(self, ids: np.ndarray, sizes: np.ndarray, table: pa.Array, lengths: np.ndarray, texts: list[bytes]) -> np.ndarray:
         """Whether the tokens of each text join to a space and the text."""
-        raw = memoryview(table.take(pa.array(ids)).buffers()[2] or b"")
+        raw = memoryview(table.take(pa.array(ids)).buffers()[2] or b"").cast("B")
         ends = np.append(0, np.cumsum(lengths[ids]))[np.append(0, np.cumsum(sizes))].tolist()
         return np.fromiter((raw[x:y] == b" " + t for x, y, t in zip(ends, ends[1:], texts)), bool, len(texts))
 

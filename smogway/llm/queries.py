@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogway.llm import alignment, pivot_codes, quality, url_filter
+from smogway.llm import alignment, backoff, pivot_codes, quality, url_filter
 from smogway.llm.exact_dedup import exact_groups
 from smogway.llm.fingerprints import fingerprint_edits
 from smogway.llm.lattice import encode, read_pieces
@@ -154,6 +154,11 @@ def op10_source_mix(spark, d):
     return mix(documents(spark, d)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op11_katz_backoff(spark, d):
+    return backoff.score(documents(spark, d))
+
+
 @query
 def op12_pivot_codes(spark, d):
     codes = pivot_codes.product_codes(spark.read.parquet(f"{d}/embeddings.parquet"))
