@@ -28,7 +28,7 @@ from smogway.sources.staging import stage
 #: Counts above this are trusted as they are.
 CUTOFF = 5
 #: Text of a block, and of what meets in one bucket, in bytes.
-BLOCK_BYTES, BUCKET_BYTES = 16_000_000, 32_000_000
+BLOCK_BYTES, BUCKET_BYTES = 6_000_000, 32_000_000
 #: Words with more than a bucket's share of all tokens over this are hot; there are never more hot words than HOT_WORDS.
 HOT_SHARE, HOT_WORDS = 4, 65_536
 #: Fixed values of the base score.
@@ -446,7 +446,7 @@ def score(docs: DataFrame, held_out: Column | None = None, block_share: int = HO
     empty texts are one token, the end. Every row is a document of its own, whatever its doc_id; a NULL doc_id stays NULL.
     Without any training rows every token is the unknown word, with probability 1. Other columns are ignored.
 
-    A block holds some 16 MB of text, whole documents, and a bucket what 32 MB of text send there, so neither grows with
+    A block holds some 6 MB of text, whole documents, and a bucket what 32 MB of text send there, so neither grows with
     the input, whose bytes are added up first; a longer text is a block of its own. Words that make up more than a fourth
     of a bucket's share of all tokens (or 1 / 65,536 of them, if that is more) are hot. To the driver come the totals and
     the six numbers of each hot word, 65,536 at most. More than 2**32 numbered words raise.
