@@ -5,7 +5,7 @@ Instants are TIMESTAMP, wall clocks are TIMESTAMP_NTZ. Operators accept either a
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
@@ -109,6 +109,16 @@ def like_column(value: TimeLike, df: DataFrame, column: str, tz: str = DEFAULTS.
     return time_literal(value, is_wall_clock(df, column), tz)
 
 
+def time_value(value: TimeLike, df: DataFrame, column: str, tz: str = DEFAULTS.timezone) -> datetime:
+    """`like_column` as a Python value: naive for a wall clock, in UTC for an instant."""
+    wall_clock = is_wall_clock(df, column)
+    literal = time_literal(value, wall_clock, tz)
+    micros = F.unix_micros(instant_from_wall_clock(literal) if wall_clock else literal)
+    (row,) = df.sparkSession.range(1).select(micros.alias("micros")).collect()
+    moment = datetime(1970, 1, 1) + timedelta(microseconds=row["micros"])
+    return moment if wall_clock else moment.replace(tzinfo=ZoneInfo("UTC"))
+
+
 def parse_timestamp(
     df: DataFrame, column: str = "timestamp", naive_tz: str = "UTC", tz: str = DEFAULTS.timezone
 ) -> DataFrame:
@@ -162,7 +172,7 @@ def between_times(
 def prune(
     df: DataFrame,
     start: datetime,
-    end: datetime,
+    end: datetime | None = None,
     column: str = "timestamp",
     tz: str = DEFAULTS.timezone,
 ) -> DataFrame:
@@ -176,9 +186,12 @@ def prune(
     def ordinal(moment: datetime, parts: list[str]) -> int:
         return sum(getattr(moment, p) * w for p, w in zip(parts, (10_000, 100, 1)))
 
+    wall_clock = is_wall_clock(df, column)
     parts = [p for p in ("year", "month", "day") if p in df.columns]
     if parts[:2] == ["year", "month"]:
         key = sum((F.col(p) * w for p, w in zip(parts, (10_000, 100, 1))), F.lit(0))
-        df = df.where(key.between(ordinal(local(start), parts), ordinal(local(end), parts)))
-    return between_times(df, time_literal(start, is_wall_clock(df, column), tz),
-                         time_literal(end, is_wall_clock(df, column), tz), column)
+        df = df.where(key >= ordinal(local(start), parts))
+        if end is not None:
+            df = df.where(key <= ordinal(local(end), parts))
+    last = None if end is None else time_literal(end, wall_clock, tz)
+    return between_times(df, time_literal(start, wall_clock, tz), last, column)

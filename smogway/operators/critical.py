@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogway.functions.numbers import clamp01, nan_to_null, without_nan
 from smogway.functions.timestamps import hours, is_wall_clock, local_wall_clock, time_bucket
 from smogway.operators.quality import count_where, validate_columns
 from smogway.settings import DEFAULTS
+from smogway.sources.staging import stage
 
 
 def is_critical(pm25_threshold: float, speed_threshold: float) -> Column:
@@ -167,19 +168,34 @@ def summary_stats(flagged: DataFrame) -> DataFrame:
     )
 
 
+def _islands(spans: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Spans (`start`, `past`, `n_hours`) joined where one begins as another of the same `by` ends."""
+    order = Window.partitionBy(*by).orderBy("start")
+    begins = (F.col("start") != F.lag("past").over(order)).cast("int")
+    numbered = spans.withColumn("_run", F.sum(F.coalesce(begins, F.lit(1))).over(order))
+    return numbered.groupBy(*by, "_run").agg(
+        F.min("start").alias("start"), F.max("past").alias("past"), F.sum("n_hours").alias("n_hours")
+    ).drop("_run")
+
+
 def consecutive_periods(hours_df: DataFrame, keys: Sequence[str] = (), column: str = "timestamp") -> DataFrame:
-    """Runs of consecutive hours as (start, end, n_hours), per `keys`.
+    """Runs of consecutive hours as (start, end, n_hours), per `keys`. Times inside an hour stand for that hour.
 
-    Input is at hour grain. Distinct hours are taken first, so without keys the merge handles at most
-    one row per hour of calendar time however many rows came in.
+    Hours are joined within days, days within years, in as many tasks as there are days and years (and keys). Only the
+    runs that touch the first or last hour of a year, two a year at most, are joined over all years.
     """
-    distinct_hours = hours_df.select(*keys, column).distinct()
-    runs = distinct_hours.groupBy(*keys, F.session_window(column, "1 hour").alias("run")).agg(
-        F.count(F.lit(1)).alias("n_hours")
-    )
-    return runs.select(
-        *keys, F.col("run.start").alias("period_start"), F.col("run.end").alias("period_end"), "n_hours"
-    )
+    hour = time_bucket(column)
+    spans = hours_df.select(*keys, hour.alias("start")).distinct().where(F.col("start").isNotNull())
+    spans = spans.withColumns({"past": F.col("start") + hours(1), "n_hours": F.lit(1).cast("bigint"), "_day": F.to_date("start")})
+    days = _islands(spans, [*keys, "_day"]).withColumn("_year", F.year("_day"))
+    runs = _islands(days, [*keys, "_year"])
+    first = F.make_date("_year", F.lit(1), F.lit(1))
+    next_first = F.make_date(F.col("_year") + 1, F.lit(1), F.lit(1))
+    at_edge = (F.col("start") < first + F.expr("INTERVAL 1 HOUR")) | (F.col("past") >= next_first)
+    runs = stage(runs.withColumn("_edge", at_edge), "yearly-runs")
+    across = _islands(runs.where("_edge").drop("_edge", "_year"), list(keys))
+    whole = runs.where("not _edge").drop("_edge", "_year").unionByName(across)
+    return whole.select(*keys, F.col("start").alias("period_start"), F.col("past").alias("period_end"), "n_hours")
 
 
 def in_hours(readings: DataFrame, hours_df: DataFrame, inside: bool = True) -> DataFrame:

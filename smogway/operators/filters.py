@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smogway.functions.numbers import nan_to_null
 from smogway.functions.timestamps import (
@@ -12,8 +15,10 @@ from smogway.functions.timestamps import (
     is_wall_clock,
     like_column,
     parse_instant,
+    prune,
     time_bucket,
     time_literal,
+    time_value,
 )
 from smogway.settings import DEFAULTS
 
@@ -57,16 +62,14 @@ def recent_or_all(
     as_of: TimeLike,
     recency_hours: float = DEFAULTS.recency_hours,
     column: str = "timestamp",
-    known_range: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of the last `recency_hours`, or every row when that would leave none.
+    """Rows of the last `recency_hours`, or every row that has a time when that would leave none.
 
-    The choice is one scalar lower bound, so the scan still gets a plain `column >= x`.
+    Looks for one recent row, in the recent partitions only; an older table is read whole. Give it a stored view.
     """
-    span = time_range(df, column) if known_range is None else known_range
-    cutoff = like_column(as_of, df, column) - hours(recency_hours)
-    lower = span.select(F.when(F.col("hi") >= cutoff, cutoff).otherwise(F.col("lo"))).scalar()
-    return df.where(F.col(column) >= lower)
+    since = time_value(as_of, df, column) - timedelta(hours=recency_hours)
+    recent = prune(df, since, column=column)
+    return df.where(F.col(column).isNotNull()) if recent.isEmpty() else recent
 
 
 def ended_since(
@@ -81,6 +84,27 @@ def pm25_sensors(sensors: DataFrame, column: str = "parameter") -> DataFrame:
     return sensors.where(F.lower(F.col(column)).isin("pm25", "pm2.5"))
 
 
+def in_window(
+    df: DataFrame,
+    as_of: TimeLike,
+    retention_hours: float = DEFAULTS.retention_hours,
+    column: str = "_fetched_at",
+    tz: str = DEFAULTS.timezone,
+) -> DataFrame:
+    """Rows no older than the window; undated rows are kept."""
+    now = time_literal(as_of, not _is_text(df, column) and is_wall_clock(df, column), tz)
+    return df.where(F.coalesce(moment(df, column, tz) >= now - hours(retention_hours), F.lit(True)))
+
+
+def moment(df: DataFrame, column: str, tz: str = DEFAULTS.timezone) -> Column:
+    """`column` as a time: text is parsed, NULL where it is none."""
+    return parse_instant(F.col(column), tz) if _is_text(df, column) else F.col(column)
+
+
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
 def retained(
     existing: DataFrame,
     new: DataFrame,
@@ -90,8 +114,4 @@ def retained(
     tz: str = DEFAULTS.timezone,
 ) -> DataFrame:
     """existing ++ new without the rows older than the window; undated rows are kept."""
-    both = existing.unionByName(new, allowMissingColumns=True)
-    is_text = dict(both.dtypes)[column] == "string"
-    moment = parse_instant(F.col(column), tz) if is_text else F.col(column)
-    now = time_literal(as_of, not is_text and is_wall_clock(both, column), tz)
-    return both.where(F.coalesce(moment >= now - hours(retention_hours), F.lit(True)))
+    return in_window(existing.unionByName(new, allowMissingColumns=True), as_of, retention_hours, column, tz)

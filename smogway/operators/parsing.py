@@ -53,7 +53,7 @@ def _typed(records: DataFrame, typed: dict[str, Column], raw: DataFrame, text: s
 
 
 _TYPED_TRAFFIC = (
-    "flowSegmentData: struct<currentSpeed: double,"
+    "flowSegmentData: struct<currentSpeed: double, freeFlowSpeed: double,"
     " coordinates: struct<coordinate: array<struct<latitude: double, longitude: double>>>>,"
     " _fetched_at: string"
 )
@@ -78,6 +78,7 @@ def classify_traffic(
     typed = typed.withColumns(
         {
             "_t_speed": F.col("_typed.r.flowSegmentData.currentSpeed"),
+            "_t_free": F.col("_typed.r.flowSegmentData.freeFlowSpeed"),
             "_t_lat": spot["latitude"],
             "_t_lon": spot["longitude"],
             "_t_fetched": F.col("_typed.r._fetched_at"),
@@ -87,7 +88,7 @@ def classify_traffic(
     canonical = (
         F.col("_intact")
         & J.is_finite(F.col("_t_speed"))
-        & (F.col("_t_speed") > 0)
+        & ((F.col("_t_speed") > 0) | J.is_finite(F.col("_t_free")))  # standing traffic: the free-flow speed counts
         & J.is_finite(F.col("_t_lat"))
         & J.is_finite(F.col("_t_lon"))
     )
@@ -120,7 +121,7 @@ def classify_traffic(
     records = records.withColumns(
         {
             "_cur": F.when(is_canonical, F.col("_t_speed")).otherwise(speed(F.col("_current"))),
-            "_alt": F.when(is_canonical, F.lit(0.0)).otherwise(speed(F.col("_free"))),
+            "_alt": F.when(is_canonical, F.col("_t_free")).otherwise(speed(F.col("_free"))),
             "_lat_n": F.when(is_canonical, F.col("_t_lat")).otherwise(J.strict_number(F.col("_lat"))),
             "_lon_n": F.when(is_canonical, F.col("_t_lon")).otherwise(J.strict_number(F.col("_lon"))),
         }
@@ -145,7 +146,8 @@ def classify_traffic(
     kmh = F.col("_kmh")
     is_positive = kmh.isNotNull() & (F.isnan(kmh) | (kmh > 0))
     failure = (
-        F.when(record.isNull(), F.lit("invalid_json"))
+        F.when(is_canonical, F.lit("non_positive_speed"))
+        .when(record.isNull(), F.lit("invalid_json"))
         .when(F.col("_top").isNull(), F.lit("not_an_object"))
         .when(J.is_blank(F.col("_segment")), F.lit("no_flow_segment"))
         .when(F.col("_flow").isNull(), F.lit("bad_flow_segment"))
@@ -353,10 +355,9 @@ def parse_air(raw: DataFrame, **options) -> ParsedRecords:
 
 
 def air_measurements(raw: DataFrame, order_by: str = "ingest_seq", **options) -> DataFrame:
-    """Accepted measurements with the first arrival kept per (timestamp, location)."""
+    """Accepted measurements with the first arrival kept per (timestamp, location), by the column `order_by` of `raw`."""
+    validate_columns(raw, [order_by], "raw air quality")
     accepted = parse_air(raw, **options).accepted
-    if order_by not in accepted.columns:
-        return accepted.dropDuplicates(["timestamp", "location"])
     first = dedupe_first(accepted, ["timestamp", "location"], [order_by])
     return first.select(*names(SPEED_VIEW))
 

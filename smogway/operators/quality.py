@@ -35,14 +35,27 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     return _pick(df, keys, order_by, F.max_by)
 
 
+def only_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df`, whose keys must be unique: a key with several rows, none of which comes first, fails the query."""
+    payload = [c for c in df.columns if c not in keys]
+    single = df.groupBy(*keys).agg(*[F.first(c).alias(c) for c in payload], F.count(F.lit(1)).alias("_n"))
+    checked = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("several rows for a key and no order")))
+    return single.where(checked).select(*df.columns)
+
+
 def upsert(
     existing: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Union of both frames with one row per key: new rows win, then the last in `order_by`."""
-    both = existing.withColumn("_batch", F.lit(0)).unionByName(
-        new.withColumn("_batch", F.lit(1)), allowMissingColumns=True
-    )
-    return dedupe_last(both, keys, ["_batch", *order_by]).drop("_batch")
+    """Union of both frames with one row per key: new rows win, then the last in `order_by`.
+
+    Without `order_by` the keys of each side are unique. Either side is reduced by itself and the old rows whose key is
+    new are left out by an anti join, which finds both sides dealt out by key already.
+    """
+    if order_by:
+        existing, new = dedupe_last(existing, keys, order_by), dedupe_last(new, keys, order_by)
+    same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
+    replaced = existing.alias("old").join(new.select(*keys).alias("new"), same, "left_anti")
+    return replaced.unionByName(new, allowMissingColumns=True)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -21,6 +21,28 @@ BATCH_VIEW = _struct(
 
 SPEED_VIEW = _struct(timestamp=_TS, location=_S, pm25=_D, latitude=_D, longitude=_D)
 
+# Raw measurements with the number of the append that brought them.
+AIR_RAW = T.StructType([*SPEED_VIEW.fields, T.StructField("arrival", _L)])
+
+# The air view with the micro-batch that brought each row.
+LIVE_VIEW = T.StructType([*SPEED_VIEW.fields, T.StructField("arrival", _L)])
+
+REJECTED = _struct(reason=_S, raw=_S, batch_id=_L)
+
+# Messages taken from a topic, those that were undecodable, and how far each consumer group has come.
+DRAINED = _struct(key=_S, value=_S, topic=_S, partition=T.IntegerType(), offset=_L, sent=_TS, drain=_L)
+UNDECODABLE = _struct(
+    reason=_S, key=_S, value=T.BinaryType(), topic=_S, partition=T.IntegerType(), offset=_L, sent=_TS, drain=_L
+)
+OFFSETS = _struct(consumer=_S, topic=_S, partition=T.IntegerType(), next_offset=_L, drain=_L)
+
+# Hourly sums per road segment, which add up to the batch view.
+TRAFFIC_SUMS = _struct(timestamp=_TS, road_segment_id=_S, speed_sum=_D, min_speed=_D, max_speed=_D, record_count=_L)
+
+RAW_FILES = _struct(path=_S, length=_L, modified=_TS)
+
+MIGRATIONS = _struct(name=_S, status=_S, rows=_L, error=_S)
+
 HOURLY_AIR = _struct(timestamp=_TS, avg_pm25=_D, pm25_count=_L, location_count=_L)
 
 COMBINED = _struct(
@@ -37,34 +59,5 @@ COMBINED = _struct(
     severity_index=_D,
 )
 
-_COORD = _struct(latitude=_D, longitude=_D)
-
-# Canonical shape of one raw traffic response (the parser itself reads VARIANT).
-RAW_TRAFFIC = _struct(
-    flowSegmentData=_struct(
-        frc=_S,
-        currentSpeed=_D,
-        freeFlowSpeed=_D,
-        currentTravelTime=_L,
-        freeFlowTravelTime=_L,
-        confidence=_D,
-        roadClosure=T.BooleanType(),
-        coordinates=_struct(coordinate=T.ArrayType(_COORD)),
-    ),
-    _fetched_at=_S,
-)
-
-_PERIOD_END = _struct(utc=_S, local=_S)
-
-# Canonical shape of one raw air measurement.
-RAW_AIR = _struct(
-    period=_struct(label=_S, interval=_S, datetimeFrom=_PERIOD_END, datetimeTo=_PERIOD_END),
-    value=_D,
-    parameter=_struct(name=_S),
-    coordinates=_COORD,
-    location=_S,
-)
-
-
 def names(schema: T.StructType) -> list[str]:
     return schema.fieldNames()

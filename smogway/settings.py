@@ -30,7 +30,6 @@ class Settings:
     center_lat: float = 10.7715
     center_lon: float = 106.6664
     radius_km: float = 3.0
-    max_locations: int = 10
 
     # Event-time delay tolerated by the streaming queries.
     watermark: str = "2 hours"

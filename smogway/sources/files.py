@@ -134,6 +134,10 @@ def read_csv_view(spark: SparkSession, path: str, schema: T.StructType, **option
     return df
 
 
+#: How CSV views are written: with names, and with instants to the microsecond with their offset.
+CSV_OPTIONS = {"header": True, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def write_csv_view(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a CSV directory with headers. Instants carry their offset."""
-    df.write.mode(mode).options(header=True).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)

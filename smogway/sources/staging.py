@@ -9,6 +9,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,9 +37,25 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/smogway/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def comparable_times(spark: SparkSession) -> Iterator[None]:
+    """Parquet files written inside have bounds of their times, by which readers skip files and row groups.
+
+    Spark's default way of writing instants, INT96, has none.
+    """
+    setting = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and continue from the written copy."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    with comparable_times(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -199,6 +199,12 @@ WHERE timestamp >= {AS_OF} - INTERVAL 24 HOUR GROUP BY 2
 UNION ALL SELECT 'air', timestamp, count(*) FROM hourly GROUP BY 2"""),
     "aligned_batch": sql(ALIGNED, f"SELECT {batch_columns()} FROM batch_a"),
     "aligned_air": sql(ALIGNED, f"SELECT timestamp, {air_columns()} FROM hourly_a"),
+    "aligned_air_locations": sql([*ALIGNED[:5], """placed AS (
+  SELECT CASE WHEN date_trunc('hour', timestamp) BETWEEN t - INTERVAL 2 HOUR AND t + INTERVAL 2 HOUR THEN t
+              ELSE date_trunc('hour', timestamp) END AS timestamp, location
+  FROM air, target WHERE pm25 > 0)"""], """SELECT timestamp, round(any_value(avg_pm25), 8) AS avg_pm25,
+  any_value(pm25_count) AS pm25_count, count(DISTINCT location) AS location_count
+FROM hourly_a JOIN placed USING (timestamp) GROUP BY timestamp"""),
     "combined_aligned": sql(ALIGNED, f"SELECT {batch_columns(8)}, {air_columns()} FROM combined"),
     "combined_recent_aligned": sql(
         [
@@ -211,8 +217,7 @@ UNION ALL SELECT 'air', timestamp, count(*) FROM hourly GROUP BY 2"""),
     ),
     "combined_too_far_apart": sql(
         [
-            TRAFFIC, AIR, "stopped AS (SELECT * FROM air WHERE timestamp < TIMESTAMP '2024-01-30 12:00:00')",
-            batch(), hourly("stopped"), aligned(), combined("batch_a", "hourly_a"),
+            TRAFFIC, AIR_LATER, batch(), hourly("air_later"), aligned(), combined("batch_a", "hourly_a"),
         ],
         f"SELECT {batch_columns(8)}, {air_columns()} FROM combined",
     ),
@@ -348,6 +353,19 @@ FROM events JOIN parsed USING (event_id) GROUP BY 1"""),
     ELSE CAST(value AS VARCHAR) END AS key, count(*) AS messages,
   count(*) FILTER (reason IS NULL) AS measurements, round(sum(pm25) FILTER (reason IS NULL), 3) AS total_pm25
 FROM events JOIN parsed ON event_id = ingest_seq GROUP BY 1"""),
+    "topic_reload": sql([PARSED_AIR], """SELECT CASE WHEN event_type = 'view' THEN 'loc_' || (user_id % 20)
+    WHEN event_type = 'error' AND value BETWEEN 20 AND 100 THEN 'loc_' || (user_id % 20)
+    WHEN event_type = 'error' AND value < 20 THEN 'unknown'
+    ELSE CAST(value AS VARCHAR) END AS key, count(*) AS messages,
+  count(*) FILTER (reason IS NULL) AS measurements, round(sum(pm25) FILTER (reason IS NULL), 3) AS total_pm25, 0::BIGINT AS altered
+FROM events JOIN parsed ON event_id = ingest_seq GROUP BY 1"""),
+    "topic_drain": sql([PARSED_AIR, """placed AS (
+  SELECT ingest_seq % 3 AS partition, row_number() OVER (PARTITION BY ingest_seq % 3 ORDER BY ingest_seq) - 1 AS place,
+         ingest_seq % 50 IN (7, 8, 9) AS bad, CASE WHEN reason IS NULL THEN pm25 END AS pm25 FROM parsed)""", """drained AS (
+  SELECT *, least((row_number() OVER (ORDER BY place, partition) - 1) // (count(*) OVER () // 3), 2) + 1 AS drain FROM placed)"""],
+        """SELECT drain::BIGINT AS drain, partition::INT AS partition, count(*) AS messages, count(*) FILTER (bad) AS undecodable,
+  min(place) AS first_offset, max(place) AS last_offset, round(sum(pm25) FILTER (NOT bad), 3) AS total_pm25
+FROM drained GROUP BY 1, 2"""),
     "array_file_roundtrip": sql([PARSED_AIR], """SELECT timestamp, location, count(*) AS n, count(*) AS arrivals, round(sum(pm25), 3) AS total_pm25
 FROM parsed WHERE reason IS NULL GROUP BY 1, 2"""),
     "broken_files_rejected": sql([PARSED_AIR, """files AS (
@@ -368,13 +386,47 @@ FROM (SELECT {batch_columns()} FROM batch)"""),
 WHERE timestamp BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-12 18:00:00'"""),
     "source_fallback": sql([AIR], "SELECT timestamp + INTERVAL 7 HOUR AS timestamp, location, round(pm25, 6) AS pm25 FROM air"),
     "migrate_summary": sql(
-        [TRAFFIC, AIR, batch(), PARSED_AIR, PARSED_TRAFFIC.replace("parsed AS", "parsed_traffic AS", 1)],
-        """SELECT 'traffic_raw' AS name, 'migrated' AS status, count(*) AS rows FROM parsed_traffic WHERE reason IS NULL
-UNION ALL SELECT 'air_raw', 'migrated', count(*) FROM air_parsed
-UNION ALL SELECT 'batch_view', 'migrated', count(*) FROM batch
-UNION ALL SELECT 'speed_view', 'migrated', count(*) FROM air
-UNION ALL SELECT 'combined_view', 'missing', 0""",
+        [TRAFFIC, AIR, batch(), hourly(), combined(), PARSED_AIR, PARSED_TRAFFIC.replace("parsed AS", "parsed_traffic AS", 1),
+         """sizes AS (
+  SELECT 'traffic_raw' AS name, count(*) AS rows FROM parsed_traffic WHERE reason IS NULL
+  UNION ALL SELECT 'air_raw', count(*) FROM air_parsed UNION ALL SELECT 'batch_view', count(*) FROM batch
+  UNION ALL SELECT 'speed_view', count(*) FROM air UNION ALL SELECT 'combined_view', count(*) FROM combined)"""],
+        """SELECT run::INT AS run, name, CASE WHEN run = 1 AND name = 'combined_view' THEN 'missing' ELSE 'migrated' END AS status,
+  CASE WHEN run = 1 AND name = 'combined_view' THEN 0 ELSE rows END AS rows,
+  CASE name WHEN 'combined_view' THEN 2 ELSE 1 END::BIGINT AS attempts
+FROM sizes, range(1, 3) runs(run)""",
+    ),
+    "migrate_datasets": sql(
+        [TRAFFIC, AIR, batch(), hourly(), combined(), FLAGGED, PARSED_AIR, PARSED_TRAFFIC.replace("parsed AS", "parsed_traffic AS", 1),
+         "shift AS (SELECT INTERVAL 7 HOUR AS h)"],
+        """SELECT 'traffic_raw' AS name, timestamp, segment_id AS place, round(velocity, 10) AS first_measure, NULL::DOUBLE AS second_measure
+FROM parsed_traffic WHERE reason IS NULL
+UNION ALL SELECT 'air_raw', timestamp, location, round(pm25, 10), round(latitude, 10) FROM air_parsed
+UNION ALL SELECT 'batch_view', timestamp + h, road_segment_id, round(avg_speed, 10), record_count::DOUBLE FROM batch, shift
+UNION ALL SELECT 'speed_view', timestamp + h, location, round(pm25, 10), NULL FROM air, shift
+UNION ALL SELECT 'combined_view', timestamp + h, road_segment_id, round(severity_index, 10), round(avg_pm25, 10) FROM flagged, shift""",
     ),
+    "overwrite_while_reading": sql([TRAFFIC, batch()], """SELECT 'before' AS side, road_segment_id, count(*) AS n,
+  sum(record_count)::BIGINT AS readings, round(max(avg_speed), 6) AS fastest FROM batch GROUP BY 2
+UNION ALL SELECT 'after', road_segment_id, count(*), sum(record_count)::BIGINT, round(max(avg_speed), 6)
+FROM batch WHERE avg_speed > 50 GROUP BY 2"""),
+    "sorted_files": sql([TRAFFIC, batch()], """SELECT year(l)::INT AS year, month(l)::INT AS month, count(*) AS rows,
+  0::BIGINT AS rows_out_of_order, 0::BIGINT AS files_overlapping
+FROM (SELECT timestamp + INTERVAL 7 HOUR AS l FROM batch) GROUP BY 1, 2"""),
+    "create_table_once": sql([TRAFFIC, batch()], """SELECT road_segment_id, 'refused' AS again, count(*) AS n
+FROM batch GROUP BY 1"""),
+    "columns_validated": sql([TRAFFIC, AIR], """SELECT 'air' AS name, count(*) AS n, 'none' AS missing FROM air
+UNION ALL SELECT 'traffic', 0 * count(*), '[''location'', ''pm25'']' FROM traffic"""),
+    "stored_view_reused": sql(
+        [PARSED_TRAFFIC, "accepted AS (SELECT * FROM parsed WHERE reason IS NULL AND event_id % 2 = 0)", batch("accepted")],
+        f"SELECT {batch_columns()} FROM batch",
+    ),
+    "incremental_batch_view": sql(
+        [PARSED_TRAFFIC, "accepted AS (SELECT * FROM parsed WHERE reason IS NULL)", batch("accepted")],
+        f"SELECT {batch_columns()} FROM batch",
+    ),
+    "first_arrival_from_raw": sql([PARSED_AIR], """SELECT timestamp, location, pm25, latitude, longitude FROM parsed WHERE reason IS NULL
+QUALIFY row_number() OVER (PARTITION BY timestamp, location ORDER BY ingest_seq % 3, ingest_seq) = 1"""),
     "full_job": sql(
         [FEED, batch("feed_traffic"), hourly("feed_air"), aligned(), combined("batch_a", "hourly_a"), FLAGGED],
         f"SELECT {batch_columns(8)}, {air_columns()}, {CRITICAL_COLUMNS} FROM flagged",
@@ -384,7 +436,16 @@ UNION ALL SELECT 'combined_view', 'missing', 0""",
         f"SELECT {batch_columns()} FROM batch",
     ),
     "stream_hourly_air": sql([AIR, hourly()], f"SELECT timestamp, {air_columns()} FROM hourly"),
-    "stream_dedupe": sql([AIR], "SELECT DISTINCT date_trunc('hour', timestamp) AS timestamp, location FROM air"),
+    "stream_dedupe": sql([AIR], """SELECT date_trunc('hour', timestamp) AS timestamp, location, round(pm25, 6) AS pm25, event_id
+FROM air QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', timestamp), location ORDER BY event_id) = 1"""),
+    "stream_polling": sql([TRAFFIC], "SELECT * FROM traffic"),
+    "stream_speed_view": sql([PARSED_AIR], """SELECT timestamp, location, pm25, latitude, longitude, ingest_seq % 3 AS arrival
+FROM parsed WHERE reason IS NULL
+QUALIFY row_number() OVER (PARTITION BY timestamp, location ORDER BY ingest_seq % 3 DESC, ingest_seq DESC) = 1"""),
+    "stream_rejected": sql([PARSED_AIR], """SELECT ingest_seq % 3 AS batch_id, reason, count(*) AS n,
+  CASE reason WHEN 'missing_value' THEN count(DISTINCT timestamp)
+              WHEN 'bad_timestamp' THEN count(DISTINCT value) ELSE count(DISTINCT (timestamp, value)) END AS payloads
+FROM parsed JOIN events ON event_id = ingest_seq WHERE reason IS NOT NULL GROUP BY 1, 2"""),
     "stream_combined": sql(GAPS[:-1], f"SELECT {batch_columns(8)}, {air_columns()} FROM combined"),
     "stream_upsert": sql([AIR], """SELECT date_trunc('hour', timestamp) AS timestamp, location, round(pm25, 6) AS pm25, event_id
 FROM air QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', timestamp), location ORDER BY event_id DESC) = 1"""),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,11 +28,10 @@ from smogway.operators import integrate as I
 from smogway.operators import parsing as P
 from smogway.operators import quality as Q
 from smogway.operators import stations as S
-from smogway.plans import jobs
-from smogway.schemas import BATCH_VIEW, COMBINED, SPEED_VIEW, names
-from smogway.sources import files, tables, topics
+from smogway.plans import jobs, live
+from smogway.schemas import BATCH_VIEW, LIVE_VIEW, READINGS, SPEED_VIEW, names
+from smogway.sources import drain, files, tables, topics, windows
 from smogway.sources.staging import fresh_path, stage
-from smogway.streaming import queries as SQ
 from smogway.streaming import sinks
 from suite import tables as src
 
@@ -135,6 +136,14 @@ def aligned_air(spark, d):
     return rounded(I.align(*views(spark, d))[1], 8)
 
 
+@query
+def aligned_air_locations(spark, d):
+    """Merged hours with distinct locations, from the sketches of the hours."""
+    air = stage(A.hourly_air(src.air(spark, d), sketch=True), "hourly-air")
+    batch = stage(A.hourly_traffic(src.traffic(spark, d)), "batch-view")
+    return rounded(I.align(batch, air)[1].drop("location_sketch"), 8)
+
+
 @query
 def combined_aligned(spark, d):
     return rounded(I.combine(*views(spark, d)), 8)
@@ -147,8 +156,7 @@ def combined_recent_aligned(spark, d):
 
 @query
 def combined_too_far_apart(spark, d):
-    stopped = src.air(spark, d).where(F.col("timestamp") < F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"))
-    return rounded(I.combine(*stored(src.traffic(spark, d), stopped)), 8)
+    return rounded(I.combine(*views_with_outages(spark, d)), 8)
 
 
 @query
@@ -371,6 +379,7 @@ def distinct_readings(spark, d):
 
 @query
 def rolling_retention(spark, d):
+    """A collector that adds one kind of response after the other to the window."""
     clock = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     fetched = (
         F.when(F.col("event_type") == "view", F.concat(clock, F.lit("Z")))
@@ -379,8 +388,10 @@ def rolling_retention(spark, d):
         .otherwise(clock)
     )
     responses = src.events(spark, d).select("event_id", "event_type", fetched.alias("_fetched_at"))
-    is_new = F.col("event_type") == "click"
-    return FL.retained(responses.where(~is_new), responses.where(is_new), src.AS_OF).select("event_id")
+    window = windows.Window(fresh_path(spark, "window"), responses.schema)
+    for i, kind in enumerate(src.TRAFFIC_TYPES + src.AIR_TYPES):
+        windows.collect_window(responses.where(F.col("event_type") == kind), window, i, src.AS_OF)
+    return windows.read_window(spark, window, src.AS_OF).select("event_id")
 
 
 # --- stations ----------------------------------------------------------------------------------
@@ -456,7 +467,36 @@ def kafka_records_traffic(spark, d):
 
 @query
 def kafka_records_air(spark, d):
-    read_back = P.classify_air(topics.air_records(src.raw_air(spark, d)))
+    return _of_messages(P.classify_air(topics.air_records(src.raw_air(spark, d))))
+
+
+def _write_arrays(spark: SparkSession, d: str, body=lambda whole, file: whole) -> str:
+    """Raw air measurements as array files of 500 records each; `body` may alter a file."""
+    path = fresh_path(spark, "arrays")
+    records = src.raw_air(spark, d).withColumn("file", F.floor(F.col("ingest_seq") / 500))
+    whole = records.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
+    whole.select("file", body(F.col("value"), F.col("file")).alias("value")).write.partitionBy("file").text(path)
+    return path
+
+
+def _array_files(spark: SparkSession, d: str, body=lambda whole, file: whole) -> DataFrame:
+    return files.read_raw(spark, _write_arrays(spark, d, body), "array")
+
+
+@query
+def topic_reload(spark, d):
+    """Raw files sent to a topic and read back: what each key holds, and how many payloads are not as they were."""
+    source, topic = _write_arrays(spark, d), fresh_path(spark, "topic")
+    topics.load_file(spark, source, topics.air_records, topics.AIR_TOPIC, fmt="parquet", path=topic)
+    sent = spark.read.schema("key string, value string").parquet(topic)
+    of_value = F.xxhash64("value").alias("h")
+    there = files.read_raw(spark, source, "array").groupBy(of_value).agg(F.count(F.lit(1)).alias("n"))
+    back = sent.groupBy(of_value).agg(F.count(F.lit(1)).alias("m"))
+    altered = there.join(back, "h", "full_outer").where(~F.col("n").eqNullSafe(F.col("m"))).agg(F.count(F.lit(1))).scalar()
+    return _of_messages(P.classify_air(sent)).withColumn("altered", altered)
+
+
+def _of_messages(read_back: DataFrame) -> DataFrame:
     good = F.col("reason").isNull()
     return read_back.groupBy("key").agg(
         F.count(F.lit(1)).alias("messages"), F.count_if(good).alias("measurements"),
@@ -464,13 +504,31 @@ def kafka_records_air(spark, d):
     )
 
 
-def _array_files(spark: SparkSession, d: str, body=lambda whole, file: whole) -> DataFrame:
-    """Raw air measurements through array files of 500 records each; `body` may alter a file."""
-    path = fresh_path(spark, "arrays")
-    records = src.raw_air(spark, d).withColumn("file", F.floor(F.col("ingest_seq") / 500))
-    whole = records.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
-    whole.select("file", body(F.col("value"), F.col("file")).alias("value")).write.partitionBy("file").text(path)
-    return files.read_raw(spark, path, "array")
+@query
+def topic_drain(spark, d):
+    """A stored message table of three partitions, drained in three parts and once more; some bodies are no JSON."""
+    place = F.row_number().over(Window.partitionBy("partition").orderBy("ingest_seq"))
+    kind = F.col("ingest_seq") % 50
+    body = (
+        F.when(kind == 7, F.unhex(F.lit("FFFE"))).when(kind == 8, F.encode(F.lit('{"value":'), "utf-8"))
+        .when(kind == 9, F.lit(None).cast("binary")).otherwise(F.encode("value", "utf-8"))
+    )
+    sent = src.raw_air(spark, d).withColumn("partition", (F.col("ingest_seq") % 3).cast("int"))
+    messages = stage(sent.select(
+        F.lit(topics.AIR_TOPIC).alias("topic"), "partition", (place - 1).cast("long").alias("offset"),
+        F.timestamp_seconds("ingest_seq").alias("timestamp"), F.lit(None).cast("binary").alias("key"), body.alias("value"),
+    ), "messages")
+    layout, part = tables.Layout(fresh_path(spark, "drained")), messages.count() // 3
+    for size in (part, part, None, None):
+        drain.drain_topic(messages, layout, topics.AIR_TOPIC, "views", size)
+    good = P.classify_air(tables.read_table(spark, layout.messages(topics.AIR_TOPIC)))
+    bad = tables.read_table(spark, layout.undecodable(topics.AIR_TOPIC))
+    both = good.select("drain", "partition", "offset", F.when(F.col("reason").isNull(), F.col("pm25")).alias("pm25"), F.lit(0).alias("bad"))
+    both = both.unionByName(bad.select("drain", "partition", "offset", F.lit(None).cast("double").alias("pm25"), F.lit(1).alias("bad")))
+    return both.groupBy("drain", "partition").agg(
+        F.count(F.lit(1)).alias("messages"), F.sum("bad").alias("undecodable"), F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"), F.round(F.sum("pm25"), 3).alias("total_pm25"),
+    )
 
 
 @query
@@ -545,18 +603,112 @@ def source_fallback(spark, d):
 
 
 @query
-def migrate_summary(spark, d):
-    layout = tables.Layout(fresh_path(spark, "migrated"))
-    air = src.as_instant(src.air(spark, d)).withColumns(
-        {"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")}
+def overwrite_while_reading(spark, d):
+    """A table replaced from itself: a reader that began before has the old rows, one that begins after the new ones."""
+    spec = _batch_view_spec(spark, "parquet", "year", "month")
+    tables.write_table(_batch_view_instants(spark, d), spec)
+    before = tables.read_table(spark, spec)
+    tables.write_table(before.where("avg_speed > 50"), spec)
+    sides = [("before", before), ("after", tables.read_table(spark, spec))]
+    return _union(rounded(t.groupBy("road_segment_id").agg(
+        F.lit(name).alias("side"), F.count(F.lit(1)).alias("n"), F.sum("record_count").alias("readings"), F.max("avg_speed").alias("fastest")
+    )) for name, t in sides)
+
+
+def _union(frames) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+@query
+def sorted_files(spark, d):
+    """The stored view read back by file and row: rows out of order in a file, and files of a month that overlap."""
+    layout = tables.Layout(fresh_path(spark, "sorted"))
+    tables.write_table(_batch_view_instants(spark, d), layout.batch_view)
+    place = F.struct("timestamp", "road_segment_id")
+    stored = tables.read_table(spark, layout.batch_view).select(
+        "year", "month", place.alias("place"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    before = F.lag("place").over(Window.partitionBy("file").orderBy("row"))
+    of_files = stored.withColumn("inverted", F.coalesce(before > F.col("place"), F.lit(False)).cast("int")).groupBy("year", "month", "file").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("inverted").alias("inverted"), F.min("place").alias("lo"), F.max("place").alias("hi")
     )
-    return jobs.migrate_all(spark, [
-        jobs.Dataset("traffic_raw", lambda: P.parse_traffic(src.raw_traffic(spark, d), src.AS_OF).accepted.drop("event_id"), layout.traffic_raw),
-        jobs.Dataset("air_raw", lambda: P.air_measurements(src.raw_air(spark, d)), layout.air_raw),
-        jobs.Dataset("batch_view", lambda: _batch_view_instants(spark, d), layout.batch_view),
-        jobs.Dataset("speed_view", lambda: air, layout.speed_view),
-        jobs.Dataset("combined_view", lambda: files.read_csv_view(spark, layout.combined_view.path, COMBINED), layout.combined_view),
-    ])
+    last = F.max("hi").over(Window.partitionBy("year", "month").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1))
+    overlaps = of_files.withColumn("overlaps", F.coalesce(last >= F.col("lo"), F.lit(False)).cast("int"))
+    return overlaps.groupBy("year", "month").agg(
+        F.sum("rows").alias("rows"), F.sum("inverted").alias("rows_out_of_order"), F.sum("overlaps").alias("files_overlapping")
+    )
+
+
+@query
+def create_table_once(spark, d):
+    """A table is created with its rows; creating it again fails and leaves it as it is."""
+    spec = _batch_view_spec(spark, "parquet", "year", "month")
+    view = _batch_view_instants(spark, d)
+    tables.create_table(view, spec)
+    try:
+        tables.create_table(view.limit(1), spec)
+        again = "replaced"
+    except AnalysisException:
+        again = "refused"
+    return tables.read_table(spark, spec).groupBy("road_segment_id").agg(F.lit(again).alias("again"), F.count(F.lit(1)).alias("n"))
+
+
+@query
+def columns_validated(spark, d):
+    """Frames with and without the columns an operator needs: how many rows pass, or which columns are missing."""
+    required = ["timestamp", "location", "pm25"]
+
+    def outcome(name: str, frame: DataFrame) -> DataFrame:
+        try:
+            return Q.validate_columns(frame, required, name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.lit("none").alias("missing"))
+        except ValueError as error:
+            return frame.agg(F.lit(name).alias("name"), F.lit(0).cast("long").alias("n"), F.lit(str(error).split(": ", 1)[1]).alias("missing"))
+
+    return outcome("air", src.air(spark, d)).unionByName(outcome("traffic", src.traffic(spark, d)))
+
+
+def _old_files(spark: SparkSession, d: str) -> dict[str, str]:
+    """The five datasets as an older installation keeps them: two files of raw JSON, three CSV views."""
+    base = fresh_path(spark, "old-files")
+    paths = {n: f"{base}/{n}" for n in ("traffic_raw", "air_raw", "batch_view", "speed_view", "combined_view")}
+    files.write_raw(src.raw_traffic(spark, d), paths["traffic_raw"])
+    files.write_raw(src.raw_air(spark, d), paths["air_raw"])
+    air = src.as_instant(src.air(spark, d))
+    view = stage(_batch_view_instants(spark, d), "batch-view")
+    empty = F.lit(None).cast("double")
+    files.write_csv_view(view, paths["batch_view"])
+    files.write_csv_view(air.withColumns({"latitude": empty, "longitude": empty}), paths["speed_view"])
+    combined = C.flag_critical(I.combine(view, stage(A.hourly_air(air), "hourly-air"), aligned=False))
+    files.write_csv_view(combined, paths["combined_view"])
+    return paths
+
+
+@query
+def migrate_summary(spark, d):
+    """A migration whose first run finds a file missing, and the second, after the file has come, does only the rest."""
+    layout, paths = tables.Layout(fresh_path(spark, "migrated")), _old_files(spark, d)
+    moved = paths | {"combined_view": paths["combined_view"] + "-not-yet"}
+    first = jobs.migrate_all(spark, jobs.file_datasets(spark, moved, layout, src.AS_OF, "lines"), ledger=layout.migrations)
+    second = jobs.migrate_all(spark, jobs.file_datasets(spark, paths, layout, src.AS_OF, "lines"), ledger=layout.migrations)
+    tried = tables.read_table(spark, layout.migrations).groupBy("name").agg(F.count(F.lit(1)).alias("attempts"))
+    outcomes = _union(r.select(F.lit(run).alias("run"), "name", "status", "rows") for run, r in ((1, first), (2, second)))
+    return outcomes.join(tried, "name")
+
+
+@query
+def migrate_datasets(spark, d):
+    """Everything that the five migrated tables hold."""
+    layout, paths = tables.Layout(fresh_path(spark, "migrated")), _old_files(spark, d)
+    jobs.migrate_all(spark, jobs.file_datasets(spark, paths, layout, src.AS_OF, "lines"), ledger=layout.migrations)
+    shown = {  # table: which columns are its place and its two measures
+        "traffic_raw": ("segment_id", "velocity", None), "air_raw": ("location", "pm25", "latitude"),
+        "batch_view": ("road_segment_id", "avg_speed", "record_count"), "speed_view": ("location", "pm25", "latitude"),
+        "combined_view": ("road_segment_id", "severity_index", "avg_pm25"),
+    }
+    measure = lambda c: F.round(F.col(c).cast("double") if c else F.lit(None).cast("double"), 10)
+    return _union(_local(tables.read_table(spark, getattr(layout, name))).select(
+        F.lit(name).alias("name"), "timestamp", F.col(place).alias("place"), measure(a).alias("first_measure"), measure(b).alias("second_measure")
+    ) for name, (place, a, b) in shown.items())
 
 
 # --- jobs --------------------------------------------------------------------------------------
@@ -577,23 +729,42 @@ def ingest_and_refresh(spark, d):
     return rounded(_local(view.select(*names(BATCH_VIEW))))
 
 
-# --- streaming ---------------------------------------------------------------------------------
+@query
+def stored_view_reused(spark, d):
+    """Without `refresh` the stored view comes back, though the raw table has gained readings since."""
+    layout, readings = tables.Layout(fresh_path(spark, "reused")), src.raw_traffic(spark, d)
+    early = F.col("event_id") % 2 == 0
+    jobs.ingest_traffic(readings.where(early), layout, src.AS_OF)
+    jobs.run_batch(spark, layout)
+    jobs.ingest_traffic(readings.where(~early), layout, src.AS_OF)
+    return rounded(_local(jobs.run_batch(spark, layout, refresh=False).select(*names(BATCH_VIEW))))
 
 
-def _event_stream(spark: SparkSession, d: str) -> DataFrame:
-    schema = src.events(spark, d).schema
-    return sinks.file_stream(spark, d, schema, glob="events.parquet")
+@query
+def incremental_batch_view(spark, d):
+    """Three appends in no order of time, each followed by a refresh of what it touched."""
+    layout, readings = tables.Layout(fresh_path(spark, "incremental")), src.raw_traffic(spark, d)
+    for part in range(3):
+        jobs.ingest_traffic(readings.where(F.col("event_id") % 3 == part), layout, src.AS_OF)
+        view = jobs.refresh_batch(spark, layout)
+    return rounded(_local(view.select(*names(BATCH_VIEW))))
 
 
-def _drain(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
-    path, checkpoint = fresh_path(spark, label), fresh_path(spark, f"{label}-checkpoint")
-    spec = tables.TableSpec(path, stream.schema)
-    sinks.run_until_done(lambda: sinks.append_stream(stream, spec, checkpoint))
-    return tables.read_table(spark, spec).withColumn("timestamp", utc_wall_clock(F.col("timestamp")))
+@query
+def first_arrival_from_raw(spark, d):
+    """The raw air table filled by three appends: of a repeated measurement the first append counts."""
+    layout, raw = tables.Layout(fresh_path(spark, "first-arrival")), src.raw_air(spark, d)
+    for part in range(3):
+        jobs.ingest_air(raw.where(F.col("ingest_seq") % 3 == part), layout)
+    return _local(jobs.run_speed(spark, layout).select(*names(SPEED_VIEW)))
+
+
+# --- streaming ---------------------------------------------------------------------------------
 
 
-def _air_stream(spark: SparkSession, d: str) -> DataFrame:
-    return src.as_instant(src.as_air(_event_stream(spark, d)))
+def _event_stream(spark: SparkSession, d: str) -> DataFrame:
+    schema = src.events(spark, d).schema
+    return sinks.file_stream(spark, d, schema, glob="events.parquet")
 
 
 def _event_batches(spark: SparkSession, d: str) -> DataFrame:
@@ -603,31 +774,51 @@ def _event_batches(spark: SparkSession, d: str) -> DataFrame:
     return sinks.file_stream(spark, path, events.schema, maxFilesPerTrigger=1)
 
 
-def _partials(spark: SparkSession, stream: DataFrame, aggregate, label: str) -> DataFrame:
+def _in_three_files(spark: SparkSession, rows: DataFrame, part: Column) -> DataFrame:
+    """All rows as a stream of three micro-batches: those whose `part` is 0, 1 and 2."""
+    path = fresh_path(spark, "three-files")
+    for i in range(3):
+        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return sinks.file_stream(spark, path, rows.schema, maxFilesPerTrigger=1)
+
+
+def _partials(spark: SparkSession, stream: DataFrame, aggregate, merge, label: str) -> DataFrame:
+    """The partial aggregates of all micro-batches, merged into one folder in between."""
     path, checkpoint = fresh_path(spark, label), fresh_path(spark, f"{label}-checkpoint")
     sinks.run_until_done(lambda: sinks.partials_stream(stream, aggregate, path, checkpoint))
-    return sinks.read_partials(spark, path)
+    schema = aggregate(spark.createDataFrame([], stream.schema)).schema
+    sinks.compact_partials(spark, path, schema, merge)
+    return sinks.read_partials(spark, path, schema)
 
 
 @query
 def stream_hourly_air(spark, d):
     air = src.as_instant(src.as_air(_event_batches(spark, d)))
-    hourly = A.merge_air(_partials(spark, air, A.air_by_location, "stream-air"))
+    hourly = A.merge_air(_partials(spark, air, A.air_by_location, A.merge_air_sums, "stream-air"))
     return rounded(hourly.withColumn("timestamp", utc_wall_clock(F.col("timestamp"))), 8)
 
 
 @query
 def stream_dedupe(spark, d):
-    stamped = _air_stream(spark, d).withColumn("timestamp", time_bucket("timestamp"))
-    return _drain(spark, SQ.dedupe_stream(stamped).select("timestamp", "location"), "stream-dedupe")
+    """The first arrival of every hour and place, over micro-batches that arrive in the order of events."""
+    events = src.events(spark, d)
+    end = events.agg(F.max("event_id") + 1).scalar()
+    arriving = _in_three_files(spark, events, F.floor(F.col("event_id") * 3 / end))
+    stamped = src.as_instant(src.as_air(arriving, "event_id")).withColumn("timestamp", time_bucket("timestamp"))
+    schema = T.StructType([*stamped.schema.fields, T.StructField("batch_id", T.LongType())])
+    spec = tables.TableSpec(fresh_path(spark, "stream-first"), schema, ("year", "month", "day", "batch_id"))
+    checkpoint = fresh_path(spark, "stream-first-checkpoint")
+    sinks.run_until_done(lambda: sinks.first_arrivals_stream(stamped, spec, checkpoint))
+    kept = tables.read_table(spark, spec).select("timestamp", "location", "pm25", "event_id")
+    return rounded(kept.withColumn("timestamp", utc_wall_clock(F.col("timestamp"))))
 
 
 @query
 def stream_combined(spark, d):
     events = _event_batches(spark, d)
     readings, air = src.as_instant(src.as_traffic(events)), src.as_instant(src.later(src.as_air(events)))
-    batch = A.merge_traffic(_partials(spark, readings, A.traffic_by_segment, "stream-roads"))
-    hourly = A.merge_air(_partials(spark, air, A.air_by_location, "stream-sensors"))
+    batch = A.merge_traffic(_partials(spark, readings, A.traffic_by_segment, A.merge_traffic_sums, "stream-roads"))
+    hourly = A.merge_air(_partials(spark, air, A.air_by_location, A.merge_air_sums, "stream-sensors"))
     joined = I.combine(stage(batch, "batch-view"), stage(hourly, "hourly-air"), aligned=False)
     return rounded(joined.withColumn("timestamp", utc_wall_clock(F.col("timestamp"))), 8)
 
@@ -637,20 +828,48 @@ def stream_upsert(spark, d):
     measured = src.as_instant(src.as_air(_event_stream(spark, d), "event_id"))
     stamped = measured.withColumn("timestamp", time_bucket("timestamp"))
     schema = T.StructType(stamped.schema.fields)
-    spec = tables.TableSpec(fresh_path(spark, "stream-view"), schema, ("year", "month"))
+    spec = tables.TableSpec(fresh_path(spark, "stream-view"), schema, ("year", "month", "day"))
     checkpoint = fresh_path(spark, "stream-view-checkpoint")
     sinks.run_until_done(lambda: sinks.upsert_stream(stamped, spec, checkpoint, order_by=["event_id"]))
     view = tables.read_table(spark, spec).drop("year", "month", "day")
     return rounded(view.withColumn("timestamp", utc_wall_clock(F.col("timestamp"))))
 
 
+@query
+def stream_polling(spark, d):
+    """A polling query stopped after its third micro-batch, by when it has appended every reading."""
+    readings = src.as_instant(src.as_traffic(_event_batches(spark, d)))
+    spec = tables.TableSpec(fresh_path(spark, "polled"), READINGS)
+    often = {"processingTime": "200 milliseconds"}
+    query = sinks.append_stream(readings, spec, fresh_path(spark, "polled-checkpoint"), often)
+    sinks.run_batches(query, 3, 0.2)
+    return tables.read_table(spark, spec).withColumn("timestamp", utc_wall_clock(F.col("timestamp")))
+
+
+def _live(spark: SparkSession, d: str) -> tables.Layout:
+    """The continuous air job over three files of raw records, late ones and corrections among them."""
+    layout, raw = tables.Layout(fresh_path(spark, "live")), src.raw_air(spark, d)
+    arriving = _in_three_files(spark, raw, F.col("ingest_seq") % 3)
+    checkpoint = fresh_path(spark, "live-checkpoint")
+    live.keep_running(lambda: live.run_speed_stream(arriving, layout, checkpoint, sinks.DRAIN), restarts=0)
+    return layout
+
+
+@query
+def stream_speed_view(spark, d):
+    return _local(tables.read_table(spark, _live(spark, d).live_view).select(*names(LIVE_VIEW)))
+
+
+@query
+def stream_rejected(spark, d):
+    rejected = tables.read_table(spark, _live(spark, d).air_rejected)
+    return rejected.groupBy("batch_id", "reason").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("raw").alias("payloads"))
+
+
 @query
 def stream_retention(spark, d):
-    responses = _event_stream(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("_fetched_at"))
-    schema = T.StructType([*responses.schema.fields, T.StructField("batch_id", T.LongType())])
-    spec = tables.TableSpec(fresh_path(spark, "stream-window"), schema)
+    responses = _event_batches(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("_fetched_at"))
+    window = windows.Window(fresh_path(spark, "stream-window"), responses.schema)
     checkpoint = fresh_path(spark, "stream-window-checkpoint")
-    sinks.run_until_done(
-        lambda: sinks.retained_stream(responses, spec, checkpoint, lambda: src.AS_OF, "_fetched_at")
-    )
-    return tables.read_table(spark, spec).select("event_id")
+    sinks.run_until_done(lambda: sinks.retained_stream(responses, window, checkpoint, lambda: src.AS_OF))
+    return windows.read_window(spark, window, src.AS_OF).select("event_id")

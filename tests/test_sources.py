@@ -12,7 +12,6 @@ from smogway.sources.tables import (
     Layout,
     TableSpec,
     append_table,
-    apply_retention,
     create_table,
     find_table,
     normalise_path,
@@ -175,13 +174,6 @@ def test_upsert_order(spark, tmp_path):
     assert contents(read_table(spark, spec)) == [("01-10", "x", 2.0)]
 
 
-def test_retention_rewrites_the_table(spark, tmp_path):
-    spec = TableSpec(str(tmp_path / "r"), SPEED_VIEW)
-    assert apply_retention(air(spark, (0, "x", 1.0)), spec, JAN, "timestamp") == 1
-    assert apply_retention(air(spark, (2, "y", 2.0)), spec, JAN + timedelta(days=2), "timestamp") == 1
-    assert contents(read_table(spark, spec)) == [("01-12", "y", 2.0)]
-
-
 def test_fallback(spark, tmp_path):
     layout = Layout(str(tmp_path))
     assert read_first_available(spark, [layout.speed_view], SPEED_VIEW).isEmpty()

@@ -6,11 +6,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smogway.operators.aggregates import air_by_location, hourly_air, hourly_traffic, merge_air
+from smogway.operators.aggregates import air_by_location, hourly_air, hourly_traffic, merge_air, merge_air_sums
 from smogway.operators.integrate import combine
 from smogway.operators.parsing import parse_air, parse_traffic
 from smogway.schemas import RAW_TEXT, SPEED_VIEW
 from smogway.sources.tables import Layout, TableSpec, read_table
+from smogway.sources.windows import Window, read_window
 from smogway.streaming import queries as SQ
 from smogway.streaming import sinks
 
@@ -53,7 +54,7 @@ def test_speed_view_over_several_runs_equals_one_batch(spark, tmp_path):
 
     def start():
         stream = SQ.air_stream(text_stream(spark, source))
-        return sinks.upsert_stream(stream, layout.speed_view, checkpoint)
+        return sinks.upsert_stream(stream, layout.speed_view, checkpoint, order_by=["pm25"])
 
     drop(source, "1.json", [air_record(m, "A", float(m)) for m in range(0, 300, 10)] + ["broken"])
     sinks.run_until_done(start)
@@ -62,7 +63,7 @@ def test_speed_view_over_several_runs_equals_one_batch(spark, tmp_path):
     sinks.run_until_done(start)
     sinks.run_until_done(start)
     view = read_table(spark, layout.speed_view).select(*SPEED_VIEW.fieldNames())
-    everything = parse_air(spark.read.text(str(source))).accepted.dropDuplicates(["timestamp", "location"])
+    everything = parse_air(spark.read.text(str(source))).accepted.distinct()
     assert rows(view) == rows(everything) and view.count() == 70
 
 
@@ -89,7 +90,8 @@ def test_partials_lose_no_late_row_and_no_open_hour(spark, tmp_path):
     drop(source, "2.json", [air_record(m, f"L{m % 3}", float(m % 50)) for m in range(0, 700, 7)])
     sinks.run_until_done(start)
     columns = ["timestamp", F.round("avg_pm25", 6), "pm25_count", "location_count"]
-    streamed = merge_air(sinks.read_partials(spark, path)).select(*columns)
+    schema = air_by_location(parse_air(spark.read.text(str(source))).accepted).schema
+    streamed = merge_air(sinks.read_partials(spark, path, schema)).select(*columns)
     batch = hourly_air(parse_air(spark.read.text(str(source))).accepted).select(*columns)
     assert rows(streamed) == rows(batch) and batch.count() == 15
 
@@ -168,20 +170,74 @@ def test_polling_query_stops_after_the_wanted_batches(spark, tmp_path):
     assert isinstance(read_table(spark, spec).schema["year"].dataType, T.IntegerType)
 
 
+def test_partials_of_unfinished_batches_are_not_read(spark, tmp_path):
+    path, schema = str(tmp_path / "p"), "timestamp timestamp, location string, pm25_sum double, pm25_count bigint"
+    schema = spark.createDataFrame([], schema).schema
+    assert sinks.read_partials(spark, path, schema).count() == 0
+
+    def batch(n, *values):
+        spark.createDataFrame([(START, "A", v, 1) for v in values], schema).write.parquet(f"{path}/batch={n}")
+
+    def total():
+        r = sinks.read_partials(spark, path, schema).agg(F.sum("pm25_sum"), F.count("*")).first()
+        return tuple(r)
+
+    batch(0, 1.0), batch(1, 2.0), batch(2, 4.0)
+    (tmp_path / "p" / "batch=2" / "_SUCCESS").unlink()
+    assert total() == (3.0, 2)
+    assert sinks.compact_partials(spark, path, schema, merge_air_sums) == 2
+    assert total() == (3.0, 1)
+    (tmp_path / "p" / "batch=2" / "_SUCCESS").touch()
+    batch(3, 8.0)
+    assert total() == (15.0, 3)
+    assert sinks.compact_partials(spark, path, schema, merge_air_sums) == 3
+    assert total() == (15.0, 1)
+    assert sinks.compact_partials(spark, path, schema, merge_air_sums) == 0
+    assert sorted(f.name for f in (tmp_path / "p").iterdir()) == ["upto=3"]
+
+
+def test_first_arrivals_survive_a_replay(spark, tmp_path):
+    source = tmp_path / "in"
+    schema = T.StructType([*SPEED_VIEW.fields, T.StructField("batch_id", T.LongType())])
+    spec = TableSpec(str(tmp_path / "first"), schema, ("year", "month", "day", "batch_id"))
+
+    def keep(checkpoint):
+        stream = SQ.air_stream(text_stream(spark, source))
+        sinks.run_until_done(lambda: sinks.first_arrivals_stream(stream, spec, str(tmp_path / checkpoint), order_by=["pm25"]))
+        return sorted((r.location, r.pm25) for r in read_table(spark, spec).collect())
+
+    drop(source, "1.json", [air_record(0, "A", 3.0), air_record(0, "A", 1.0), air_record(0, "B", 1.0)])
+    drop(source, "2.json", [air_record(0, "A", 0.5), air_record(60 * 24 * 40, "A", 4.0)])
+    expected = [("A", 1.0), ("A", 4.0), ("B", 1.0)]
+    assert keep("c1") == expected
+    assert keep("c2") == expected  # both batches once more, as after a crash before their commit
+    drop(source, "3.json", [air_record(0, "C", 9.0), air_record(0, "B", 0.0)])
+    assert keep("c2") == sorted([*expected, ("C", 9.0)])
+
+
 def test_collected_window_survives_a_replay(spark, tmp_path):
     source = tmp_path / "in"
-    schema = T.StructType([*RAW_TEXT.fields, T.StructField("_fetched_at", T.StringType()), T.StructField("batch_id", T.LongType())])
-    spec = TableSpec(str(tmp_path / "window"), schema)
+    schema = T.StructType([*RAW_TEXT.fields, T.StructField("_fetched_at", T.StringType())])
+    window = Window(str(tmp_path / "window"), schema)
 
     def collect(checkpoint, hours):
         raw = text_stream(spark, source)
         stamped = raw.select("value", F.get_json_object("value", "$._fetched_at").alias("_fetched_at"))
         now = (START + timedelta(hours=hours)).isoformat()
-        sinks.run_until_done(lambda: sinks.retained_stream(stamped, spec, str(tmp_path / checkpoint), lambda: now, "_fetched_at"))
-        return read_table(spark, spec).count()
+        sinks.run_until_done(lambda: sinks.retained_stream(stamped, window, str(tmp_path / checkpoint), lambda: now))
+        return read_window(spark, window, now).count()
+
+    def stored():
+        return {str(f.relative_to(tmp_path)) for f in (tmp_path / "window").rglob("*.parquet")}
 
     drop(source, "1.json", [traffic_record(m, 5) for m in (0, 60, 120)] + ["{}"])
     assert collect("c1", 24) == 4
     assert collect("c2", 24) == 4  # the same batch once more, as after a crash before its commit
+    first = stored()
     drop(source, "2.json", [traffic_record(60 * 25, 5)])
     assert collect("c2", 25.5) == 3
+    assert first < stored()  # nothing was rewritten
+    drop(source, "3.json", [traffic_record(60 * 49, 5)])
+    assert collect("c2", 49.5) == 2
+    assert not any("fetch_day=2024-01-01" in name for name in stored())
+    assert any("fetch_day=undated" in name for name in stored())
