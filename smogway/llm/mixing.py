@@ -1,8 +1,8 @@
 """Mixing sources to target weights by entropy balancing.
 
 Every document gets a rate between 0 and `cap` that stays as close to 1 as the token constraint of its source
-allows (relative entropy). The solution is an exponential tilt: rate = cap * e / (cap - 1 + e) with
-e = exp(dual * size / mean size). One dual per source solves the convex dual; Newton steps run on Spark for all
+allows (relative entropy). The solution is an exponential tilt: rate = cap / (1 + (cap - 1) * e) with
+e = exp(-dual * size / mean size), which stays finite for every size. One dual per source solves the convex dual; Newton steps run on Spark for all
 sources at once, over how many documents each (source, size) has. Rates become whole copies by a hash of the
 document, with one rounding threshold per source that brings its words nearest to the target.
 """
@@ -19,7 +19,7 @@ from smogway.sources.staging import stage
 # Fixed values of the mixture: weights of the sources in code-point order, and the largest repetition.
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
-NEWTON_STEPS = 40
+NEWTON_STEPS = 100
 TOLERANCE = 1e-9
 _BINS = 4096
 _SEEDS = 8
@@ -64,8 +64,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: fl
 
 def _rate(cap: float) -> Column:
     """The tilted rate; an unreachable target (no words wanted, or all that the cap allows) takes the limit."""
-    e = F.exp(F.col("dual") * F.col("size") / F.col("mean_size"))
-    tilted = cap * e / (cap - 1 + e)
+    tilted = cap / (1 + (cap - 1) * F.exp(-F.col("dual") * F.col("size") / F.col("mean_size")))
     return (
         F.when(F.col("target") >= cap * (1 - 1e-9) * F.col("source_size"), F.lit(cap))
         .when(F.col("target") <= 0, F.lit(0.0))
@@ -76,9 +75,15 @@ def _rate(cap: float) -> Column:
 def solve_duals(counts: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
     """`targets` with `dual`: Newton's method, falling back to halving the bracket where a step leaves it.
 
-    `counts` has (source, size, n). A step is one join and one aggregation over it.
+    `counts` has (source, size, n). A step is one join and one aggregation over it. The bracket reaches as far as the
+    rates of the smallest documents of a source change; a source that is not solved after `NEWTON_STEPS` raises.
     """
-    state = stage(targets.select("*", F.lit(0.0).alias("dual"), F.lit(-500.0).alias("lo"), F.lit(500.0).alias("hi")), "duals")
+    smallest = counts.groupBy(F.col("source").alias("c_source")).agg(F.min("size").alias("smallest"))
+    reach = F.coalesce(F.lit(750.0) * F.col("mean_size") / F.col("smallest"), F.lit(1.0))
+    state = targets.join(smallest, F.col("source").eqNullSafe(F.col("c_source")), "left").select(
+        *targets.columns, F.lit(0.0).alias("dual"), (-reach).alias("lo"), reach.alias("hi")
+    )
+    state = stage(state, "duals")
     names = ["source", "source_size", "mean_size", "target", "dual", "lo", "hi"]
     x = F.col("size") / F.col("mean_size")
     slope = _rate(cap) * (cap - _rate(cap)) / cap * x
@@ -93,7 +98,7 @@ def solve_duals(counts: DataFrame, targets: DataFrame, cap: float = CAP) -> Data
         step = F.col("dual") - (F.col("got") - F.col("target")) / F.col("slope")
         lo, hi = F.when(over, F.col("lo")).otherwise(F.col("dual")), F.when(over, F.col("dual")).otherwise(F.col("hi"))
         moved = F.when((F.col("slope") > 1e-12) & (step > lo) & (step < hi), step).otherwise((lo + hi) / 2)
-        off = open_ & (F.abs(F.col("got") - F.col("target")) > TOLERANCE * F.col("target")) & (hi - lo > 1e-12)
+        off = open_ & (F.abs(F.col("got") - F.col("target")) > TOLERANCE * F.col("target")) & (hi - lo > 1e-12 * F.abs(hi))
         state = stage(
             sums.select(
                 "source", "source_size", "mean_size", "target",
@@ -104,6 +109,8 @@ def solve_duals(counts: DataFrame, targets: DataFrame, cap: float = CAP) -> Data
         if state.where("off").isEmpty():
             break
         state = state.drop("off")
+    else:
+        raise RuntimeError(f"the mixture did not converge in {NEWTON_STEPS} steps")
     return state.select("source", "source_size", "mean_size", "target", "dual")
 
 
@@ -185,7 +192,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP) -
 
 
 def repeat_by_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP) -> DataFrame:
-    """The rows of `docs`, each as often as its copies say; columns as given, texts are not shuffled."""
+    """The rows of `docs`, each as often as its copies say; columns as given, texts are not shuffled.
+
+    Repeated rows and NULL doc_ids of a source and size draw alike, so all of them get the same copies. No rows give none.
+    """
     params = mixture(stage(sized(docs), "sizes"), weights, cap)
     whole = docs.select(
         F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), "source",

@@ -188,6 +188,15 @@ def test_simhash(docs, texts, empty, repeated):
     assert sorted(r.doc_id for r in keep_one_of_each(docs).collect()) == sorted(set(expected.values()))
 
 
+def test_near_copies_go_by_id_and_text(spark):
+    """A document that shares its doc_id with a copy of another, but not its text, stays; so do equal rows of the first."""
+    a, b = "one two three four five six seven eight", "nothing of the other one is to be found in here at all"
+    rows = spark.createDataFrame([(1, a, 0), (5, a, 0), (5, b, 0), (1, a, 0), (None, "x y z", 0), (7, None, 0)], "doc_id long, text string, drop_id int")
+    kept = sorted(((r.doc_id, r.text) for r in keep_one_of_each(rows).collect()), key=str)
+    assert kept == sorted([(1, a), (1, a), (5, b), (None, "x y z"), (7, None)], key=str)
+    assert keep_one_of_each(rows.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("tile", [8192, 40])
 def test_links_of_dense_and_tiled_cells(spark, monkeypatch, tile):
     """Balls of prints within few bits, large enough for searched cells and for tiles."""
