@@ -8,15 +8,16 @@ and reaches into every cell one step up. Fingerprints that meet in a cell are ve
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogway.llm.common import (
+    NULL_ID,
     group_starts,
     mixed,
     narrowed,
@@ -69,19 +70,23 @@ def _fingerprints(words: int, seed: int):
                 ones = np.add.reduceat(bits, (np.cumsum(shingles) - shingles)[some], axis=0, dtype=np.int64)
                 major = np.packbits(2 * ones > shingles[some, None], axis=1, bitorder="little")
                 out[some] = major.view(np.uint64).ravel()
+            more = [name for name in piece.batch.schema.names if name not in ("doc_id", "text")]
             yield pa.RecordBatch.from_arrays(
-                [piece.batch.column("doc_id"), pa.array(out.view(np.int64))], ["doc_id", "fingerprint"]
+                [piece.batch.column("doc_id"), pa.array(out.view(np.int64)), *map(piece.batch.column, more)],
+                ["doc_id", "fingerprint", *more],
             )
 
     return run
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """`doc_id, fingerprint` (64 bits as a long) for every row: the majority bit of all shingles' hashes.
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED, keep: Sequence[Column] = ()) -> DataFrame:
+    """`doc_id, fingerprint` (64 bits as a long) and the `text_key` in `keep`, for every row: the majority bit of all
+    shingles' hashes.
 
     Words are lower-cased in A-Z. Fewer words than a shingle make one; no words, or NULL, make the fingerprint 0.
     """
-    return narrowed(docs).mapInArrow(_fingerprints(words, seed), "doc_id long, fingerprint long")
+    more = ", text_key long" if keep else ""
+    return narrowed(docs, *keep).mapInArrow(_fingerprints(words, seed), f"doc_id long, fingerprint long{more}")
 
 
 def _cell_rows(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,6 +237,18 @@ def print_links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     )
 
 
+def _named(rows: DataFrame, bits: int) -> DataFrame:
+    """`rows` (doc_id, fingerprint, ...) with the component_id of their fingerprints."""
+    distinct = stage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
+    member = components(print_links(distinct.select("fingerprint"), bits))
+    rooted = distinct.join(member, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = stage(rooted.join(least, "root").select("fingerprint", "component_id"), "print-components")
+    return rows.join(named, "fingerprint")
+
+
 def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
     """`doc_id, fingerprint, component_id` for every row of `docs`; fingerprint as 16 hex digits.
 
@@ -240,20 +257,21 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, words: int = SHINGLE_
     smallest. No rows give no rows.
     """
     rows = stage(fingerprints(docs, words, seed), "fingerprints")
-    distinct = stage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
-    member = components(print_links(distinct.select("fingerprint"), bits))
-    rooted = distinct.join(member, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stage(rooted.join(least, "root").select("fingerprint", "component_id"), "print-components")
-    return rows.join(named, "fingerprint").select(
+    return _named(rows, bits).select(
         public_id(), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), public_id("component_id")
     )
 
 
 def keep_one_of_each(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """The rows of `docs` that have the smallest doc_id of their component; columns as given."""
-    found = near_duplicates(docs, bits)
-    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("drop_id"))
-    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left_anti")
+    """The rows of `docs` that have the smallest doc_id of their component; columns as given.
+
+    Rows are told apart by doc_id and text: of rows that share a doc_id only those whose text is in a component with a
+    smaller doc_id go, rows that are equal in both stay or go together. A NULL doc_id is the smallest. No rows give none.
+    """
+    text_key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+    rows = stage(fingerprints(docs, keep=[text_key]), "fingerprints")
+    later = _named(rows, bits).where(F.col("doc_id") != F.col("component_id"))
+    drop = stage(later.select(F.col("doc_id").alias("drop_id"), F.col("text_key").alias("drop_key")).distinct(), "near-copies")
+    own_id, own_text = F.coalesce(F.col("d.doc_id").cast("long"), F.lit(NULL_ID)), F.coalesce("d.text", F.lit(""))
+    same = (own_id == F.col("x.drop_id")) & (F.xxhash64(own_text) == F.col("x.drop_key"))
+    return docs.alias("d").join(drop.alias("x"), same, "left_anti")
