@@ -41,6 +41,8 @@ SPACE = "▁"
 SEGMENT = 96
 BLOCK_WORDS = 1 << 19
 BLOCK_TOKENS = 4_000_000
+#: A bucket gets the distinct words of as many bytes of text, whatever the size of the input; three Python workers hold it.
+BUCKET_BYTES = 4_000_000
 #: Substrings are exploded up to the longest piece with so many first characters in common.
 PREFIX = 4
 #: So many words of documents are written out at once.
@@ -495,9 +497,11 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     if pieces.longest > SEGMENT:
         raise ValueError(f"pieces have at most {SEGMENT} characters")
     n = shuffle_partitions(docs)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = max(n, -(-size // BUCKET_BYTES))
     run, _, assembled, both = _read_back(pieces)
-    blocks = stage(narrowed(docs).mapInArrow(_blocks(n, pieces.pairs), _BLOCKS), "lattice-blocks")
-    buckets = blocks.where("bucket >= 0").repartition(n, "bucket").sortWithinPartitions("bucket", "block")
+    blocks = stage(narrowed(docs).mapInArrow(_blocks(n_buckets, pieces.pairs), _BLOCKS), "lattice-blocks")
+    buckets = blocks.where("bucket >= 0").repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "block")
     words = (
         buckets.mapInArrow(functools.partial(_distinct, pieces.longest - 1), _SEGMENTS)
         .select("block", F.inline("words"), "body")
