@@ -247,3 +247,21 @@ def test_critical_hours_use_plain_means_and_the_window(spark):
     inside = C.in_hours(measured, A.critical_hours(measured)).count()
     outside = C.in_hours(measured, A.critical_hours(measured), inside=False).count()
     assert (inside, outside) == (3, 2)
+
+
+def test_merged_hours_count_distinct_locations_from_sketches(spark):
+    """3,000 locations, of which each hour sees an overlapping part: sums would count 5,400."""
+    rows = [(at(h), f"loc {i}", 10.0) for h in range(3) for i in range(600 * h, 600 * h + 1800)]
+    air = spark.createDataFrame(rows, "timestamp timestamp_ntz, location string, pm25 double")
+    batch = spark.createDataFrame([(at(2), 1.0, 1.0, 1.0, 1)], "timestamp timestamp_ntz, avg_speed double, min_speed double, max_speed double, record_count long")
+    merged = I.align(batch, A.hourly_air(air, sketch=True))[1].collect()
+    assert len(merged) == 1 and merged[0].pm25_count == 5400
+    assert abs(merged[0].location_count - 3000) < 3000 * 0.05
+    assert I.align(batch, A.hourly_air(air))[1].first().location_count == 5400
+
+
+def test_critical_hours_read_the_measurements_once(spark, tmp_path):
+    spark.createDataFrame([(at(0), "x", 90.0)], "timestamp timestamp_ntz, location string, pm25 double").write.parquet(str(tmp_path / "air"))
+    hours = A.critical_hours(spark.read.parquet(str(tmp_path / "air")))
+    plan = hours._jdf.queryExecution().executedPlan().toString()
+    assert "pm25#" not in plan.replace("avg_pm25#", "") and hours.count() == 1
