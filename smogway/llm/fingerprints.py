@@ -124,7 +124,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     return stage(
         linked.select(
             "key", "n_chars", "copies", F.col("before.key").alias("prev_key"), F.col("before.n_chars").alias("prev_chars"),
-            F.col("after.key").alias("next_key"), (F.col("copies") * F.col("after.copies")).alias("weight"),
+            F.col("after.key").alias("next_key"),
         ),
         "neighbours",
     )
@@ -133,12 +133,13 @@ def neighbours(docs: DataFrame) -> DataFrame:
 def edited_texts(docs: DataFrame, around: DataFrame) -> DataFrame:
     """`around` with `text` and `edited`: the last quarter of the text replaced by the next document's beginning.
 
-    Texts move once; beginnings, a quarter as long, move on to the document before. `weight` rows are alike.
+    Texts move once; beginnings, a quarter as long and one of each document, move on to the document before. As many
+    rows as `copies` says are alike.
     """
     keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("key"), "text")
     whole = keyed.join(around, "key")
     head = F.substring("text", F.lit(1), F.floor(F.col("prev_chars") / 4).cast("int")).alias("head")
-    beginnings = whole.select(F.col("prev_key").alias("key"), head)
+    beginnings = whole.select(F.col("prev_key").alias("key"), head).groupBy("key").agg(F.first("head").alias("head"))
     keep = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
     return whole.join(beginnings, "key").withColumn("edited", F.concat(F.substring("text", F.lit(1), keep), "head"))
 
@@ -155,15 +156,15 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     texts = edited_texts(narrow, neighbours(narrow))
     digest = F.sha2(F.col("edited").cast("binary"), 256)
     versions = texts.select(
-        "key", "n_chars", "copies", "next_key", "weight",
+        "key", "n_chars", "copies", "next_key",
         F.inline(F.array(
             F.struct(F.lit("").alias("edited_sha256"), F.col("text").alias("body")),
             F.struct(digest.alias("edited_sha256"), F.col("edited").alias("body")),
         )),
     )
-    keys = ["key", "n_chars", "copies", "next_key", "weight", "edited_sha256"]
-    both = stage(lanes(versions, keys, "body", "weight"), "lanes")
-    own = both.where("edited_sha256 = ''").drop("edited_sha256", "weight")
+    keys = ["key", "n_chars", "copies", "next_key", "edited_sha256"]
+    both = stage(lanes(versions, keys, "body", "copies"), "lanes")
+    own = both.where("edited_sha256 = ''").drop("edited_sha256")
     edited = both.where("edited_sha256 <> ''").select(
         F.col("key").alias("e_key"), "edited_sha256", F.col("lanes").alias("e_lanes"), F.col("blocks").alias("e_blocks")
     )

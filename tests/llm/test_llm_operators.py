@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from smogway.llm import quality, url_filter
 from smogway.llm.components import components
 from smogway.llm.exact_dedup import drop_exact_copies, exact_groups
-from smogway.llm.fingerprints import combined, fingerprint_edits, lanes
+from smogway.llm.common import narrowed
+from smogway.llm.fingerprints import combined, edited_texts, fingerprint_edits, lanes, neighbours
 from smogway.llm.lattice import decode, encode, read_pieces
 from smogway.llm.mixing import mix, repeat_by_mix, source_targets
 from smogway.llm.queries import PIECES
@@ -507,3 +508,11 @@ def test_pipeline_stages(spark, docs, tmp_path):
     expected = Counter((r.doc_id, sha(r.text or "")) for r in before.collect())
     assert Counter((r.doc_id, r.decoded_sha256) for r in last) == expected
     assert Counter(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == Counter(r.doc_id for r in last)
+
+
+def test_repeated_rows_are_joined_once(spark):
+    """Forty copies of one row beside thirty of the next: as many rows with texts, not their product."""
+    rows = [(1, "a b\nc d e f")] * 40 + [(2, "x y z")] * 30 + [(3, "q")]
+    docs = narrowed(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert edited_texts(docs, neighbours(docs)).count() == 71
+    assert fingerprint_edits(docs).groupBy("doc_id").count().orderBy("doc_id").collect() == [(1, 40), (2, 30), (3, 1)]
