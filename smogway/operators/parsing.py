@@ -69,7 +69,7 @@ def classify_traffic(
 ) -> DataFrame:
     """Typed view of raw traffic responses, one row in, one row out.
 
-    `as_of` stamps records without a usable fetch time. `query_lat`/`query_lon` stand in for a missing
+    `as_of`, a point in time or a column of `raw`, stamps records without a usable fetch time. `query_lat`/`query_lon` stand in for a missing
     road position. Columns of `raw` other than `text` are carried along.
     """
     validate_columns(raw, [text], "raw traffic")

@@ -22,6 +22,9 @@ def dedupe_stream(air: DataFrame, watermark: str = DEFAULTS.watermark) -> DataFr
 
 
 def traffic_stream(raw: DataFrame, as_of, watermark: str = DEFAULTS.watermark) -> DataFrame:
+    """Parsed readings. `as_of` stamps records without a fetch time; in a job that runs on it should be a column of `raw`,
+    such as the time of the message, as a point in time given at the start falls behind the watermark.
+    """
     return parse_traffic(raw, as_of).accepted.withWatermark("timestamp", watermark)
 
 

@@ -1,4 +1,5 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -212,3 +213,25 @@ def test_result_is_independent_of_partitioning(spark, order):
     records = [measurement(value=float(i), location=f"L{i % 3}") for i in range(30)]
     rows = air_measurements(raw(spark, records).repartition(order)).collect()
     assert sorted((r.location, r.pm25) for r in rows) == [("L0", 0.0), ("L1", 1.0), ("L2", 2.0)]
+
+
+def test_undated_records_take_the_time_of_their_message(spark):
+    body = json.dumps({"flowSegmentData": {"currentSpeed": 5.0}})
+    sent = [datetime(2024, 1, d, tzinfo=timezone.utc) for d in (1, 2)]
+    raw = spark.createDataFrame([(body, t) for t in sent], "value string, sent timestamp")
+    micros = parse_traffic(raw, F.col("sent")).accepted.select(F.unix_seconds("timestamp").alias("s")).collect()
+    assert sorted(r.s for r in micros) == [int(t.timestamp()) for t in sent]
+
+
+@pytest.mark.parametrize("current, free, reason, kmh", [
+    (0, 10.0, None, 36.0), (-1, 10, None, 36.0), (0, 0, "non_positive_speed", None), (0, -5.0, "non_positive_speed", None),
+    (0, None, "bad_speed", None), (0, "10", "bad_speed", None), (5, None, None, 18.0), (5, "x", None, 18.0), (None, 5, "bad_speed", None),
+])
+def test_standing_traffic_takes_the_free_flow_speed(spark, current, free, reason, kmh):
+    place = {"coordinate": [{"latitude": 10.77, "longitude": 106.66}]}
+    body = json.dumps({"flowSegmentData": {"currentSpeed": current, "freeFlowSpeed": free, "coordinates": place}})
+    parsed = parse_traffic(spark.createDataFrame([(body,)], "value string"), "2024-01-01")
+    if reason:
+        assert [r.reason for r in parsed.rejected.collect()] == [reason]
+    else:
+        assert [(r.velocity, r.segment_id) for r in parsed.accepted.collect()] == [(kmh, "segment_1077_10666")]
