@@ -41,6 +41,8 @@ SPACE = "▁"
 SEGMENT = 96
 BLOCK_WORDS = 1 << 18
 BLOCK_TOKENS = 2_000_000
+#: Words are cut so many at a time.
+CUT_WORDS = 1 << 14
 #: A bucket gets the distinct words of as many bytes of text, whatever the size of the input; three Python workers hold it.
 BUCKET_BYTES = 4_000_000
 #: Substrings are exploded up to the longest piece with so many first characters in common.
@@ -149,20 +151,36 @@ def _rows(rows: list[tuple[int, int, list[bytes]]]) -> pa.RecordBatch:
 def _cut(words: list[str], pairs: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct parts of words, the parts of all words as indices, and how many each word has.
 
-    Words are cut where no piece can span, which leaves their best paths as they are.
+    Words are cut where no piece can span, which leaves their best paths as they are; some at a time, as their characters
+    take many times the room of the words.
     """
-    text = "".join(words)
-    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    to = np.append(0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words))))
-    pair = chars[:-1] << np.uint64(32) | chars[1:]
-    found = np.searchsorted(pairs, pair)
-    edge = np.zeros(len(chars) + 1, bool)
-    edge[1:-1] = np.append(pairs, np.uint64(0))[found] != pair
-    edge[to] = True
-    at = np.flatnonzero(edge)
     known: dict[str, int] = {}
-    parts = np.fromiter((known.setdefault(text[a:b], len(known)) for a, b in zip(at.tolist(), at[1:].tolist())), np.int64, len(at) - 1)
-    return list(known), parts, np.diff(np.searchsorted(at, to))
+    parts, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo in range(0, len(words), CUT_WORDS):
+        own = words[lo : lo + CUT_WORDS]
+        text = "".join(own)
+        chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        to = np.append(0, np.cumsum(np.fromiter(map(len, own), np.int64, len(own))))
+        pair = chars[:-1] << np.uint64(32) | chars[1:]
+        found = np.searchsorted(pairs, pair)
+        edge = np.zeros(len(chars) + 1, bool)
+        edge[1:-1] = np.append(pairs, np.uint64(0))[found] != pair
+        edge[to] = True
+        at = np.flatnonzero(edge)
+        spans = zip(at.tolist(), at[1:].tolist())
+        parts.append(np.fromiter((known.setdefault(text[x:y], len(known)) for x, y in spans), np.int64, len(at) - 1))
+        sizes.append(np.diff(np.searchsorted(at, to)))
+    return list(known), np.concatenate(parts), np.concatenate(sizes)
+
+
+def _tidy(run):
+    """A pass over batches that gives back what memory it can at its end: a Python worker waits for its next task with it."""
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return passed
 
 
 def _blocks(buckets: int, pairs: np.ndarray):
@@ -297,7 +315,7 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
         .bitwiseOR(cost.cast("long"))
     )
     return joined.select("block", "word", edge.alias("edge"), "body").mapInArrow(
-        _grouped, "block long, word long, edges array<array<array<bigint>>>, body binary"
+        _tidy(_grouped), "block long, word long, edges array<array<array<bigint>>>, body binary"
     )
 
 
@@ -500,18 +518,18 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(n, -(-size // BUCKET_BYTES))
     run, _, assembled, both = _read_back(pieces)
-    blocks = stage(narrowed(docs).mapInArrow(_blocks(n_buckets, pieces.pairs), _BLOCKS), "lattice-blocks")
+    blocks = stage(narrowed(docs).mapInArrow(_tidy(_blocks(n_buckets, pieces.pairs)), _BLOCKS), "lattice-blocks")
     buckets = blocks.where("bucket >= 0").repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "block")
     words = (
-        buckets.mapInArrow(functools.partial(_distinct, pieces.longest - 1), _SEGMENTS)
+        buckets.mapInArrow(_tidy(functools.partial(_distinct, pieces.longest - 1)), _SEGMENTS)
         .select("block", F.inline("words"), "body")
         .withColumn("body", F.when(F.col("word") == 0, F.col("body")).otherwise(F.lit(b"")))
     )
-    paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(run, _BLOCKS)
+    paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(_tidy(run), _BLOCKS)
     whole = blocks.where("bucket = -1").union(paths).repartition(n, "block").sortWithinPartitions("block", "bucket")
     if decoded:
-        return whole.mapInArrow(both, "doc_id long, ids array<int>, decoded binary").select(public_id(), "ids", "decoded")
-    return whole.mapInArrow(assembled, "doc_id long, ids array<int>").select(public_id(), "ids")
+        return whole.mapInArrow(_tidy(both), "doc_id long, ids array<int>, decoded binary").select(public_id(), "ids", "decoded")
+    return whole.mapInArrow(_tidy(assembled), "doc_id long, ids array<int>").select(public_id(), "ids")
 
 
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
