@@ -200,11 +200,14 @@ def refresh_batch(spark: SparkSession, layout: Layout, settings: Settings = DEFA
     A ledger holds the raw files that the view accounts for. Only days whose files differ from it are read: their hourly
     sums are written anew, and the months of the view that hold those hours are merged from the stored sums. The ledger
     comes last, so a run that breaks off is repeated by the next one, which changes nothing that was right. To the
-    driver come the names of days and months, not of files.
+    driver come the names of days and months, not of files. Delta tables keep files that are no longer theirs and are
+    refused; use `run_batch`.
     """
     raw, days = layout.traffic_raw, list(layout.traffic_raw.partition_by)
+    if raw.format == "delta":
+        raise ValueError("the files of a Delta table do not tell its rows")
     stored = read_table(spark, raw)  # a missing raw table is an error
-    files = stage(list_files(spark, current_folder(spark, raw)), "raw-files")
+    files = stage(list_files(spark, current_folder(spark, raw), f".{raw.format}"), "raw-files")
     try:
         ledger = read_table(spark, layout.raw_files)
     except FileNotFoundError:
