@@ -22,6 +22,7 @@ import math
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -504,6 +505,18 @@ def _read_back(pieces: Pieces):
     return run, decode, assembled, both
 
 
+@contextmanager
+def _small_batches(docs: DataFrame) -> Iterator[None]:
+    """Texts go to Python by a thousand rows: a batch stands in both processes, beside the words of a block."""
+    conf, setting = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(setting)
+    conf.set(setting, str(min(int(before), 1000) if int(before) > 0 else 1000))
+    try:
+        yield
+    finally:
+        conf.set(setting, before)
+
+
 def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     """`doc_id, ids` for every row of `docs`; decode() gives back exactly the text.
 
@@ -518,7 +531,8 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(n, -(-size // BUCKET_BYTES))
     run, _, assembled, both = _read_back(pieces)
-    blocks = stage(narrowed(docs).mapInArrow(_tidy(_blocks(n_buckets, pieces.pairs)), _BLOCKS), "lattice-blocks")
+    with _small_batches(docs):
+        blocks = stage(narrowed(docs).mapInArrow(_tidy(_blocks(n_buckets, pieces.pairs)), _BLOCKS), "lattice-blocks")
     buckets = blocks.where("bucket >= 0").repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "block")
     words = (
         buckets.mapInArrow(_tidy(functools.partial(_distinct, pieces.longest - 1)), _SEGMENTS)
