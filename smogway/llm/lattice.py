@@ -40,11 +40,11 @@ SPACE = "▁"
 #: Substrings of longer words are found in segments of so many characters, with as many more as a piece may reach;
 #: edges pack an end within its segment into eight bits. The best path goes on from segment to segment.
 SEGMENT = 96
-BLOCK_WORDS = 1 << 18
+BLOCK_WORDS = 1 << 19
 BLOCK_TOKENS = 2_000_000
 #: Words are cut so many at a time.
 CUT_WORDS = 1 << 14
-#: A bucket gets the distinct words of as many bytes of text, whatever the size of the input; three Python workers hold it.
+#: A bucket gets the distinct words of as many bytes of text, whatever the size of the input.
 BUCKET_BYTES = 4_000_000
 #: Substrings are exploded up to the longest piece with so many first characters in common.
 PREFIX = 4
@@ -534,9 +534,10 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     with _small_batches(docs):
         blocks = stage(narrowed(docs).mapInArrow(_tidy(_blocks(n_buckets, pieces.pairs)), _BLOCKS), "lattice-blocks")
     buckets = blocks.where("bucket >= 0").repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "block")
+    # written, so that no task has three Python workers one after the other
+    distinct = stage(buckets.mapInArrow(_tidy(functools.partial(_distinct, pieces.longest - 1)), _SEGMENTS), "lattice-words")
     words = (
-        buckets.mapInArrow(_tidy(functools.partial(_distinct, pieces.longest - 1)), _SEGMENTS)
-        .select("block", F.inline("words"), "body")
+        distinct.select("block", F.inline("words"), "body")
         .withColumn("body", F.when(F.col("word") == 0, F.col("body")).otherwise(F.lit(b"")))
     )
     paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(_tidy(run), _BLOCKS)
