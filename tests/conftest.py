@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # many short queries: compile quickly
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
