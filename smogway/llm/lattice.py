@@ -7,8 +7,8 @@ table, the edges found are grouped by word again, and a higher-order aggregate f
 Exploding and joining with a broadcast table keep the order of rows, so the edges of a word, and the words of a bucket,
 arrive together and are grouped as they come. The paths go back to their blocks, which read their documents off them.
 
-Blocks are staged, as their numbering must not change when a task is run again. What is shuffled is one packed row for
-each block and bucket, twice, and one row for each block's documents.
+Blocks are staged, as their numbering must not change when a task is run again, in a table that is bucketed by block. So
+the documents stay where they are: what is shuffled is one packed row for each block and bucket, twice.
 
 The path of least cost wins; of equal ones, that whose last piece is longest, and so on backwards. A unigram model's
 scores are log-probabilities as they are. A BPE model has ranks instead; piece number r is then given Zipf's
@@ -20,6 +20,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 
 from smogway.llm.common import group_starts, narrowed, packed, public_id, shuffle_partitions, text_slices, unpacked
 from smogway.llm.spans import _ranges
-from smogway.sources.staging import stage
+from smogway.sources.staging import fresh_path, stage
 
 SPACE = "▁"
 #: Substrings of longer words are found in segments of so many characters, with as many more as a piece may reach;
@@ -233,6 +234,16 @@ def _blocks(buckets: int, pairs: np.ndarray):
     return run
 
 
+def _staged_by_block(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """`rows` written once; the second frame reads them as a table in `n` parts by block, which meets others by block unshuffled."""
+    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "lattice-blocks")
+    name = f"spark_catalog.default.lattice_blocks_{uuid.uuid4().hex}"
+    rows.write.format("parquet").bucketBy(n, "block").option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only the name: the files are external
+    return spark.read.schema(rows.schema).parquet(path), table
+
+
 def _planes(values: np.ndarray) -> bytes:
     return packed(values.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
 
@@ -461,20 +472,14 @@ def _read_back(pieces: Pieces):
             yield pa.RecordBatch.from_arrays([pa.array(docs[at:end]), ids_of], ["doc_id", "ids"])
             at = end
 
-    def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if held and held[0]["block"] != row["block"]:
-                    yield from documents(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield from documents(held)
+    def assembled(docs: pa.Table, paths: pa.Table) -> pa.Table:
+        rows = [*docs.to_pylist(), *sorted(paths.to_pylist(), key=lambda row: row["bucket"])]
+        return pa.Table.from_batches(documents(rows))
 
-    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return decode(assembled(batches))
+    def both(docs: pa.Table, paths: pa.Table) -> pa.Table:
+        out = pa.Table.from_batches(decode(iter(assembled(docs, paths).to_batches())))
+        pa.default_memory_pool().release_unused()
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -532,7 +537,7 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     n_buckets = max(n, -(-size // BUCKET_BYTES))
     run, _, assembled, both = _read_back(pieces)
     with _small_batches(docs):
-        blocks = stage(narrowed(docs).mapInArrow(_tidy(_blocks(n_buckets, pieces.pairs)), _BLOCKS), "lattice-blocks")
+        blocks, by_block = _staged_by_block(narrowed(docs).mapInArrow(_tidy(_blocks(n_buckets, pieces.pairs)), _BLOCKS), n)
     buckets = blocks.where("bucket >= 0").repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "block")
     # written, so that no task has three Python workers one after the other
     distinct = stage(buckets.mapInArrow(_tidy(functools.partial(_distinct, pieces.longest - 1)), _SEGMENTS), "lattice-words")
@@ -541,10 +546,11 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
         .withColumn("body", F.when(F.col("word") == 0, F.col("body")).otherwise(F.lit(b"")))
     )
     paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(_tidy(run), _BLOCKS)
-    whole = blocks.where("bucket = -1").union(paths).repartition(n, "block").sortWithinPartitions("block", "bucket")
+    # a block whose texts are all empty has no paths
+    whole = by_block.where("bucket = -1").groupBy("block").cogroup(paths.groupBy("block"))
     if decoded:
-        return whole.mapInArrow(_tidy(both), "doc_id long, ids array<int>, decoded binary").select(public_id(), "ids", "decoded")
-    return whole.mapInArrow(_tidy(assembled), "doc_id long, ids array<int>").select(public_id(), "ids")
+        return whole.applyInArrow(both, "doc_id long, ids array<int>, decoded binary").select(public_id(), "ids", "decoded")
+    return whole.applyInArrow(assembled, "doc_id long, ids array<int>").select(public_id(), "ids")
 
 
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:

@@ -481,6 +481,20 @@ def test_encoding_of_long_words(spark):
     assert_whole_paths(spark, texts)
 
 
+def test_documents_stay_where_their_blocks_are_written(spark):
+    """Only the paths of words go by block; the documents of a block are read in the task that needs them."""
+    pieces = read_pieces(PIECES)
+    rows = spark.createDataFrame([(1, "a b"), (2, ""), (3, None), (None, "a b c")], "doc_id long, text string").repartition(3)
+    names = {t.name for t in spark.catalog.listTables()}
+    encoded = encode(rows, pieces)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(block") == 1 and "Bucketed: true" in plan
+    assert {t.name for t in spark.catalog.listTables()} == names
+    expected = {1: whole_path("a b", pieces), 2: [], 3: [], None: whole_path("a b c", pieces)}
+    assert {r.doc_id: list(r.ids) for r in encoded.collect()} == expected
+    assert [(r.doc_id, list(r.ids)) for r in encode(rows.where("doc_id = 2"), pieces).collect()] == [(2, [])]
+
+
 def test_costs_stay_small_in_long_words(spark):
     """Counted from the start of the word, the costs of this path would pass 31 bits."""
     pieces = read_pieces(PIECES)
