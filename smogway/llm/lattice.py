@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smogway.llm.common import group_starts, narrowed, packed, public_id, shuffle_partitions, text_slices, unpacked
+from smogway.llm.common import give_back, group_starts, narrowed, packed, public_id, shuffle_partitions, text_slices, tidy, unpacked
 from smogway.llm.spans import _ranges
 from smogway.sources.staging import fresh_path, stage
 
@@ -175,16 +175,6 @@ def _cut(words: list[str], pairs: np.ndarray) -> tuple[list[str], np.ndarray, np
     return list(known), np.concatenate(parts), np.concatenate(sizes)
 
 
-def _tidy(run):
-    """A pass over batches that gives back what memory it can at its end: a Python worker waits for its next task with it."""
-
-    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
-
-    return passed
-
-
 def _blocks(buckets: int, pairs: np.ndarray):
     """A block's documents as bucket -1: their ids, their words each, and the words as indices, byte plane by byte
     plane. Its words as one row for each bucket; the indices number them bucket by bucket."""
@@ -327,7 +317,7 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
         .bitwiseOR(cost.cast("long"))
     )
     return joined.select("block", "word", edge.alias("edge"), "body").mapInArrow(
-        _tidy(_grouped), "block long, word long, edges array<array<array<bigint>>>, body binary"
+        tidy(_grouped), "block long, word long, edges array<array<array<bigint>>>, body binary"
     )
 
 
@@ -478,7 +468,7 @@ def _read_back(pieces: Pieces):
 
     def both(docs: pa.Table, paths: pa.Table) -> pa.Table:
         out = pa.Table.from_batches(decode(iter(assembled(docs, paths).to_batches())))
-        pa.default_memory_pool().release_unused()
+        give_back()
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -537,15 +527,15 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     n_buckets = max(n, -(-size // BUCKET_BYTES))
     run, _, assembled, both = _read_back(pieces)
     with _small_batches(docs):
-        blocks, by_block = _staged_by_block(narrowed(docs).mapInArrow(_tidy(_blocks(n_buckets, pieces.pairs)), _BLOCKS), n)
+        blocks, by_block = _staged_by_block(narrowed(docs).mapInArrow(tidy(_blocks(n_buckets, pieces.pairs)), _BLOCKS), n)
     buckets = blocks.where("bucket >= 0").repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "block")
     # written, so that no task has three Python workers one after the other
-    distinct = stage(buckets.mapInArrow(_tidy(functools.partial(_distinct, pieces.longest - 1)), _SEGMENTS), "lattice-words")
+    distinct = stage(buckets.mapInArrow(tidy(functools.partial(_distinct, pieces.longest - 1)), _SEGMENTS), "lattice-words")
     words = (
         distinct.select("block", F.inline("words"), "body")
         .withColumn("body", F.when(F.col("word") == 0, F.col("body")).otherwise(F.lit(b"")))
     )
-    paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(_tidy(run), _BLOCKS)
+    paths = _edges(words, pieces).select("word", "block", _viterbi(F.col("edges")).alias("best"), "body").mapInArrow(tidy(run), _BLOCKS)
     # a block whose texts are all empty has no paths
     whole = by_block.where("bucket = -1").groupBy("block").cogroup(paths.groupBy("block"))
     if decoded:

@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogway.llm.common import MULTIPLIER, mixed, narrowed, public_id, text_slices, word_bounds, word_hashes
+from smogway.llm.common import MULTIPLIER, give_back, group_starts, mixed, narrowed, public_id, text_slices, tidy, word_bounds, word_hashes
 from smogway.sources.staging import stage
 
 #: The bound of the training sample: so many labelled rows, those with the smallest hash of doc_id.
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
+#: So many bytes of text at a time: the vectors of their words take a hundred times as much.
+SLICE = 250_000
 _ROWS = 1 << 15
 _DIM = 32
 _REACH = 2
@@ -64,8 +66,12 @@ def _rows_of(terms: np.ndarray) -> np.ndarray:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the index vectors around each hashed term, one row per term that occurs."""
-    for piece in text_slices(batches, limit=1_000_000):
+    """Sums of the index vectors around each hashed term, one row per term that occurs in the task.
+
+    The sums are whole numbers, exact as floats in any order.
+    """
+    total, seen = np.zeros((_ROWS, _DIM)), np.zeros(_ROWS, bool)
+    for piece in text_slices(batches, limit=SLICE):
         words, shapes, _, count = _terms(piece.data, piece.offsets)
         if not len(words):
             continue
@@ -76,18 +82,21 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = (row[step:] == row[:-step])[:, None]
             around[step:] += own[:-step] * near
             around[:-step] += own[step:] * near
-        at = np.concatenate([_rows_of(words), _rows_of(shapes)])
-        order = np.argsort(at, kind="stable")
-        begin = np.flatnonzero(np.append(True, np.diff(at[order]) != 0))
-        sums = np.add.reduceat(np.concatenate([around, around])[order], begin, axis=0)
-        yield pa.RecordBatch.from_pydict({
-            "part": at[order][begin] & 63, "at": at[order][begin], "sum": [v.tobytes() for v in sums.astype(np.float32)],
-        })
+        for terms in (words, shapes):
+            at = _rows_of(terms)
+            order = np.argsort(at, kind="stable")
+            begin = group_starts(at[order])
+            some = at[order][begin]
+            total[some] += np.add.reduceat(around[order], begin, axis=0, dtype=np.float64)
+            seen[some] = True
+    terms = np.flatnonzero(seen)
+    for at in np.split(terms, range(4096, len(terms), 4096)):
+        yield pa.RecordBatch.from_pydict({"part": at & 63, "at": at, "sum": [v.tobytes() for v in total[at]]})
 
 
 def _added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     at = table.column("at").to_numpy()
-    values = np.frombuffer(b"".join(table.column("sum").to_pylist()), np.float32).reshape(-1, _DIM)
+    values = np.frombuffer(b"".join(table.column("sum").to_pylist())).reshape(-1, _DIM)
     out = np.zeros((_ROWS, _DIM), np.float64)
     np.add.at(out, at, values)
     some = np.unique(at)
@@ -194,21 +203,21 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
         "labelled",
     )
     vectors = np.zeros((_ROWS, _DIM), np.float32)
-    sums = sample.mapInArrow(_contexts, "part long, at long, sum binary").groupBy("part").applyInArrow(_added, "at long, sum binary")
+    sums = sample.mapInArrow(tidy(_contexts), "part long, at long, sum binary").groupBy("part").applyInArrow(_added, "at long, sum binary")
     for r in sums.toLocalIterator():  # at most 2**15 rows
         vectors[r["at"]] = np.frombuffer(r["sum"], np.float32)
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True) + 1e-6
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_slices(batches, limit=1_000_000):
+        for piece in text_slices(batches, limit=SLICE):
             x = _pooled(piece.data, piece.offsets, shared.value)
             yield pa.RecordBatch.from_arrays(
                 [piece.batch.column("doc_id"), piece.batch.column("quality"), pa.array([v.tobytes() for v in x])],
                 ["doc_id", "quality", "x"],
             )
 
-    rows = sample.mapInArrow(features, "doc_id long, quality int, x binary").withColumn("fold", fold(F.col("doc_id"))).collect()
+    rows = sample.mapInArrow(tidy(features), "doc_id long, quality int, x binary").withColumn("fold", fold(F.col("doc_id"))).collect()
     rows.sort(key=lambda r: (r.doc_id, r.x))
     if not rows:
         wide = 2 * _DIM + _PLAIN
@@ -227,11 +236,11 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_slices(batches, limit=500_000):
+        for piece in text_slices(batches, limit=SLICE):
             scores = pa.array(shared.value.score(piece.data, piece.offsets))
             yield pa.RecordBatch.from_arrays([piece.batch.column("doc_id"), scores], ["doc_id", "score"])
 
-    return narrowed(docs).mapInArrow(run, "doc_id long, score double").select(public_id(), "score").select(
+    return narrowed(docs).mapInArrow(tidy(run), "doc_id long, score double").select(public_id(), "score").select(
         "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
@@ -244,6 +253,8 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], ["text"])
-        return pa.array(np.concatenate([np.zeros(0)] + [shared.value.score(p.data, p.offsets) for p in text_slices([batch], limit=500_000)]))
+        scores = pa.array(np.concatenate([np.zeros(0)] + [shared.value.score(p.data, p.offsets) for p in text_slices([batch], limit=SLICE)]))
+        give_back()
+        return scores
 
     return docs.where(scored(F.coalesce("text", F.lit(""))) >= threshold)

@@ -25,6 +25,7 @@ from smogway.llm.common import (
     public_id,
     shuffle_partitions,
     text_slices,
+    tidy,
     unpacked,
     word_bounds,
 )
@@ -61,7 +62,7 @@ def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, words: int, seed: int
 
 def _fingerprints(words: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_slices(batches, limit=1_000_000):
+        for piece in text_slices(batches, limit=250_000):
             hashes, shingles = _shingle_hashes(_LOWER[piece.data], piece.offsets, words, seed)
             bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             some = np.flatnonzero(shingles)
@@ -86,7 +87,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED,
     Words are lower-cased in A-Z. Fewer words than a shingle make one; no words, or NULL, make the fingerprint 0.
     """
     more = ", text_key long" if keep else ""
-    return narrowed(docs, *keep).mapInArrow(_fingerprints(words, seed), f"doc_id long, fingerprint long{more}")
+    return narrowed(docs, *keep).mapInArrow(tidy(_fingerprints(words, seed)), f"doc_id long, fingerprint long{more}")
 
 
 def _cell_rows(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import dataclasses
 import hashlib
+import os
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 from smogway.llm import quality, url_filter
 from smogway.llm.components import components
 from smogway.llm.exact_dedup import drop_exact_copies, exact_groups
-from smogway.llm.common import narrowed
+from smogway.llm.common import narrowed, tidy
 from smogway.llm.fingerprints import combined, edited_texts, fingerprint_edits, lanes, neighbours
 from smogway.llm.lattice import decode, encode, read_pieces
 from smogway.llm.mixing import mix, repeat_by_mix, source_targets
@@ -297,6 +300,54 @@ def test_quality(spark, empty):
     assert quality.score(docs, one_sided).where("predicted = 1").count() == 602
 
 
+def test_context_sums_are_those_of_all_batches():
+    texts = ["ab cd ab", None, "", "Cd x. ab cd cd cd e"]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t], pa.string())], ["text"]) for t in texts * 2]
+    expected = defaultdict(lambda: np.zeros(32))
+    for text in filter(None, texts * 2):
+        data = np.frombuffer(text.encode(), np.uint8)
+        words, shapes, _, _ = quality._terms(data, np.array([0, len(data)]))
+        own = quality._index_vectors(words) + quality._index_vectors(shapes)
+        for i in range(len(words)):
+            for j in range(max(0, i - 2), min(len(words), i + 3)):
+                for term in (words[i : i + 1], shapes[i : i + 1]):
+                    expected[int(quality._rows_of(term)[0])] += own[j] * (i != j)
+    got = [r for b in quality._contexts(iter(batches)) for r in b.to_pylist()]
+    assert [r["at"] for r in got] == sorted(expected)
+    assert all(np.array_equal(np.frombuffer(r["sum"]), expected[r["at"]]) for r in got)
+
+
+def test_context_sums_take_little_room():
+    texts = pa.array([" ".join(f"w{(i * 7919 + k * k) % 5000}" for k in range(2000)) for i in range(100)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    tracemalloc.start()
+    rows = pa.Table.from_batches(list(quality._contexts(iter([batch, batch, batch]))))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    at = rows.column("at").to_pylist()
+    assert len(at) == len(set(at)) > 4000
+    assert most < 100e6
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="no figures of memory")
+def test_a_pass_gives_memory_back():
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nAnonymous:\s+(\d+)", f.read())[1]) / 1024
+
+    pinned = []
+
+    def run(batches):
+        some = [np.ones(50_000, np.uint8) for _ in range(4000)]
+        pinned.append(np.ones(50_000, np.uint8))  # above what is freed
+        del some
+        yield from batches
+
+    before = held()
+    assert list(tidy(run)(iter([]))) == []
+    assert held() - before < 100
+
+
 def brute_rule(url):
     host = path = ""
     if url and "://" in url:
