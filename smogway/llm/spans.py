@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogway.llm.common import group_starts, packed, public_id, text_slices, unpacked, word_bounds
+from smogway.llm.common import give_back, group_starts, packed, public_id, text_slices, tidy, unpacked, word_bounds
 
 MARKS = "deal long, docs binary, first binary, size binary"
 _TEXTS = "deal long, docs binary, size binary, text binary"
@@ -134,6 +134,7 @@ def _cut(unit: str):
                 out["spans"].append([{"first": a, "past": b} for a, b in zip((runs[0][r] - base[i]).tolist(), (runs[1][r] - base[i]).tolist())])
                 out["kept"].append(whole[cuts[i] : max(cuts[i], cuts[i + 1] - tail)])
         spans = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
+        give_back()
         return pa.table({
             "doc_id": pa.array(out["doc_id"], pa.int64()), "n_units": pa.array(out["n_units"], pa.int64()),
             "n_removed": pa.array(out["n_removed"], pa.int64()), "spans": pa.array(out["spans"], spans),
@@ -145,7 +146,7 @@ def _cut(unit: str):
 
 def cut_documents(narrow: DataFrame, marks: DataFrame, parts: int, unit: str) -> DataFrame:
     """`doc_id, n_<unit>s, n_removed, n_spans, spans, kept_text` (kept_bytes for bytes), a row per row of `narrow`."""
-    texts = narrow.mapInArrow(_texts(parts), _TEXTS)
+    texts = narrow.mapInArrow(tidy(_texts(parts)), _TEXTS)
     both = texts.withColumn("first", F.lit(None).cast("binary")).unionByName(
         marks.withColumn("text", F.lit(None).cast("binary"))
     )

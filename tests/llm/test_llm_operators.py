@@ -16,10 +16,10 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from smogway.llm import quality, url_filter
+from smogway.llm import quality, suffix_dedup, url_filter
 from smogway.llm.components import components
 from smogway.llm.exact_dedup import drop_exact_copies, exact_groups
-from smogway.llm.common import narrowed, tidy
+from smogway.llm.common import NULL_ID, narrowed, tidy, unpacked
 from smogway.llm.fingerprints import combined, edited_texts, fingerprint_edits, lanes, neighbours
 from smogway.llm.lattice import decode, encode, read_pieces
 from smogway.llm.mixing import mix, repeat_by_mix, source_targets
@@ -127,6 +127,95 @@ def test_suffix_dedup(docs, texts, empty, repeated):
     assert {r.n_removed for r in remove_repeated_bytes(repeated).collect()} == {0}
 
 
+def buckets_of(rows, parts):
+    """The pieces of (doc_id, text), as the buckets get them."""
+    ids, texts = zip(*rows)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text": list(texts)})
+    dealt = defaultdict(list)
+    for row in suffix_dedup._pieces(parts, 50)(iter([batch])):
+        dealt[row.column("bucket")[0].as_py()].append(row)
+    return [pa.Table.from_batches(x) for x in dealt.values()]
+
+
+def marked(buckets, parts):
+    """The bytes that they mark, as (doc_id, byte)."""
+    out = set()
+    for bucket in buckets:
+        for row in suffix_dedup._repeats(parts, 50)((), bucket).to_pylist():
+            for d, f, s in zip(unpacked(row["docs"], np.int64), unpacked(row["first"], np.uint32), unpacked(row["size"], np.uint32)):
+                out |= {(int(d), int(f) + i) for i in range(s)}
+    return out
+
+
+def brute_marked(rows):
+    first, out = {}, set()
+    windows = [(i, d, t.encode()[i : i + 50]) for d, t in rows for i in range(len(t.encode()) - 49)]
+    for _, d, w in windows:
+        first[w] = min(d, first.get(w, d))
+    for i, d, w in windows:
+        if first[w] < d:
+            out |= {(d, i + k) for k in range(50)}
+    return out
+
+
+@pytest.mark.parametrize("suffixes", [1, 40, 10**6])
+def test_suffixes_are_sorted_some_at_a_time(monkeypatch, suffixes):
+    monkeypatch.setattr(suffix_dedup, "_SUFFIXES", suffixes)
+    monkeypatch.setattr(suffix_dedup, "_HELD_BYTES", 3000)
+    rng = random.Random(8)
+    base = "".join(rng.choice("abc ") for _ in range(700))
+    rows = [(NULL_ID, base[:300]), (NULL_ID, base[100:500]), (-7, "ab" * 150), (2**62, "ba" * 140 + base[600:]), (-7, base[50:130])]
+    for i in range(40):  # texts that share an anchor but no string of 50 bytes, beside some that share longer ones
+        cut = rng.randint(0, 500)
+        text = base[cut : cut + rng.choice((35, 45, 120))]
+        rows.append((900 - 20 * i, "".join(rng.choice("xyz") for _ in range(30)) + text + "".join(rng.choice("xyz") for _ in range(30))))
+    for parts in (1, 9):
+        assert marked(buckets_of(rows, parts), parts) == brute_marked(rows)
+
+
+def varied(copies, size):
+    """Texts of which most strings of 20 bytes stand in all others, but none of 50 bytes in any."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 123, size).astype(np.uint8)
+    out = []
+    for i in range(copies):
+        own = base.copy()
+        own[i::45] = 48 + i
+        out.append((i, own.tobytes().decode()))
+    return out
+
+
+def test_sorting_suffixes_takes_little_room():
+    (bucket,) = buckets_of([(i, text + "=" + "0123456789" * 6) for i, text in varied(20, 120_000)], 1)
+    tracemalloc.start()
+    found = suffix_dedup._repeats(1, 50)((), bucket)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 1
+    assert set(unpacked(found.column("docs")[0].as_py(), np.int64)) == set(range(1, 20))
+    assert most < 150e6
+
+
+def test_texts_that_share_anchors_only():
+    (bucket,) = buckets_of(varied(3, 4000), 1)
+    assert suffix_dedup._repeats(1, 50)((), bucket).num_rows == 0
+
+
+def test_pieces_travel_in_few_bytes():
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(3000))) for i in range(300)]
+    buckets = buckets_of(rows, 40)
+    sent = sum(len(x) for b in buckets for name in b.column_names if name not in ("bucket", "text") for x in b.column(name).to_pylist())
+    pieces = sum(int(unpacked(x, np.uint8).reshape(4, -1).sum(1) @ 256 ** np.arange(4)) for b in buckets for x in b.column("times").to_pylist())
+    assert sent < 5 * pieces
+
+
+def test_suffix_buckets_follow_the_bytes(docs, texts, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 3000)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in remove_repeated_bytes(docs).collect()}
+    assert got == brute_bytes(texts)
+
+
 def test_deep_shallow_sort_finds_equal_strings():
     rng = np.random.default_rng(3)
     data = rng.choice(np.frombuffer(b"ab", np.uint8), 400)
